@@ -21,7 +21,7 @@ from tallyloom.fixed_values import (
 )
 from tallyloom.operators.checks import row_error
 from tallyloom.operators.scale import dense_ids, first_per_key, lookup
-from tallyloom.schemas import FIELDS, ITEMS, PROPERTIES, struct_type
+from tallyloom.schemas import FIELDS, ITEMS, PROPERTIES, column_names
 
 
 class Merge(NamedTuple):
@@ -29,10 +29,6 @@ class Merge(NamedTuple):
     actions: DataFrame
 
 
-def _columns(ddl: str) -> list[str]:
-    return struct_type(ddl).fieldNames()
-
-
 def is_complete(category: str = "category", base_uom: str = "base_uom") -> Column:
     return F.col(category).isNotNull() & F.col(base_uom).isNotNull()
 
@@ -108,7 +104,7 @@ def apply_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFr
         run_ts.alias("created_at"),
         run_ts.alias("updated_at"),
     )
-    return kept.unionByName(added).select(*_columns(ITEMS))
+    return kept.unionByName(added).select(*column_names(ITEMS))
 
 
 def merge_items(target: DataFrame, inputs: DataFrame, run_ts: Column) -> Merge:
@@ -185,7 +181,7 @@ def apply_properties(existing: DataFrame, actions: DataFrame, run_ts: Column) ->
     added = actions.filter(F.col("action") == "insert").select(
         "item_id", "property_name", "property_value", run_ts.alias("created_at")
     )
-    return existing.select(*_columns(PROPERTIES)).unionByName(added)
+    return existing.select(*column_names(PROPERTIES)).unionByName(added)
 
 
 def merge_properties(
@@ -249,7 +245,7 @@ def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> D
 
 def apply_fields(existing: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
     added = actions.filter(F.col("action") == "insert").withColumn("created_at", run_ts)
-    return existing.select(*_columns(FIELDS)).unionByName(added.select(*_columns(FIELDS)))
+    return existing.select(*column_names(FIELDS)).unionByName(added.select(*column_names(FIELDS)))
 
 
 def merge_fields(items: DataFrame, fields: DataFrame, existing: DataFrame, run_ts: Column) -> Merge:

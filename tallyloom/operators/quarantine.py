@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.fixed_values import THRESHOLD_FIELD
 from tallyloom.operators.scale import drop_keys, keep_keys, lookup
-from tallyloom.schemas import AUDIT, MANIFEST, QUARANTINE, struct_type
+from tallyloom.schemas import AUDIT, MANIFEST, QUARANTINE, column_names
 
 KEY = ["script", "parent_key", "child_key"]
 NO_CHILD = ""
-_COLUMNS = struct_type(QUARANTINE).fieldNames()
+_COLUMNS = column_names(QUARANTINE)
 
 
 def last_outcomes(outcomes: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def audit_rows(actions: DataFrame, script: str, ts: Column, field: str = THRESHO
         F.col("new_value").cast("bigint").alias("new_value"),
         "action",
         ts.alias("ts"),
-    ).select(*struct_type(AUDIT).fieldNames())
+    ).select(*column_names(AUDIT))
 
 
 def action_counts(actions: DataFrame, names: list[str], by: list[str] | None = None) -> DataFrame:
@@ -141,4 +141,4 @@ def manifest_rows(
         F.lit(mode).alias("mode"),
         ts.alias("loaded_at"),
         summary.alias("summary"),
-    ).select(*struct_type(MANIFEST).fieldNames())
+    ).select(*column_names(MANIFEST))

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.fixed_values import LOADED, PENDING, PROCESSED
 from tallyloom.operators.scale import keep_keys
-from tallyloom.schemas import TRACKER, struct_type
+from tallyloom.schemas import TRACKER, column_names
 
-_COLUMNS = struct_type(TRACKER).fieldNames()
+_COLUMNS = column_names(TRACKER)
 
 
 def _status(column="status") -> Column:

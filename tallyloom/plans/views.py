@@ -59,7 +59,7 @@ from {supplier}
 # Glue books: header and data on the first sheet, a second sheet that has to be ignored.
 GLUE_ROWS = (
     "with ledger as (" + GLUE_LEDGER + """)
-select source_id, 'GLUE' as sheet, cast(0 as bigint) as sheet_idx, row_num+2 as row_num,
+select source_id, 'GLUE' as sheet, cast(0 as bigint) as sheet_idx, row_num+3 as row_num,
        'datetime' as t0, '2024-01-01 00:00:00' as v0,
        case when row_num%4=0 then 'null' else 'str' end as t1, case when row_num%4<>0 then items end as v1,
        case when spec is null then 'null' else 'str' end as t2, spec as v2
@@ -69,7 +69,7 @@ select distinct source_id, 'GLUE', cast(0 as bigint), cast(1 as bigint), 'str','
 union all
 select distinct source_id, 'GLUE', cast(0 as bigint), cast(2 as bigint), 'str','Date','str','Items','str','Specifications' from ledger
 union all
-select source_id, 'notes', cast(1 as bigint), row_num, 'str','Date','str','Items','str','Specifications' from ledger
+select source_id, 'notes', cast(1 as bigint), row_num, 'str','Date','str','Items','str','Specifications' from ledger where row_num%8=0
 """
 )
 
@@ -169,15 +169,13 @@ def document_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lineitem_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items as typed sheets, one per return flag, with a few cells blanked."""
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    columns = items.columns
-    position = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    blanked = items.withColumn("row_num", position).withColumn(
-        "l_tax", F.when(F.col("l_linenumber") % 2 == 0, F.col("l_tax"))
+def order_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as typed sheets, one per status, with a third of the prices blanked."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    blanked = orders.withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice"))
     )
-    return grid_from_table(blanked, "lineitem", F.col("l_returnflag"), "row_num", columns=columns)
+    return grid_from_table(blanked, "orders", F.col("o_orderstatus"), "o_orderkey")
 
 
 def supplier_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +213,7 @@ def supplier_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     body = supplier.select(
         F.col("s_nationkey").alias("n_nationkey"),
-        (F.col("s_suppkey") + 4).alias("row_num"),
+        (F.col("s_suppkey") + 5).alias("row_num"),
         F.array(
             make_cell("null", None),
             make_cell("str", F.col("s_name")),

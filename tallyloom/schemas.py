@@ -46,6 +46,11 @@ def struct_type(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
+def column_names(ddl: str) -> list[str]:
+    """Column names of a contract, known without a session."""
+    return [column.split()[0] for column in ddl.split(", ")]
+
+
 def empty(spark, ddl: str):
     """An empty DataFrame of a contract."""
     return spark.createDataFrame([], struct_type(ddl))
