@@ -69,12 +69,12 @@ def column_cell(field: T.StructField) -> Column:
 
 
 def filled_count(dtypes: Column) -> Column:
-    """Number of non-null cells."""
-    return F.size(F.filter(dtypes, lambda d: d != "null"))
+    """Number of non-null cells; ``array_remove`` is compiled, a lambda filter is not."""
+    return F.size(F.array_remove(dtypes, "null"))
 
 
 def has_filled(dtypes: Column) -> Column:
-    return F.exists(dtypes, lambda d: d != "null")
+    return filled_count(dtypes) > 0
 
 
 def filled_width(dtypes: Column) -> Column:
@@ -89,9 +89,18 @@ def text_count(svals: Column) -> Column:
 
 
 def has_tokens(svals: Column, tokens) -> Column:
-    """All tokens occur among the stripped, lower-cased cells."""
+    """All tokens occur among the stripped, lower-cased cells.
+
+    The joined text of the row is searched first; only rows that contain every token
+    somewhere pay for the exact test cell by cell.
+    """
+    text = F.lower(F.array_join(svals, " "))
+    somewhere = text.contains(tokens[0])
+    for token in tokens[1:]:
+        somewhere = somewhere & text.contains(token)
     words = F.transform(svals, lambda s: F.lower(trim_py(s)))
-    return F.size(F.array_except(F.array(*[F.lit(t) for t in tokens]), words)) == 0
+    exact = F.size(F.array_except(F.array(*[F.lit(t) for t in tokens]), words)) == 0
+    return F.when(somewhere, exact).otherwise(False)
 
 
 def cell_text(col_idx: int) -> Column:
@@ -102,14 +111,13 @@ def cell_text(col_idx: int) -> Column:
 def row_digest(cells: Column) -> Column:
     """Type-sensitive digest of a row, equal for rows that differ in trailing nulls only.
 
-    Text lengths are part of the digested string, so no two different rows share it.
+    Digested are the tags of the filled cells and all texts as JSON, which escapes them, so
+    different rows give different strings. JSON texts end in a quote; stripping the letters
+    of ``null``, commas and the bracket from the end therefore removes trailing nulls only.
     """
-    used = F.slice(cells, 1, filled_width(cells["dtype"]))
-    parts = F.transform(
-        used,
-        lambda c: F.concat_ws(":", c["dtype"], F.length(c["sval"]).cast("string"), c["sval"]),
-    )
-    return F.unhex(F.sha2(F.array_join(parts, "|"), 256))
+    tags = F.array_join(F.array_remove(cells["dtype"], "null"), ",")
+    texts = F.rtrim(F.to_json(cells["sval"]), F.lit("nul,]"))
+    return F.unhex(F.sha2(F.concat(tags, F.lit("|"), texts), 256))
 
 
 def cells_of(grid: DataFrame) -> DataFrame:

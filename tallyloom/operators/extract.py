@@ -18,7 +18,7 @@ from tallyloom.operators.sheets import (
     TWO_TEXTS,
     data_rows,
     header_cells,
-    staged_facts,
+    staged_headers,
 )
 from tallyloom.schemas import SHEET_KEYS
 from tallyloom.session import stage_table
@@ -56,13 +56,14 @@ def distinct_values(
     spreads a hot sheet over its values.
     """
     picked = [
-        F.struct(F.lit(kind).alias("kind"), trim_py(cell_text(i)).alias("value"))
+        F.struct(F.lit(kind).alias("kind"), cell_text(i).alias("text"))
         for kind, i in columns.items()
     ]
     rows = grid.select(*SHEET_KEYS, "row_num", F.array(*picked).alias("picked"))
     return (
         data_rows(rows, facts, limit)
         .select(*SHEET_KEYS, "row_num", F.inline("picked"))
+        .withColumn("value", trim_py(F.col("text")))
         .filter(F.length("value") > 0)
         .groupBy(*SHEET_KEYS, "kind", "value")
         .agg(F.min("row_num").alias("first_row"), F.count(F.lit(1)).alias("n"))
@@ -137,7 +138,7 @@ class LedgerTabs:
     """Header, first item and specifications of every sheet, from two passes over the grid."""
 
     def __init__(self, grid: DataFrame, tokens=SPEC_TOKENS):
-        self.facts = staged_facts(grid, tokens)
+        self.facts = staged_headers(grid, tokens)
         self.values = stage_table(
             distinct_values(grid, self.facts, {"items": ITEMS_COL, "spec": SPECS_COL}),
             "ledger-values",
@@ -170,7 +171,7 @@ def parsed_specs(summary: DataFrame, parse=parse_board_spec) -> DataFrame:
 
 def header_list(grid: DataFrame, limit: int | None = None) -> DataFrame:
     """Header texts of every sheet: first row with two non-blank cells, blanks left out."""
-    facts = staged_facts(grid, TWO_TEXTS)
+    facts = staged_headers(grid, TWO_TEXTS)
     return (
         header_cells(grid, facts, limit)
         .filter(~is_blank(F.col("sval")))

@@ -6,8 +6,8 @@ from tallyloom.session import stage_table
 
 # A lookup is broadcast only when its measured content is below this size.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A shuffled sheet is cut into blocks of this many row numbers.
-BLOCK_ROWS = 1_000_000
+# A shuffled sheet is cut into blocks of 2 ** BLOCK_BITS row numbers.
+BLOCK_BITS = 20
 # A key with more rows than this is spread over several tasks, and how widely.
 HOT_ROWS = 1_000_000
 ID_BUCKETS = 4096
@@ -41,7 +41,7 @@ def attach_sheet_facts(
         return rows.join(F.broadcast(facts.drop("first_row", "last_row")), keys)
 
     def block(column):
-        return F.floor(F.col(column) / BLOCK_ROWS).cast("bigint")
+        return F.shiftright(column, BLOCK_BITS)
 
     spread = facts.withColumn("block", F.explode(F.sequence(block("first_row"), block("last_row"))))
     return (

@@ -35,7 +35,7 @@ def sheet_facts(grid: DataFrame, rule=TWO_CELLS) -> DataFrame:
         F.max("row_num").alias("last_row"),
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(has_filled(dtypes)).alias("non_empty_rows"),
-        F.coalesce(F.max(F.size("cells")), F.lit(0)).cast("bigint").alias("column_count"),
+        F.coalesce(F.max(F.size(dtypes)), F.lit(0)).cast("bigint").alias("column_count"),
         F.min(F.when(is_header(rule), F.col("row_num"))).alias("header_row"),
     )
 
@@ -48,6 +48,12 @@ def staged_facts(grid: DataFrame, rule=TWO_CELLS, first_if_none: bool = False) -
     return stage_table(facts, "sheet-facts")
 
 
+def staged_headers(grid: DataFrame, rule) -> DataFrame:
+    """Row range and header row only: counts that nobody reads are not computed."""
+    facts = sheet_facts(grid, rule).select(*SHEET_KEYS, "first_row", "last_row", "header_row")
+    return stage_table(facts, "sheet-headers")
+
+
 def data_rows(rows: DataFrame, facts: DataFrame, limit: int | None = None) -> DataFrame:
     """Rows after the header of their sheet; sheets without header give none."""
     known = facts.filter(F.col("header_row").isNotNull()).select(

@@ -24,8 +24,8 @@ def of_stage(tracker: DataFrame, stage: str) -> DataFrame:
 def with_state(files: DataFrame, tracker: DataFrame, force: bool = False) -> DataFrame:
     """Files with their tracked ``status`` (pending by default) and ``needs_processing``.
 
-    ``files(file_key, hash, ...)`` has a null hash for a file that is not there. ``force``
-    selects every file that exists.
+    ``files(file_key, hash, ...)`` has a null hash for a file that is not there; it needs
+    no processing. ``force`` selects every file, so that a missing one is reported again.
     """
     known = tracker.select(
         "file_key",
@@ -39,7 +39,7 @@ def with_state(files: DataFrame, tracker: DataFrame, force: bool = False) -> Dat
         | ~F.col("hash").eqNullSafe(F.col("known_hash"))
         | ~status.isin(PROCESSED, LOADED)
     )
-    needs = F.col("hash").isNotNull() & (F.lit(True) if force else stale)
+    needs = F.lit(True) if force else F.col("hash").isNotNull() & stale
     return (
         files.join(known, "file_key", "left")
         .withColumn("status", status)

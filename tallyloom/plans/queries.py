@@ -340,7 +340,7 @@ def header_rows(spark, sf_dir):
 @query
 def first_items(spark, sf_dir):
     grid = extract.valid_tabs(views.board_grid(spark, sf_dir))
-    facts = sheets.staged_facts(grid, sheets.ITEM_TOKENS)
+    facts = sheets.staged_headers(grid, sheets.ITEM_TOKENS)
     return extract.first_rows(grid, facts).select(
         "sheet", "row_num", extract.board_name(F.col("cells")[1]["sval"]).alias("display_name")
     )

@@ -8,7 +8,30 @@ CELLS = (
     "source_id string, sheet string, sheet_idx bigint, row_num bigint, "
     "col_idx bigint, dtype string, sval string"
 )
-REGISTRY = "filename string, source_id string, seed_type string, base_uom string, description string"
+REGISTRY = (
+    "filename string, source_id string, seed_type string, base_uom string, description string, "
+    "source_no bigint"
+)
+SHEET_CATALOG = (
+    "source_id string, sheet string, sheet_idx bigint, total_rows bigint, non_empty_rows bigint, "
+    "column_count bigint, header_row bigint"
+)
+SOURCE_CATALOG = (
+    "source_id string, filename string, seed_type string, base_uom string, description string, "
+    "status string, error string, path string, file_size_kb double, sheet_count bigint"
+)
+SHEET_REPORT = (
+    "source_id string, sheet string, sheet_idx bigint, header_row bigint, column_count bigint, "
+    "total_data_rows bigint, non_empty_data_rows bigint, duplicate_row_count bigint, "
+    "issue_count bigint, flag string, error string"
+)
+COLUMN_REPORT = (
+    "source_id string, sheet string, sheet_idx bigint, col_idx bigint, column string, "
+    "total_data_rows bigint, null_count bigint, null_pct double, non_null_count bigint, "
+    "dominant_type string, types array<struct<first_row:bigint,dtype:string,n:bigint>>, "
+    "formula_cells bigint, type_distribution map<string,bigint>, type_inconsistent boolean"
+)
+ISSUES = "source_id string, sheet string, sheet_idx bigint, issue_no bigint, issue string"
 LISTING = "file_key string, hash string, size_bytes bigint"
 TRACKER = (
     "stage string, file_key string, filename string, source_id string, hash string, size_bytes bigint, "

@@ -7,12 +7,26 @@ from tallyloom.schemas import REGISTRY, struct_type
 
 
 def default_registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(SOURCES), struct_type(REGISTRY))
+    rows = [(*entry, i) for i, entry in enumerate(SOURCES)]
+    return spark.createDataFrame(rows, struct_type(REGISTRY))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """Registry kept as JSON lines or a JSON array; adding a source means adding a record."""
-    return spark.read.schema(REGISTRY).json(path, multiLine=True)
+    """Registry document: a JSON list in which order matters; a new source is one more record."""
+    entry = REGISTRY.replace(" string", ":string").replace(" bigint", ":bigint")
+    records = F.from_json("value", F.lit(f"array<struct<{entry}>>"))
+    return (
+        spark.read.text(path, wholetext=True)
+        .select(F.posexplode(records).alias("pos", "r"))
+        .select("r.*", "pos")
+        .withColumn("source_no", F.col("pos").cast("bigint"))
+        .drop("pos")
+    )
+
+
+def read_registry_table(spark: SparkSession, path: str) -> DataFrame:
+    """Large registry kept as a table under its contract, with ``source_no`` given."""
+    return spark.read.schema(REGISTRY).parquet(path)
 
 
 def sources_of(registry: DataFrame, seed_type: str) -> DataFrame:
