@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyloom.functions.text import is_blank, trim_py
-from tallyloom.schemas import CELL
 
 _TAGS = (
     (T.BooleanType, "bool"),
@@ -45,11 +44,15 @@ def text_tag(sval: Column) -> Column:
 
 
 def make_cell(dtype, sval) -> Column:
-    """One cell; a cell tagged null carries no text."""
+    """One cell; a cell tagged null carries no text.
+
+    The struct is not cast, so reading the tags of an array of cells that is built on the
+    fly reduces to computing the tags.
+    """
     dtype = dtype if isinstance(dtype, Column) else F.lit(dtype)
     sval = sval if isinstance(sval, Column) else F.lit(sval)
     text = F.when(dtype != "null", sval.cast("string"))
-    return F.struct(dtype.alias("dtype"), text.alias("sval")).cast(CELL)
+    return F.struct(dtype.alias("dtype"), text.alias("sval"))
 
 
 def column_cell(field: T.StructField) -> Column:

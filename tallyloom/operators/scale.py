@@ -1,5 +1,7 @@
 """Joins and numbering that stay balanced when one key holds much of the data."""
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyloom.session import stage_table
@@ -13,11 +15,17 @@ HOT_ROWS = 1_000_000
 ID_BUCKETS = 4096
 
 
+# Measured once per table object: several operators share one staged table.
+_measured: WeakKeyDictionary = WeakKeyDictionary()
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a staged table's content: text lengths plus 16 bytes per column and row."""
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
-    width = sum(texts, F.lit(16 * len(df.columns))).cast("bigint")
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first().b
+    """Size of a table's content: text lengths plus 16 bytes per column and row."""
+    if df not in _measured:
+        texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t == "string"]
+        width = sum(texts, F.lit(16 * len(df.columns))).cast("bigint")
+        _measured[df] = df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("b")).first().b
+    return _measured[df]
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
@@ -30,14 +38,16 @@ def attach_sheet_facts(
     keys: list[str],
     limit: int | None = None,
     position: str = "row_num",
+    part_of: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of sheet rows with per-sheet facts (``first_row`` and ``last_row`` among them).
 
     Facts that measure small are broadcast, so the rows are not shuffled at all. Otherwise
     both sides are cut into blocks of row numbers and joined on (sheet, block): no task
     then receives more than one block of a sheet, whatever share of all rows it holds.
+    ``part_of`` names the staged table the facts are taken from, whose size bounds theirs.
     """
-    if fits_broadcast(facts, limit):
+    if fits_broadcast(facts if part_of is None else part_of, limit):
         return rows.join(F.broadcast(facts.drop("first_row", "last_row")), keys)
 
     def block(column):

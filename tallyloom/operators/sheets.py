@@ -59,7 +59,7 @@ def data_rows(rows: DataFrame, facts: DataFrame, limit: int | None = None) -> Da
     known = facts.filter(F.col("header_row").isNotNull()).select(
         *SHEET_KEYS, "first_row", "last_row", "header_row"
     )
-    return attach_sheet_facts(rows, known, SHEET_KEYS, limit).filter(
+    return attach_sheet_facts(rows, known, SHEET_KEYS, limit, part_of=facts).filter(
         F.col("row_num") > F.col("header_row")
     )
 
@@ -73,9 +73,8 @@ def header_cells(grid: DataFrame, facts: DataFrame, limit: int | None = None) ->
     known = facts.filter(F.col("header_row").isNotNull())
     deepest = known.agg(F.max("header_row").alias("r")).first().r
     rows = grid.filter(F.col("row_num") <= F.lit(-1 if deepest is None else deepest))
-    headed = attach_sheet_facts(
-        rows, known.select(*SHEET_KEYS, "first_row", "last_row", "header_row"), SHEET_KEYS, limit
-    ).filter(F.col("row_num") == F.col("header_row"))
+    places = known.select(*SHEET_KEYS, "first_row", "last_row", "header_row")
+    headed = attach_sheet_facts(rows, places, SHEET_KEYS, limit, part_of=facts).filter(F.col("row_num") == F.col("header_row"))
     return headed.select(
         *SHEET_KEYS, "header_row", F.posexplode("cells").alias("pos", "cell")
     ).select(

@@ -60,10 +60,6 @@ class Store:
     def read_log(self, name: str, ddl: str) -> DataFrame:
         return read_json_lines(self.spark, self.path(name), ddl)
 
-    def write_document(self, name: str, df: DataFrame) -> None:
-        """Combined document: the whole table replaced by the new one."""
-        self.write(name, df)
-
     def write_per_source(self, name: str, df: DataFrame) -> None:
         """One folder per source; only the sources in ``df`` are replaced.
 
