@@ -6,7 +6,13 @@ tab is an equi-join and not a prefix match.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyloom.fixed_values import THRESHOLD_FIELD
+from tallyloom.fixed_values import (
+    STAGE_FIELDS,
+    STAGE_GLUE_SPECS,
+    STAGE_SPECS,
+    THRESHOLD_FIELD,
+)
+from tallyloom.functions.text import key_of
 from tallyloom.operators.scale import drop_keys, keep_keys, lookup
 from tallyloom.schemas import AUDIT, MANIFEST, QUARANTINE, column_names
 
@@ -16,23 +22,39 @@ _COLUMNS = column_names(QUARANTINE)
 
 
 def last_outcomes(outcomes: DataFrame) -> DataFrame:
-    """Last outcome per key of ``outcomes(script, parent_key, child_key, ok, reason, detail, seq)``.
+    """Last ``seq`` and ``ok`` per key of ``outcomes(script, parent_key, child_key, ok, ..., seq)``.
 
-    Partial aggregates keep one record per key and task, so a key that fails over and over
-    does not gather its history anywhere.
+    Both go into one number, so this is a hash aggregate that keeps one record per key and
+    task: a key that fails over and over does not gather its history anywhere.
     """
-    last = F.max_by(F.struct("ok", "reason", "detail"), "seq")
+    last = F.max(F.col("seq") * 2 + F.col("ok").cast("bigint"))
     return (
         outcomes.groupBy(*KEY)
-        .agg(last.alias("last"), F.max("seq").alias("seq"))
-        .select(*KEY, "last.*", "seq")
+        .agg(last.alias("last"))
+        .select(
+            *KEY,
+            F.shiftright("last", 1).alias("seq"),
+            (F.col("last").bitwiseAND(F.lit(1)) == 1).alias("ok"),
+        )
+    )
+
+
+def last_failures(outcomes: DataFrame, last: DataFrame) -> DataFrame:
+    """Reason and detail of the keys whose last outcome is a failure; only failures are looked at."""
+    failed = last.filter(~F.col("ok")).select(*KEY, "seq")
+    return (
+        outcomes.filter(~F.col("ok"))
+        .join(failed, [*KEY, "seq"])
+        .groupBy(*KEY, "seq")
+        .agg(F.max(F.struct("reason", "detail")).alias("text"))
+        .select(*KEY, "text.reason", "text.detail", "seq")
     )
 
 
 def settle(quarantine: DataFrame, outcomes: DataFrame, ts: Column) -> DataFrame:
     """Quarantine after a run: failures replace earlier entries of their key, successes remove them."""
     last = last_outcomes(outcomes)
-    failed = last.filter(~F.col("ok")).withColumn("ts", ts)
+    failed = last_failures(outcomes, last).withColumn("ts", ts)
     return (
         quarantine.join(last.select(*KEY), KEY, "left_anti")
         .select(*_COLUMNS)
@@ -50,7 +72,7 @@ def settle_parents(
     """
     done = parents.select(F.lit(script).alias("script"), "parent_key").distinct()
     outcomes = failures.withColumn("script", F.lit(script)).withColumn("ok", F.lit(False))
-    failed = last_outcomes(outcomes).withColumn("ts", ts)
+    failed = last_failures(outcomes, last_outcomes(outcomes)).withColumn("ts", ts)
     return (
         drop_keys(quarantine, done, ["script", "parent_key"], ["child_key"])
         .join(failed.select(*KEY), KEY, "left_anti")
@@ -59,6 +81,26 @@ def settle_parents(
     )
 
 
+def key_text(script="script", parent="parent_key", child="child_key") -> Column:
+    """Key as one text: the parent alone, ``parent.child``, or ``parent::child`` for fields."""
+    return (
+        F.when(F.col(child) == NO_CHILD, F.col(parent))
+        .when(F.col(script) == STAGE_FIELDS, key_of(F.col(parent), F.col(child), sep="::"))
+        .otherwise(key_of(F.col(parent), F.col(child)))
+    )
+
+
+def split_key(script: Column, key: Column) -> tuple[Column, Column]:
+    """Parent and child of a key text; stages without children keep the text whole."""
+    split_at = F.when(script == STAGE_FIELDS, "::").when(
+        script.isin(STAGE_SPECS, STAGE_GLUE_SPECS), "."
+    )
+    place = F.when(split_at.isNotNull(), F.position(split_at, key)).otherwise(0)
+    parent = F.when(place > 0, F.substring(key, F.lit(1), place - 1)).otherwise(key)
+    child = F.when(place > 0, F.substring(key, place + F.length(split_at), F.length(key)))
+    return parent, F.coalesce(child, F.lit(NO_CHILD))
+
+
 def failures_of(quarantine: DataFrame, script: str) -> DataFrame:
     return quarantine.filter(F.col("script") == script)
 

@@ -14,29 +14,38 @@ ITEM_TOKENS = ITEM_HEADER_TOKENS
 SPEC_TOKENS = SPEC_HEADER_TOKENS
 
 
-def is_header(rule) -> Column:
+def is_header(rule, dtypes: Column | None = None, svals: Column | None = None) -> Column:
     """Whether a grid row qualifies as header: a rule name, or the words it has to contain."""
+    dtypes = F.col("cells.dtype") if dtypes is None else dtypes
+    svals = F.col("cells.sval") if svals is None else svals
     if rule == TWO_CELLS:
-        return filled_count(F.col("cells.dtype")) >= 2
+        return filled_count(dtypes) >= 2
     if rule == TWO_TEXTS:
-        return text_count(F.col("cells.sval")) >= 2
-    return has_tokens(F.col("cells.sval"), rule)
+        return (filled_count(dtypes) >= 2) & (text_count(svals) >= 2)
+    return has_tokens(svals, rule)
 
 
 def sheet_facts(grid: DataFrame, rule=TWO_CELLS) -> DataFrame:
     """Per sheet: row range, row counts, width and ``header_row`` (null if there is none).
 
     All buffers are numbers, so the whole thing is one hash aggregate with map-side
-    partials: a sheet with a third of all rows costs its tasks one record each.
+    partials: a sheet with a third of all rows costs its tasks one record each. Tags and
+    texts are projected first; what the rule does not use is neither read nor built.
     """
-    dtypes = F.col("cells.dtype")
-    return grid.groupBy(*SHEET_KEYS).agg(
+    rows = grid.select(
+        *SHEET_KEYS,
+        "row_num",
+        F.col("cells.dtype").alias("dtypes"),
+        F.col("cells.sval").alias("svals"),
+    )
+    dtypes, svals = F.col("dtypes"), F.col("svals")
+    return rows.groupBy(*SHEET_KEYS).agg(
         F.min("row_num").alias("first_row"),
         F.max("row_num").alias("last_row"),
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(has_filled(dtypes)).alias("non_empty_rows"),
         F.coalesce(F.max(F.size(dtypes)), F.lit(0)).cast("bigint").alias("column_count"),
-        F.min(F.when(is_header(rule), F.col("row_num"))).alias("header_row"),
+        F.min(F.when(is_header(rule, dtypes, svals), F.col("row_num"))).alias("header_row"),
     )
 
 

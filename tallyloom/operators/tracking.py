@@ -24,8 +24,10 @@ def of_stage(tracker: DataFrame, stage: str) -> DataFrame:
 def with_state(files: DataFrame, tracker: DataFrame, force: bool = False) -> DataFrame:
     """Files with their tracked ``status`` (pending by default) and ``needs_processing``.
 
-    ``files(file_key, hash, ...)`` has a null hash for a file that is not there; it needs
-    no processing. ``force`` selects every file, so that a missing one is reported again.
+    ``files(file_key, hash, size_bytes, ...)`` has a null size for a file that is not there;
+    it needs no processing. ``force`` selects every file, so that a missing one is reported
+    again. Asking for the size and not for the hash keeps the filter that Spark pushes below
+    the join from hashing all content a second time.
     """
     known = tracker.select(
         "file_key",
@@ -39,7 +41,7 @@ def with_state(files: DataFrame, tracker: DataFrame, force: bool = False) -> Dat
         | ~F.col("hash").eqNullSafe(F.col("known_hash"))
         | ~status.isin(PROCESSED, LOADED)
     )
-    needs = F.lit(True) if force else F.col("hash").isNotNull() & stale
+    needs = F.lit(True) if force else F.col("size_bytes").isNotNull() & stale
     return (
         files.join(known, "file_key", "left")
         .withColumn("status", status)

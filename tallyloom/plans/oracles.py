@@ -442,6 +442,10 @@ ORACLES: dict[str, str] = {
           where not (script='click' and parent_key in (select parent_key from {_OUTCOMES} where script='click'))
         union all select script, parent_key, child_key, arg_max(reason,seq), arg_max(detail,seq), max(seq), {_NOW}
           from {_OUTCOMES} where script='click' and not ok group by 1,2,3""",
+    "failure_keys": f"""select c_custkey, case c_custkey%3 when 0 then '{fixed.STAGE_ITEMS}' when 1 then '{fixed.STAGE_SPECS}' else '{fixed.STAGE_FIELDS}' end as script,
+        case when c_custkey%3=0 then concat(c_name,'.',c_mktsegment) else c_name end as parent_key,
+        case when c_custkey%3=0 then '' else c_mktsegment end as child_key,
+        concat(c_name,case when c_custkey%3=2 then '::' else '.' end,c_mktsegment) as key from customer""",
     "failed_keys": f"select distinct parent_key, child_key from {_PENDING} where script='click'",
     "retry_tabs": f"""select parent_key, seq, parent_key in (select parent_key from {_PENDING} where script='view') as retried from {_OUTCOMES}""",
     "retry_properties": f"""select parent_key, child_key, seq from {_OUTCOMES}

@@ -764,6 +764,22 @@ def quarantine_by_parent(spark, sf_dir):
     return quarantine.settle_parents(_pending(spark, sf_dir), script, parents, failures, _now())
 
 
+@query
+def failure_keys(spark, sf_dir):
+    """Key texts of customers as failures of all stages, taken apart and put together again."""
+    key = F.col("c_custkey")
+    script = F.element_at(
+        F.array(*[F.lit(s) for s in (fixed.STAGE_ITEMS, fixed.STAGE_SPECS, fixed.STAGE_FIELDS)]),
+        (key % 3 + 1).cast("int"),
+    )
+    text = F.concat(F.col("c_name"), F.when(key % 3 == 2, "::").otherwise("."), F.col("c_mktsegment"))
+    rows = _table(spark, sf_dir, "customer").select(key, script.alias("script"), text.alias("key"))
+    parent, child = quarantine.split_key(F.col("script"), F.col("key"))
+    return rows.select("c_custkey", "script", parent.alias("parent_key"), child.alias("child_key")).withColumn(
+        "key", quarantine.key_text()
+    )
+
+
 @query
 def failed_keys(spark, sf_dir):
     return quarantine.failed_keys(_pending(spark, sf_dir), "click")

@@ -89,7 +89,8 @@ from (select doc_id, {H} as h from {documents}) as hashed where doc_id%6<>5
 """
 
 # One supplier sheet per nation: title rows, the header in row 4, deliveries below it. The
-# header list of nation n lacks every fifth mapped header, counted from n.
+# header list of nation n lacks every fifth mapped header, counted from n. (For DuckDB;
+# ``supplier_grid`` says the same for Spark.)
 _MAPPED = ", ".join(
     f"({i}, '{name}{' ' if i % 4 == 1 else ''}')" for i, (name, *_) in enumerate(FIELD_MAPPING)
 )
@@ -182,16 +183,15 @@ def supplier_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier sheets: title in row 1, blank rows 2 and 3, header in row 4, deliveries after."""
     from tallyloom.schemas import CELL
 
-    headers = view(spark, sf_dir, SUPPLIER_HEADERS)
-    # At most 19 headers per sheet by construction of the view.
-    header = headers.groupBy("n_nationkey").agg(
-        F.array_sort(F.collect_list(F.struct("col_idx", "header"))).alias("h")
-    ).select(
+    # The header list is unfolded and filtered inside each nation's row.
+    names = [n + (" " if i % 4 == 1 else "") for i, (n, *_) in enumerate(FIELD_MAPPING)]
+    slots = [F.when((F.col("n_nationkey") + i) % 5 != 0, F.lit(n)) for i, n in enumerate(names)]
+    texts = F.array_compact(F.array(*slots, F.lit("Remarks"), F.lit("date")))
+    header = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         "n_nationkey",
         F.lit(4).cast("bigint").alias("row_num"),
         F.concat(
-            F.array(make_cell("null", None)),
-            F.transform("h", lambda x: make_cell("str", x["header"])),
+            F.array(make_cell("null", None)), F.transform(texts, lambda t: make_cell("str", t))
         ).alias("cells"),
     )
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")

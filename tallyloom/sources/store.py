@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.schemas import empty, struct_type
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
@@ -18,7 +18,7 @@ def _versions(spark: SparkSession, folder: str) -> list[int]:
         return []
     names = [s.getPath().getName() for s in system.listStatus(path)]
     return sorted(
-        int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and _exists(spark, f"{folder}/{n}/_SUCCESS")
+        int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and path_exists(spark, f"{folder}/{n}/_SUCCESS")
     )
 
 
@@ -77,14 +77,14 @@ class Store:
 
 def read_json_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """JSON lines; malformed lines are dropped, an absent path reads as empty."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return empty(spark, ddl)
     return spark.read.schema(struct_type(ddl)).option("mode", "DROPMALFORMED").json(path)
 
 
 def read_document(spark: SparkSession, path: str, source_ddl: str) -> DataFrame:
     """Records of the ``sources`` list of a combined JSON document, or empty if absent."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return empty(spark, source_ddl)
     schema = f"sources array<struct<{source_ddl}>>"
     return spark.read.schema(schema).json(path, multiLine=True).select(F.inline("sources"))
