@@ -101,7 +101,10 @@ GLUE = LedgerKind(
 
 
 class Onboarding:
-    """One run: registry, grid and stored state at one point in time."""
+    """One run: registry, grid and stored state at one point in time.
+
+    The grid holds registered sources only. One run at a time may write to a store.
+    """
 
     def __init__(
         self,
@@ -134,9 +137,12 @@ class Onboarding:
         now, kept = tracking.carry_forward(flagged, prior.select("source_id").distinct())
         return stage_table(now, f"{stage}-work"), stage_table(kept, f"{stage}-kept")
 
-    def _rows_of(self, work: DataFrame) -> DataFrame:
+    def _rows_of(self, work: DataFrame, kept: DataFrame) -> DataFrame:
+        """Grid rows to process; a run over everything takes the grid as it is, without a join."""
+        if kept.isEmpty() and work.filter(F.col("file_status") != "ok").isEmpty():
+            return self.grid
         readable = work.filter(F.col("file_status") == "ok").select("source_id")
-        return keep_keys(self.grid, readable, ["source_id"], ["row_num"])
+        return keep_keys(self.grid, stage_table(readable, "readable"), ["source_id"], ["row_num"])
 
     def _replace(self, name: str, ddl: str, fresh: DataFrame, kept: DataFrame) -> None:
         """New snapshot: results of this run, and the stored ones of unchanged sources."""
@@ -162,7 +168,7 @@ class Onboarding:
         """Catalog new and changed sources; unchanged ones keep their entries."""
         prior = self.store.read("source_catalog", schemas.SOURCE_CATALOG)
         work, kept = self._work(CATALOG_STAGE, prior, force)
-        fresh = stage_table(catalog.sheet_catalog(self._rows_of(work)), "sheet-catalog")
+        fresh = stage_table(catalog.sheet_catalog(self._rows_of(work, kept)), "sheet-catalog")
         statuses = work.drop("status").withColumnRenamed("file_status", "status")
         self._replace("sheet_catalog", schemas.SHEET_CATALOG, fresh, kept)
         self._replace(
@@ -176,7 +182,7 @@ class Onboarding:
         """Profile new and changed sources; a source already loaded keeps that status."""
         prior = self.store.read("sheet_report", schemas.SHEET_REPORT)
         work, kept = self._work(PROFILE_STAGE, prior, force)
-        fresh = profile.Profile(self._rows_of(work))
+        fresh = profile.Profile(self._rows_of(work, kept))
         reports = stage_table(fresh.sheets, "sheet-report")
         self._replace("sheet_report", schemas.SHEET_REPORT, reports, kept)
         self._replace("column_report", schemas.COLUMN_REPORT, fresh.columns, kept)
@@ -227,10 +233,7 @@ class Onboarding:
 
     def _finish(self, script: str, counts: DataFrame, mode: str, must_be_zero: list[str]) -> DataFrame:
         """Manifest and ``loaded`` status for the sources in which nothing failed."""
-        counts = stage_table(counts, "run-counts")
-        rows = stage_table(
-            quarantine.manifest_rows(counts, script, mode, self.ts, must_be_zero), "manifest"
-        )
+        rows = quarantine.manifest_rows(counts, script, mode, self.ts, must_be_zero)
         self.store.append("load_manifest", rows, "parquet")
         files = rows.select("source_id").join(self.statuses.select("source_id", "file_key"), "source_id")
         self.store.write(
@@ -382,7 +385,7 @@ class Onboarding:
         mode = quarantine.run_mode(pending, retry)
         if mode == "noop":
             return None
-        books = stage_table(sources_of(self.registry, fixed.SUPPLIER_SEED).select("source_id"), "books")
+        books = sources_of(self.registry, fixed.SUPPLIER_SEED).select("source_id")
         rows = named_sheet(keep_keys(self.grid, books, ["source_id"], ["row_num"]), sheet)
         headers = stage_table(extract.header_list(rows), "headers")
         present = headers.select(*SHEET_KEYS).distinct()
@@ -441,7 +444,7 @@ class Onboarding:
     def thresholds(self, config: DataFrame, retry: bool = False) -> DataFrame | None:
         """Thresholds from ``config(value)``; an invalid document stops before anything is written."""
         checked = checks.checked_thresholds(checks.threshold_entries(config))
-        wanted = stage_table(checks.require_valid(stage_table(checked, "checked")), "thresholds")
+        wanted = checks.require_valid(stage_table(checked, "checked"))
         script = fixed.STAGE_THRESHOLDS
         pending = self._pending(script)
         mode = quarantine.run_mode(pending, retry)

@@ -42,9 +42,11 @@ def stage_table(df, name: str):
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several jobs need the same small result: it cuts the lineage, survives
-    lost executors, and gives the planner true file sizes.
+    lost executors, and gives the planner true file sizes. The folder carries the
+    application id, so what a finished application left can be dropped as a whole.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark).rstrip('/')}/tables/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

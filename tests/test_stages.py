@@ -48,7 +48,6 @@ def snapshot(run):
 def test_full_run_and_second_run(spark, tmp_path):
     run = onboarding(spark, tmp_path)
     assert counts(run.catalog()) == {"outcome": "processed", "n": 3}
-    run.profile()
     assert counts(run.items(BOARDS)) == {"insert": 8, "repair": 0, "skip": 1, "fail": 0}
     assert counts(run.specs(BOARDS)) == {"insert": 24, "skip": 3, "blocked": 0, "fail": 0}
     assert counts(run.fields()) == {"insert": 136, "skip": 0, "conflict": 0, "fail": 0}
@@ -72,8 +71,6 @@ def test_full_run_and_second_run(spark, tmp_path):
 
     before = snapshot(run)
     again = onboarding(spark, tmp_path, ts="2024-07-01 00:00:00")
-    assert counts(again.catalog()) == {"outcome": "skipped", "n": 3}
-    assert counts(again.profile()) == {"outcome": "skipped", "n": 3}
     assert counts(again.items(BOARDS)) == {"insert": 0, "repair": 0, "skip": 9, "fail": 0}
     assert counts(again.specs(BOARDS))["skip"] == 27
     again.items(GLUE)
