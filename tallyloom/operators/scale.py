@@ -44,7 +44,8 @@ def attach_sheet_facts(
 
     Facts that measure small are broadcast, so the rows are not shuffled at all. Otherwise
     both sides are cut into blocks of row numbers and joined on (sheet, block): no task
-    then receives more than one block of a sheet, whatever share of all rows it holds.
+    then receives more than one block of a sheet, whatever share of all rows it holds. The
+    facts are one record per block there, so they are hashed and the rows need no sort.
     ``part_of`` names the staged table the facts are taken from, whose size bounds theirs.
     """
     if fits_broadcast(facts if part_of is None else part_of, limit):
@@ -56,7 +57,7 @@ def attach_sheet_facts(
     spread = facts.withColumn("block", F.explode(F.sequence(block("first_row"), block("last_row"))))
     return (
         rows.withColumn("block", block(position))
-        .join(spread.drop("first_row", "last_row"), [*keys, "block"])
+        .join(spread.drop("first_row", "last_row").hint("shuffle_hash"), [*keys, "block"])
         .drop("block")
     )
 
