@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.session import shared_dir, stage_table
@@ -75,7 +76,7 @@ def text_batches(
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with at most ``most_bytes`` of text (one text may exceed it)."""
     for batch in batches:
-        lengths = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
+        lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
         start, total = 0, 0
         for row, length in enumerate(lengths.tolist()):
             if total and total + length > most_bytes:

@@ -4,10 +4,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.llm.common import read_table
+from tallyloom.llm.bpe import encode_texts
+from tallyloom.llm.common import crc_remainder, read_table
 from tallyloom.llm.exact_dedup import exact_groups, text_digest
 from tallyloom.llm.mixing import mix_sources
+from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
 from tallyloom.llm.topk import top_k
+from tallyloom.llm.toxicity import THRESHOLD as TOXIC_THRESHOLD, toxicity_scores
 from tallyloom.llm.url_filter import judge_urls
 
 
@@ -31,6 +34,51 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages).select("row.page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer_path() -> str:
+    """Place of the vocabulary file; it is read there and never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's ids and of what they decode to."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_texts(docs, tokenizer_path()).select(
+        "row.doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a fifth of the ids is held out from learning."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = quality_scores(docs, labels, crc_remainder(F.col("doc_id"), 5) != 0)
+    return scored.select(
+        "row.doc_id",
+        (crc_remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document; a fifth of the ids is held out from learning."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    scored = toxicity_scores(docs, labels, crc_remainder(F.col("doc_id"), 5) != 0)
+    return scored.select(
+        "row.doc_id",
+        (crc_remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        "severity",
+        (F.col("score") >= TOXIC_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every fiftieth vector."""
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -40,5 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filter": op4_url_filter,
+    "op5_bpe": op5_bpe,
+    "op7_quality": op7_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
 }
