@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.llm.bpe import encode_texts
 from tallyloom.llm.common import crc_remainder, read_table
 from tallyloom.llm.exact_dedup import exact_groups, text_digest
+from tallyloom.llm.lm import score_texts, train_model
 from tallyloom.llm.mixing import mix_sources
 from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
 from tallyloom.llm.topk import top_k
@@ -52,6 +53,22 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under a model that a seventh of the ids does not shape."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(crc_remainder(F.col("doc_id"), 7) == 2, F.lit(False))
+    model = train_model(docs.filter(~held_out))
+    return score_texts(docs.withColumn("held_out", held_out), model).select(
+        "row.doc_id",
+        "row.held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; a fifth of the ids is held out from learning."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -89,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filter": op4_url_filter,
     "op5_bpe": op5_bpe,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
