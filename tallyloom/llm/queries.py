@@ -10,6 +10,7 @@ from tallyloom.llm.exact_dedup import exact_groups, text_digest
 from tallyloom.llm.lm import score_texts, train_model
 from tallyloom.llm.mixing import mix_sources
 from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
+from tallyloom.llm.suffix_dedup import remove_repeats
 from tallyloom.llm.topk import top_k
 from tallyloom.llm.toxicity import THRESHOLD as TOXIC_THRESHOLD, toxicity_scores
 from tallyloom.llm.url_filter import judge_urls
@@ -82,6 +83,19 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the 400-byte strings that occur again."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["to"] - s["from"])
+    return remove_repeats(docs).select(
+        "row.doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document; a fifth of the ids is held out from learning."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
 }
