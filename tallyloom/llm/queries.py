@@ -9,6 +9,7 @@ from tallyloom.llm.common import crc_remainder, read_table
 from tallyloom.llm.exact_dedup import exact_groups, text_digest
 from tallyloom.llm.lm import score_texts, train_model
 from tallyloom.llm.mixing import mix_sources
+from tallyloom.llm.near_dedup import near_groups
 from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
 from tallyloom.llm.suffix_dedup import remove_repeats
 from tallyloom.llm.topk import top_k
@@ -24,6 +25,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest id among its near duplicates."""
+    return near_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -117,6 +123,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_near_dedup": op2_near_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_url_filter": op4_url_filter,
     "op5_bpe": op5_bpe,
