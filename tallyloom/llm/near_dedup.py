@@ -202,7 +202,8 @@ def near_groups(
     """Components of texts that share at least ``percent`` of their word shingles.
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (the smallest id reachable, itself
-    included) and ``kept`` (whether that is the row's own), one row per input row.
+    included), ``kept`` (whether that is the row's own) and ``key_a``, ``key_b`` (two hashes
+    of the text), one row per input row.
 
     Tensored banding: ``collections`` small collections of ``hashes`` minhashes are computed,
     and every pair of collections is one table, keyed by both. A link is found if two
@@ -327,12 +328,34 @@ def near_groups(
     groups = broadcast_if_small(groups, F.lit(48), broadcast_bytes)
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("least", "doc_id"))
     return (
-        described.select("doc_id", "n", "set_a", "set_b")
+        described.select("doc_id", "key_a", "key_b", "n", "set_a", "set_b")
         .join(groups, ["set_a", "set_b"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+        .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "key_a", "key_b")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns.
+
+    Rows are told by id and text, the latter by its 128-bit hash, so a row whose id repeats
+    with another text is judged on its own.
+    """
+    groups = near_groups(docs, id_column, text_column, **options)
+    dropped = groups.filter(~F.col("kept")).select(
+        F.col("doc_id").alias("drop_id"), F.col("key_a").alias("drop_a"), F.col("key_b").alias("drop_b")
+    )
+    dropped = stage_table(dropped, "near-dropped")
+    limit = options.get("broadcast_bytes", BROADCAST_BYTES)
+    text = F.coalesce(F.col(f"row.`{text_column}`"), F.lit(""))
+    same = (
+        F.col(f"row.`{id_column}`").cast("bigint").eqNullSafe(F.col("drop_id"))
+        & (F.xxhash64(text) == F.col("drop_a"))
+        & (F.xxhash64(F.lit(1), text) == F.col("drop_b"))
+    )
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(broadcast_if_small(dropped, F.lit(40), limit), same, "left_anti").select("row.*")
+
+
 def stars_of(links: DataFrame) -> DataFrame:
     return links.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))

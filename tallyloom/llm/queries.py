@@ -27,7 +27,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id among its near duplicates."""
-    return near_groups(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_groups(docs).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
