@@ -27,16 +27,10 @@ BOARD_PROPERTIES = ("thickness", "width", "length")
 GLUE_PROPERTIES = ("weight_per_bag_kg", "bags_per_unit")
 GLUE_SPEC = r"(?iU)^(\d+(?:\.\d+)?)kg/(\d+)bag$"
 
-# --- fixed values: seed types and the registered sources ----------------------
+# --- fixed values: seed types ---------------------------------------------------
 BOARD_SEED = "mdf_ledger"
 GLUE_SEED = "glue_ledger"
 SUPPLIER_SEED = "supplier_log"
-SOURCES = (
-    # filename, source_id, seed_type, base_uom, description
-    ("Stock management.xlsx", "stock_management", "mdf_ledger", None, "Boards, one tab per thickness"),
-    ("GLUE RECORD-1.xlsx", "glue_record", "glue_ledger", "bags", "Glue ledger"),
-    ("Tree log suppliers Book.xlsx", "tree_log_suppliers", "supplier_log", None, "Log deliveries"),
-)
 
 # --- fixed values: supplier header -> field key, type, required ---------------
 FIELD_MAPPING = (
@@ -59,8 +53,7 @@ FIELD_MAPPING = (
     ("Remaining balance", "remaining_balance", "decimal", False),
 )
 
-# --- fixed values: reorder thresholds ------------------------------------------
-THRESHOLDS = {"9mm MDF": 500, "6mm MDF": 300, "12mm MDF": 200}
+# --- fixed values: audited field ------------------------------------------------
 THRESHOLD_FIELD = "reorder_threshold"
 
 # --- fixed values: stage tags in quarantine, audit and manifests --------------

@@ -1,8 +1,12 @@
 """Validation of configuration and of the target tables."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.fixed_values import MSG_THRESHOLD
+from tallyloom.operators.scale import lookup
+from tallyloom.session import stage_table
 
 
 def threshold_entries(config: DataFrame, column: str = "value") -> DataFrame:
@@ -36,16 +40,23 @@ def is_positive_integer(value_text: Column) -> Column:
 
 
 def checked_thresholds(entries: DataFrame) -> DataFrame:
-    """Entries with the threshold as number and the error text of invalid ones."""
+    """Entries with the threshold as number and the error text of invalid ones.
+
+    A name given more than once is an error as well, even with one value throughout: merged
+    as it stands it would multiply the item's row.
+    """
     ok = is_positive_integer(F.col("value_text"))
     text = F.printf(F.lit(MSG_THRESHOLD), F.col("display_name"), F.col("value_text"))
+    repeated = repeated_keys(entries.filter(F.col("display_name").isNotNull()), ["display_name"])
+    entries = lookup(entries, stage_table(repeated, "repeated-names"), ["display_name"], ["value_text"])
+    again = F.when(F.col("n") > 1, F.printf(F.lit("'%s': given %d times"), F.col("display_name"), F.col("n")))
     return entries.select(
         "display_name",
         "value_text",
-        F.when(F.col("error").isNull() & ok, F.col("value_text").try_cast("int")).alias("threshold"),
-        F.coalesce("error", F.when(~ok, text), F.when(F.col("value_text").try_cast("int").isNull(), text)).alias(
-            "error"
-        ),
+        F.when(F.col("error").isNull() & ok & again.isNull(), F.col("value_text").try_cast("int")).alias("threshold"),
+        F.coalesce(
+            "error", F.when(~ok, text), F.when(F.col("value_text").try_cast("int").isNull(), text), again
+        ).alias("error"),
     )
 
 
@@ -53,12 +64,16 @@ class InvalidConfig(ValueError):
     """Raised before anything is written when a configuration has errors."""
 
 
-def require_valid(checked: DataFrame, shown: int = 20) -> DataFrame:
-    """All or nothing: the thresholds, or an exception naming errors (their full list is ``checked``)."""
+def require_valid(checked: DataFrame, keep: Callable[[DataFrame], str] | None = None) -> DataFrame:
+    """All or nothing: the thresholds, or an exception with the number of errors and the first.
+
+    ``keep`` stores the full list of errors and returns the name of its table.
+    """
     bad = checked.filter(F.col("error").isNotNull())
-    errors = [r.error for r in bad.select("error").sort("error").limit(shown).collect()]
-    if errors:
-        raise InvalidConfig("; ".join(errors))
+    found = bad.agg(F.count(F.lit(1)).alias("n"), F.min("error").alias("first")).first()
+    if found.n:
+        where = f"; all of them are in {keep(bad)}" if keep else ""
+        raise InvalidConfig(f"{found.n} errors, the first: {found['first']}{where}")
     return checked.select("display_name", "threshold")
 
 

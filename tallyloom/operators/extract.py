@@ -23,6 +23,8 @@ from tallyloom.operators.sheets import (
 from tallyloom.schemas import SHEET_KEYS
 from tallyloom.session import stage_table
 
+# Field definitions of one mapping, which is configuration.
+MOST_FIELDS = 1000
 EXPECTED_HEADERS = tuple(name for name, *_ in FIELD_MAPPING)
 
 
@@ -187,6 +189,14 @@ def field_mapping(spark) -> DataFrame:
     )
 
 
+def mapped_names(mapping: DataFrame) -> list[str]:
+    """Header names of a mapping, which is configuration of bounded size."""
+    rows = mapping.select("field_name").distinct().orderBy("field_name").limit(MOST_FIELDS + 1).collect()
+    if len(rows) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} headers in a mapping")
+    return [r.field_name for r in rows]
+
+
 def missing_headers(headers: DataFrame, sheets: DataFrame, expected=EXPECTED_HEADERS) -> DataFrame:
     """Expected headers a sheet does not have, one row each; each sheet fans out in place."""
     wanted = sheets.select(
@@ -198,7 +208,7 @@ def missing_headers(headers: DataFrame, sheets: DataFrame, expected=EXPECTED_HEA
 def mapped_fields(headers: DataFrame, mapping: DataFrame) -> DataFrame:
     """Headers found in the mapping, in sheet order (``col_idx``); matching is case-sensitive.
 
-    The mapping is the fixed table of field definitions, hence safe to broadcast.
+    The mapping is configuration, bounded by ``MOST_FIELDS`` where it is used.
     """
     return headers.join(
         F.broadcast(mapping.withColumnRenamed("field_name", "header")), "header"

@@ -13,15 +13,16 @@ from tallyloom.fixed_values import (
     BOARD_UOM,
     CATEGORY,
     FIELD_LENGTHS,
-    FIELD_MAPPING,
     FIELD_REQUIRED_DEFAULT,
     FIELD_TYPE_DEFAULT,
     ITEM_LENGTHS,
     PROPERTY_LENGTHS,
 )
 from tallyloom.operators.checks import row_error
+from tallyloom.operators.extract import MOST_FIELDS
 from tallyloom.operators.scale import dense_ids, first_per_key, lookup
 from tallyloom.schemas import FIELDS, ITEMS, PROPERTIES, column_names
+from tallyloom.session import stage_table
 
 
 class Merge(NamedTuple):
@@ -143,7 +144,8 @@ def property_actions(
         F.when(F.col("property_value").isNull(), "value does not fit decimal(12,4)"),
         row_error(["property_name"], PROPERTY_LENGTHS),
     )
-    found = found.withColumn("reason", F.when(F.col("item_id").isNotNull(), reason))
+    # Staged: the lookup, the costliest join here, feeds four others.
+    found = stage_table(found.withColumn("reason", F.when(F.col("item_id").isNotNull(), reason)), "found-properties")
     ready = found.filter(F.col("item_id").isNotNull() & F.col("reason").isNull())
     winners = (
         ready.groupBy(*pair)
@@ -192,26 +194,28 @@ def merge_properties(
 
 
 def item_fields(items: DataFrame, fields: DataFrame) -> DataFrame:
-    """Every item with every mapped field found in the headers.
+    """Every item with every field of ``fields(field_name, field_key, field_type, is_required)``.
 
-    The fixed mapping is unfolded inside each item's row, so items are neither shuffled
-    nor joined with all pairs; what the headers lack is then removed by an equi-join with
-    at most as many rows as the mapping has.
+    Definitions come from the caller's mapping, once per key. A mapping is configuration and
+    has to stay within ``MOST_FIELDS``; it is unfolded inside each item's row, so items are
+    neither shuffled nor joined with all pairs.
     """
+    first = F.min(F.struct("field_name", "field_type", "is_required")).alias("d")
+    rows = fields.groupBy("field_key").agg(first).orderBy("field_key").limit(MOST_FIELDS + 1).collect()
+    if len(rows) > MOST_FIELDS:
+        raise ValueError(f"more than {MOST_FIELDS} field definitions")
     definitions = F.array(
         *[
             F.struct(
-                F.lit(n).alias("field_name"),
-                F.lit(k).alias("field_key"),
-                F.coalesce(F.lit(t), F.lit(FIELD_TYPE_DEFAULT)).alias("field_type"),
-                F.coalesce(F.lit(r), F.lit(FIELD_REQUIRED_DEFAULT)).alias("is_required"),
+                F.lit(r.d.field_name).alias("field_name"),
+                F.lit(r.field_key).alias("field_key"),
+                F.lit(FIELD_TYPE_DEFAULT if r.d.field_type is None else r.d.field_type).alias("field_type"),
+                F.lit(FIELD_REQUIRED_DEFAULT if r.d.is_required is None else r.d.is_required).alias("is_required"),
             )
-            for n, k, t, r in FIELD_MAPPING
+            for r in rows
         ]
-    )
-    return items.select("item_id", "display_name", F.inline(definitions)).join(
-        F.broadcast(fields.select("field_key").distinct()), "field_key", "left_semi"
-    )
+    ).cast("array<struct<field_name:string,field_key:string,field_type:string,is_required:boolean>>")
+    return items.select("item_id", "display_name", F.inline(definitions))
 
 
 def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> DataFrame:

@@ -65,11 +65,19 @@ def sheet_rows(tallies: DataFrame) -> DataFrame:
     )
 
 
-def column_names(grid: DataFrame, facts: DataFrame, limit: int | None = None) -> DataFrame:
-    """Every column position of a sheet with its header text, or ``col_<i>`` where that is null."""
+def column_names(
+    grid: DataFrame, facts: DataFrame, limit: int | None = None, names: list[str] | None = None
+) -> DataFrame:
+    """Every column position of a sheet with its header text, or ``col_<i>`` where that is null.
+
+    ``names`` are the columns of a table without header row, in place of its header.
+    """
     positions = facts.filter("column_count > 0").select(
         *SHEET_KEYS, F.explode(F.sequence(F.lit(0), F.col("column_count") - 1)).alias("col_idx")
     )
+    if names is not None:
+        given = F.try_element_at(F.array(*[F.lit(n) for n in names]), (F.col("col_idx") + 1).cast("int"))
+        return positions.withColumn("column", F.coalesce(given, F.concat(F.lit("col_"), F.col("col_idx"))))
     named = header_cells(grid, facts, limit).filter(F.col("dtype") != "null")
     return positions.join(
         named.select(*SHEET_KEYS, "col_idx", trim_py(F.col("sval")).alias("header")),
@@ -242,11 +250,17 @@ def quality_report(report: DataFrame, issues: DataFrame) -> DataFrame:
 class Profile:
     """All profile tables of one grid, sharing the staged facts and tallies."""
 
-    def __init__(self, grid: DataFrame, header_rule=TWO_CELLS, sheets: DataFrame | None = None):
+    def __init__(
+        self,
+        grid: DataFrame,
+        header_rule=TWO_CELLS,
+        sheets: DataFrame | None = None,
+        names: list[str] | None = None,
+    ):
         self.facts = profile_facts(grid, header_rule)
         self.tallies = stage_table(cell_tallies(grid, self.facts), "tallies")
         self.columns = stage_table(
-            column_profile(column_names(grid, self.facts), self.tallies), "columns"
+            column_profile(column_names(grid, self.facts, names=names), self.tallies), "columns"
         )
         self.duplicates = stage_table(duplicate_rows(grid, self.facts), "duplicates")
         self.issues = issue_rows(self.columns, self.duplicates)

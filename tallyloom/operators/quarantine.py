@@ -7,6 +7,8 @@ tab is an equi-join and not a prefix match.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.fixed_values import (
+    BOARD_PROPERTIES,
+    GLUE_PROPERTIES,
     STAGE_FIELDS,
     STAGE_GLUE_SPECS,
     STAGE_SPECS,
@@ -90,15 +92,23 @@ def key_text(script="script", parent="parent_key", child="child_key") -> Column:
     )
 
 
+# What can follow the parent in a key text of the specification stages.
+_CHILDREN = "|".join(["all", "parse", *BOARD_PROPERTIES, *GLUE_PROPERTIES, r"variant_[\s\S]*"])
+
+
 def split_key(script: Column, key: Column) -> tuple[Column, Column]:
-    """Parent and child of a key text; stages without children keep the text whole."""
-    split_at = F.when(script == STAGE_FIELDS, "::").when(
-        script.isin(STAGE_SPECS, STAGE_GLUE_SPECS), "."
-    )
-    place = F.when(split_at.isNotNull(), F.position(split_at, key)).otherwise(0)
-    parent = F.when(place > 0, F.substring(key, F.lit(1), place - 1)).otherwise(key)
-    child = F.when(place > 0, F.substring(key, place + F.length(split_at), F.length(key)))
-    return parent, F.coalesce(child, F.lit(NO_CHILD))
+    """Parent and child of a key text; stages without children keep the text whole.
+
+    A parent may hold dots: the text is cut where a known child name follows.
+    """
+    by_dot, by_colons = rf"^([\s\S]*?)\.({_CHILDREN})$", r"^([\s\S]*?)::([\s\S]*)$"
+    specs = script.isin(STAGE_SPECS, STAGE_GLUE_SPECS) & key.rlike(by_dot)
+    fields = (script == STAGE_FIELDS) & key.rlike(by_colons)
+
+    def part(n: int) -> Column:
+        return F.when(specs, F.regexp_extract(key, by_dot, n)).when(fields, F.regexp_extract(key, by_colons, n))
+
+    return F.coalesce(part(1), key), F.coalesce(part(2), F.lit(NO_CHILD))
 
 
 def failures_of(quarantine: DataFrame, script: str) -> DataFrame:
@@ -141,9 +151,10 @@ def retry_children(work: DataFrame, pending: DataFrame) -> DataFrame:
     exact = (
         pending.filter(~stage).select("parent_key", "child_key").distinct().withColumn("by_key", F.lit(True))
     )
+    keys = ["parent_key", "child_key"]
+    spread = [c for c in work.columns if c not in keys] or keys
     return (
-        lookup(work, parents, ["parent_key"], ["child_key"])
-        .join(exact, ["parent_key", "child_key"], "left")
+        lookup(lookup(work, parents, ["parent_key"], ["child_key"]), exact, keys, spread)
         .filter(F.coalesce("by_parent", "by_key", F.lit(False)))
         .select(*work.columns)
     )

@@ -10,6 +10,7 @@ from tallyloom.session import stage_table
 
 TWO_CELLS = "two_cells"  # at least two non-null cells, blank text counts
 TWO_TEXTS = "two_texts"  # at least two cells that are not blank
+NO_HEADER = "no_header"  # a table whose rows are all data
 ITEM_TOKENS = ITEM_HEADER_TOKENS
 SPEC_TOKENS = SPEC_HEADER_TOKENS
 
@@ -18,6 +19,8 @@ def is_header(rule, dtypes: Column | None = None, svals: Column | None = None) -
     """Whether a grid row qualifies as header: a rule name, or the words it has to contain."""
     dtypes = F.col("cells.dtype") if dtypes is None else dtypes
     svals = F.col("cells.sval") if svals is None else svals
+    if rule == NO_HEADER:
+        return F.lit(False)
     if rule == TWO_CELLS:
         return filled_count(dtypes) >= 2
     if rule == TWO_TEXTS:
@@ -50,9 +53,14 @@ def sheet_facts(grid: DataFrame, rule=TWO_CELLS) -> DataFrame:
 
 
 def staged_facts(grid: DataFrame, rule=TWO_CELLS, first_if_none: bool = False) -> DataFrame:
-    """Facts written once for reuse; optionally the first row stands in for a missing header."""
+    """Facts written once for reuse; optionally the first row stands in for a missing header.
+
+    Without any header (``NO_HEADER``) its place is before the first row, so all rows are data.
+    """
     facts = sheet_facts(grid, rule)
-    if first_if_none:
+    if rule == NO_HEADER:
+        facts = facts.withColumn("header_row", F.col("first_row") - 1)
+    elif first_if_none:
         facts = facts.withColumn("header_row", F.coalesce("header_row", "first_row"))
     return stage_table(facts, "sheet-facts")
 

@@ -32,6 +32,7 @@ _EVENT_CELLS = (
     f"cast(0 as bigint) as col_idx, dtype, case when dtype<>'null' then sval end as sval from {_DIRTY})"
 )
 _ORDER_TAGS = "o_orderkey:int o_custkey:int o_orderstatus:str o_totalprice:float o_orderdate:datetime o_orderpriority:str".split()
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 _ORDER_CELLS = "(" + " union all ".join(
     "select 'orders' as source_id, o_orderstatus as sheet, cast(0 as bigint) as sheet_idx, o_orderkey as row_num, "
     f"cast({i} as bigint) as col_idx, "
@@ -41,16 +42,27 @@ _ORDER_CELLS = "(" + " union all ".join(
 ) + ")"
 
 
-def _profile(cells: str, header: str = "k>=2", tokens: bool = False) -> str:
-    """Common table expressions of a profile: heads, body, totals, tallies, columns, issues."""
+def _profile(cells: str, header: str = "k>=2", tokens: bool = False, names: tuple[str, ...] = ()) -> str:
+    """Common table expressions of a profile: heads, body, totals, tallies, columns, issues.
+
+    ``names`` are the columns of a table all of whose rows are data.
+    """
     words = (
         "count(*) filter (lower(trim(sval)) in ('items','specifications'))" if tokens else "0"
     )
+    place = "min(row_num)-1" if names else f"coalesce(min(row_num) filter ({header}), min(row_num))"
+    titles = (
+        f"select distinct source_id, sheet, sheet_idx, col_idx, {list(names)}[col_idx+1] as \"column\" from cells"
+        if names
+        else """select c.source_id, c.sheet, c.sheet_idx, c.col_idx,
+                 coalesce(trim(c.sval), concat('col_', c.col_idx)) as "column"
+          from cells c join heads h using (source_id, sheet, sheet_idx) where c.row_num=h.header_row"""
+    )
     return f"""
 with cells as materialized {cells},
 grid as (select source_id, sheet, sheet_idx, row_num, count(*) filter (dtype<>'null') as k, {words} as w
          from cells group by all),
-heads as (select source_id, sheet, sheet_idx, coalesce(min(row_num) filter ({header}), min(row_num)) as header_row
+heads as (select source_id, sheet, sheet_idx, {place} as header_row
           from grid group by all),
 body as (select c.* from cells c join heads h using (source_id, sheet, sheet_idx) where c.row_num>h.header_row),
 totals as (select source_id, sheet, sheet_idx, h.header_row,
@@ -59,9 +71,7 @@ totals as (select source_id, sheet, sheet_idx, h.header_row,
            from grid g join heads h using (source_id, sheet, sheet_idx) group by all),
 tallies as (select source_id, sheet, sheet_idx, col_idx, dtype, count(*) as n, min(row_num) as first_row
             from body where dtype<>'null' group by all),
-names as (select c.source_id, c.sheet, c.sheet_idx, c.col_idx,
-                 coalesce(trim(c.sval), concat('col_', c.col_idx)) as "column"
-          from cells c join heads h using (source_id, sheet, sheet_idx) where c.row_num=h.header_row),
+names as ({titles}),
 types as (select source_id, sheet, sheet_idx, col_idx, count(*) as kinds,
                  string_agg(concat(dtype,':',n), ',' order by first_row) as types,
                  string_agg(concat('''',dtype,''': ',n), ', ' order by first_row) as shown,
@@ -322,11 +332,10 @@ ORACLES: dict[str, str] = {
     "column_profile": _profile(_EVENT_CELLS) + _COLUMNS,
     "board_column_profile": _profile(_BOARD_CELLS) + _COLUMNS,
     "named_header_profile": _profile(_BOARD_CELLS, "w>=2", tokens=True) + _COLUMNS,
-    "typed_table_profile": _profile(_ORDER_CELLS) + "select * exclude (shown, types, \"column\") from cols",
+    "typed_table_profile": _profile(_ORDER_CELLS, names=_ORDER_COLUMNS) + _COLUMNS,
     "duplicate_rows": _profile(_EVENT_CELLS) + "select * from dups",
-    "document_duplicates": """with d as (select lang, text, source, doc_id, min(doc_id) over (partition by lang) as h from documents)
-        select 'documents' as source_id, lang as sheet, cast(0 as bigint) as sheet_idx, cast(sum(n-1) as bigint) as duplicate_row_count
-        from (select lang, text, source, count(*) as n from d where doc_id>h group by all) group by lang""",
+    "document_duplicates": """select 'documents' as source_id, lang as sheet, cast(0 as bigint) as sheet_idx, cast(sum(n-1) as bigint) as duplicate_row_count
+        from (select lang, text, source, count(*) as n from documents group by all) group by lang""",
     "quality_issues": _profile(_BOARD_CELLS) + "select * from issues",
     "sheet_report": _profile(_TWO_GRIDS)
     + """select * from report union all select 'blank', r_name, r_regionkey, null, null, null, null, null, null, 'OK', 'empty sheet' from region""",

@@ -127,10 +127,10 @@ def _shown(columns: DataFrame) -> DataFrame:
     return columns.withColumn("types", F.array_join(entries, ",")).drop("type_distribution")
 
 
-def _columns_of(grid: DataFrame, rule=sheets.TWO_CELLS) -> DataFrame:
+def _columns_of(grid: DataFrame, rule=sheets.TWO_CELLS, names: list[str] | None = None) -> DataFrame:
     facts = profile.profile_facts(grid, rule)
     tallies = stage_table(profile.cell_tallies(grid, facts), "tallies")
-    return profile.column_profile(profile.column_names(grid, facts), tallies)
+    return profile.column_profile(profile.column_names(grid, facts, names=names), tallies)
 
 
 @query
@@ -156,7 +156,8 @@ def named_header_profile(spark, sf_dir):
 
 @query
 def typed_table_profile(spark, sf_dir):
-    return _shown(_columns_of(views.order_grid(spark, sf_dir))).drop("column", "types")
+    names = _table(spark, sf_dir, "orders").columns
+    return _shown(_columns_of(views.order_grid(spark, sf_dir), sheets.NO_HEADER, names))
 
 
 @query
@@ -168,7 +169,7 @@ def duplicate_rows(spark, sf_dir):
 @query
 def document_duplicates(spark, sf_dir):
     grid = views.document_grid(spark, sf_dir)
-    return profile.duplicate_rows(grid, profile.profile_facts(grid))
+    return profile.duplicate_rows(grid, profile.profile_facts(grid, sheets.NO_HEADER))
 
 
 @query

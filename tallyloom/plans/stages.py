@@ -119,7 +119,8 @@ class Onboarding:
         self.store = store
         self.registry = registry
         self.grid = grid
-        self.statuses = source_status(registry, listing, folder_key, read_errors)
+        # Staged: hashing reads all content, and every stage needs the result.
+        self.statuses = stage_table(source_status(registry, listing, folder_key, read_errors), "statuses")
         self.ts = run_ts
         for name, ddl in TABLES.items():
             store.ensure(name, ddl)
@@ -159,7 +160,8 @@ class Onboarding:
         )
 
     def _outcomes(self, work: DataFrame, kept: DataFrame) -> DataFrame:
-        processed = work.select("source_id", F.lit("processed").alias("outcome"))
+        ok = F.col("file_status") == "ok"
+        processed = work.select("source_id", F.when(ok, "processed").otherwise(F.col("file_status")).alias("outcome"))
         return catalog.outcome_counts(
             processed.unionByName(kept.select("source_id", F.lit("skipped").alias("outcome")))
         )
@@ -231,10 +233,27 @@ class Onboarding:
         )
         self.store.write("quarantine", settled)
 
-    def _finish(self, script: str, counts: DataFrame, mode: str, must_be_zero: list[str]) -> DataFrame:
-        """Manifest and ``loaded`` status for the sources in which nothing failed."""
+    def _finish(
+        self, script: str, counts: DataFrame, mode: str, must_be_zero: list[str], keys: DataFrame | None = None
+    ) -> DataFrame:
+        """``loaded`` status for each source in which nothing failed or is pending, manifest for a clean run.
+
+        ``keys(source_id, parent_key)`` tells whose source a pending key is; without it any
+        pending key holds back all sources. The manifest of a run is written only if no
+        source failed and the stage has nothing in quarantine.
+        """
+        counts = stage_table(counts, "counts")
+        pending = quarantine.failures_of(self.table("quarantine"), script).select("parent_key").distinct()
         rows = quarantine.manifest_rows(counts, script, mode, self.ts, must_be_zero)
-        self.store.append("load_manifest", rows, "parquet")
+        blocked = not pending.isEmpty()
+        if keys is not None:
+            held = stage_table(keys.join(pending, "parent_key", "left_semi").select("source_id").distinct(), "held")
+            rows = rows.join(held, "source_id", "left_anti")
+        elif blocked:
+            rows = rows.limit(0)
+        rows = stage_table(rows, "manifest")
+        if not blocked and rows.count() == counts.count():
+            self.store.append("load_manifest", rows, "parquet")
         files = rows.select("source_id").join(self.statuses.select("source_id", "file_key"), "source_id")
         self.store.write(
             "tracker", tracking.mark_loaded(self.table("tracker"), script, files, self.ts)
@@ -281,7 +300,8 @@ class Onboarding:
         counts = quarantine.action_counts(
             by_source.unionByName(skipped), ITEM_ACTIONS, ["source_id"]
         )
-        return self._finish(script, counts, mode, ["fail"])
+        keys = inputs.select("source_id", "parent_key").unionByName(passed.select("source_id", "parent_key"))
+        return self._finish(script, counts, mode, ["fail"], keys)
 
     def specs(self, kind: LedgerKind, retry: bool = False) -> DataFrame | None:
         """Properties from the canonical specification of each sheet.
@@ -355,7 +375,8 @@ class Onboarding:
             .unionByName(passed.select("source_id", F.lit("skip").alias("action")))
         )
         counts = quarantine.action_counts(by_source, PROPERTY_ACTIONS, ["source_id"])
-        return self._finish(script, counts, mode, ["blocked", "fail"])
+        keys = work.select("source_id", "parent_key").unionByName(passed.select("source_id", "parent_key"))
+        return self._finish(script, counts, mode, ["blocked", "fail"], keys)
 
     def _variant_failures(self, kind: LedgerKind, tabs: extract.LedgerTabs, good: DataFrame) -> DataFrame:
         bad = extract.bad_variants(extract.spec_variants(tabs.values), kind.parse)
@@ -375,9 +396,12 @@ class Onboarding:
         sheet: str = fixed.SUPPLIER_SHEET,
         retry: bool = False,
         item_filter: Column | None = None,
+        mapping: DataFrame | None = None,
     ) -> DataFrame | None:
         """Field definitions of the supplier sheet for every item (or those of a filter).
 
+        ``mapping(field_name, field_key, field_type, is_required)`` takes the place of the
+        usual one throughout: in what headers are expected, found, and defined.
         Headers are checked anew on every run and never start a retry by themselves.
         """
         script = fixed.STAGE_FIELDS
@@ -390,21 +414,26 @@ class Onboarding:
         headers = stage_table(extract.header_list(rows), "headers")
         present = headers.select(*SHEET_KEYS).distinct()
         here = F.lit(0).cast("bigint")
+        if mapping is None:
+            mapping = extract.field_mapping(self.grid.sparkSession)
         no_sheet = books.join(present, "source_id", "left_anti").select(
+            "source_id",
             F.lit(HEADER_PARENT).alias("parent_key"),
             F.concat_ws("/", "source_id", F.lit(sheet)).alias("child_key"),
             F.printf(F.lit(fixed.MSG_SHEET_MISSING), F.lit(sheet)).alias("reason"),
             F.lit(fixed.MSG_NO_HEADERS).alias("detail"),
             here.alias("seq"),
         )
-        no_header = extract.missing_headers(headers, present).select(
+        no_header = extract.missing_headers(headers, present, extract.mapped_names(mapping)).select(
+            "source_id",
             F.lit(HEADER_PARENT).alias("parent_key"),
             F.col("header").alias("child_key"),
             F.printf(F.lit(fixed.MSG_HEADER_MISSING), F.col("header"), F.lit(sheet)).alias("reason"),
             F.concat_ws("/", "source_id", "sheet").alias("detail"),
             here.alias("seq"),
         )
-        found = extract.mapped_fields(headers, extract.field_mapping(self.grid.sparkSession))
+        found = extract.mapped_fields(headers, mapping)
+        no_headers = stage_table(no_sheet.unionByName(no_header), "header-failures")
         items = self.table("inventory_item")
         if item_filter is not None:
             items = items.filter(item_filter)
@@ -431,20 +460,31 @@ class Onboarding:
         parents = items.select(F.col("display_name").alias("parent_key")).unionByName(
             books.limit(1).select(F.lit(HEADER_PARENT).alias("parent_key"))
         )
-        self._settle(script, parents, failures.unionByName(no_sheet).unionByName(no_header))
+        self._settle(script, parents, failures.unionByName(no_headers.drop("source_id")))
         totals = quarantine.action_counts(actions, FIELD_ACTIONS)
-        header_failures = no_sheet.unionByName(no_header).agg(F.count(F.lit(1))).scalar()
-        one = totals.withColumn("fail", F.col("fail") + header_failures)
-        # One row of totals for each supplier book.
-        counts = books.select("source_id", *[one.select(n).scalar().alias(n) for n in FIELD_ACTIONS])
-        return self._finish(script, counts, mode, ["conflict", "fail"])
+        # Fields belong to all books, so the first one carries their totals; headers to their own.
+        first = books.agg(F.min("source_id")).scalar()
+        by_book = no_headers.groupBy("source_id").agg(F.count(F.lit(1)).alias("headers"))
+        shares = [F.when(F.col("source_id") == first, totals.select(n).scalar()).otherwise(0).alias(n) for n in FIELD_ACTIONS]
+        counts = (
+            books.join(by_book, "source_id", "left")
+            .select("source_id", "headers", *shares)
+            .withColumn("fail", F.col("fail") + F.coalesce("headers", F.lit(0)))
+            .drop("headers")
+        )
+        held = no_headers.select("source_id", "parent_key")
+        return self._finish(script, counts, mode, ["conflict", "fail"], held)
 
     # --- thresholds ------------------------------------------------------------------
 
+    def _keep_errors(self, bad: DataFrame) -> str:
+        self.store.write("config_errors", bad)
+        return self.store.path("config_errors")
+
     def thresholds(self, config: DataFrame, retry: bool = False) -> DataFrame | None:
         """Thresholds from ``config(value)``; an invalid document stops before anything is written."""
         checked = checks.checked_thresholds(checks.threshold_entries(config))
-        wanted = checks.require_valid(stage_table(checked, "checked"))
+        wanted = checks.require_valid(stage_table(checked, "checked"), self._keep_errors)
         script = fixed.STAGE_THRESHOLDS
         pending = self._pending(script)
         mode = quarantine.run_mode(pending, retry)

@@ -1,13 +1,9 @@
 """Files as inputs: listing, content hashes, and status of registered sources."""
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Spark's binary source holds a file in memory; larger files are hashed as a stream.
-IN_MEMORY_BYTES = 256 * 1024 * 1024
+# What Spark's binary source can hold as one value.
+MOST_BYTES = 2**31 - 1
 
 
 def file_key(path: Column, root: str) -> Column:
@@ -21,51 +17,38 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        hashes = []
-        for path in batch["path"]:
-            system, name = fs.FileSystem.from_uri(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(name) as stream:
-                while chunk := stream.read(1 << 20):
-                    digest.update(chunk)
-            hashes.append(digest.hexdigest())
-        yield batch.assign(hash=hashes)
-
-
-def list_files(
-    spark: SparkSession, folder: str, root: str, in_memory: int = IN_MEMORY_BYTES
-) -> DataFrame:
-    """``(file_key, hash, size_bytes)`` of all files below ``folder``.
+def list_files(spark: SparkSession, folder: str, root: str, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """``(file_key, hash, size_bytes, error)`` of all files below ``folder``.
 
-    The length filter reaches the source, so content beyond the limit is never loaded;
-    those files are spread one per row and hashed in chunks inside the tasks.
+    Names and sizes come from the listing alone; every file is then read once, in one way
+    whatever its size, through the file system Spark knows for the folder. A file that
+    cannot be read, or is too large for one value, keeps its row, without hash and with an
+    error, and no file stops another. Spark's scan passes over empty files: they count as
+    missing.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    small = files.filter(F.col("length") <= in_memory).select(
-        "path", "length", content_hash(F.col("content")).alias("hash")
-    )
-    large = (
-        files.filter(F.col("length") > in_memory)
-        .select("path", "length")
-        .repartition(F.col("path"))
-        .mapInPandas(_stream_hashes, "path string, length bigint, hash string")
-    )
-    return small.unionByName(large).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = files.load(folder).select("path", "length")
+    readable = files.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(folder)
+    hashed = readable.filter(F.col("length") <= most_bytes).select("path", content_hash(F.col("content")).alias("hash"))
+    error = F.when(F.col("length") > most_bytes, F.format_string("File has %d bytes, at most %d can be read", "length", F.lit(most_bytes)))
+    return listed.join(hashed, "path", "left").select(
         file_key(F.col("path"), root).alias("file_key"),
         "hash",
         F.col("length").alias("size_bytes"),
+        F.when(F.col("hash").isNull(), F.coalesce(error, F.lit("File cannot be read"))).alias("error"),
     )
 
 
 def source_status(registry: DataFrame, listing: DataFrame, folder_key: str, errors: DataFrame | None = None) -> DataFrame:
     """Registry with ``ok``, ``missing`` or ``error`` per source; no source stops another.
 
-    ``errors(source_id, error)`` holds what decoding reported for unreadable files.
+    ``errors(source_id, error)`` holds what decoding reported for unreadable files; a listing
+    may bring an ``error`` of its own for files that could not be hashed.
     """
+    if "error" in listing.columns:
+        listing = listing.withColumnRenamed("error", "list_error")
+    else:
+        listing = listing.withColumn("list_error", F.lit(None).cast("string"))
     prefix = folder_key.rstrip("/") + "/" if folder_key else ""
     keyed = registry.withColumn("file_key", F.concat(F.lit(prefix), F.col("filename")))
     joined = keyed.join(listing, "file_key", "left")
@@ -76,16 +59,17 @@ def source_status(registry: DataFrame, listing: DataFrame, folder_key: str, erro
             errors.select("source_id", F.col("error").alias("read_error")), "source_id", "left"
         )
     missing = F.col("size_bytes").isNull()
+    read_error = F.coalesce("list_error", "read_error")
     return joined.select(
         *registry.columns,
         "file_key",
         "hash",
         "size_bytes",
         F.when(missing, "missing")
-        .when(F.col("read_error").isNotNull(), "error")
+        .when(read_error.isNotNull(), "error")
         .otherwise("ok")
         .alias("status"),
         F.when(missing, F.concat(F.lit("File not found: "), F.col("file_key")))
-        .otherwise(F.col("read_error"))
+        .otherwise(read_error)
         .alias("error"),
     )

@@ -2,13 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyloom.fixed_values import DEFAULT_UOM, SOURCES
-from tallyloom.schemas import REGISTRY, struct_type
-
-
-def default_registry(spark: SparkSession) -> DataFrame:
-    rows = [(*entry, i) for i, entry in enumerate(SOURCES)]
-    return spark.createDataFrame(rows, struct_type(REGISTRY))
+from tallyloom.fixed_values import DEFAULT_UOM
+from tallyloom.schemas import REGISTRY
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:

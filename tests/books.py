@@ -2,7 +2,19 @@
 
 from datetime import datetime
 
-from tallyloom.schemas import GRID, struct_type
+from tallyloom import fixed_values as fixed
+from tallyloom.schemas import GRID, REGISTRY, struct_type
+
+# filename, source_id, seed_type, base_uom, description
+BOOKS = (
+    ("Stock management.xlsx", "stock_management", fixed.BOARD_SEED, None, "boards"),
+    ("GLUE RECORD-1.xlsx", "glue_record", fixed.GLUE_SEED, "bags", "glue"),
+    ("Tree log suppliers Book.xlsx", "tree_log_suppliers", fixed.SUPPLIER_SEED, None, "logs"),
+)
+
+
+def registry(spark):
+    return spark.createDataFrame([(*b, i) for i, b in enumerate(BOOKS)], struct_type(REGISTRY))
 
 
 def tag(value):

@@ -21,7 +21,7 @@ def test_thickness_tab(spark, name, valid):
 HEADER_CASES = [
     ([("Date", "Items", "Specifications", "quantity")], 1),
     ([("INPUT", None, None, None, "OUTPUT"), ("Date", "Items", "Specifications", "quantity")], 2),
-    ([(None, None, None), ("foo", "bar", "baz")], None),
+    ([("quantity", None), (None, "7", "x9"), (3, "Items only")], None),
     ([("DATE", " ITEMS ", "SPECIFICATIONS")], 1),
     ([("Date of items", "x"), ("items", "date", "specifications")], 2),
 ]
@@ -51,9 +51,9 @@ def test_catalog_metrics(spark):
 
 
 FIRST_CASES = [
-    ([("INPUT", None, None), ("Date", "Items", "S"), ("d", "6mm", "x"), ("d", "7mm", "x")], (3, "6mm MDF")),
-    ([("Date", "Items", "S"), ("d", None, None), ("d", "  ", "x"), ("d", " 9mm ", "x")], (4, "9mm MDF")),
-    ([("Date", "Items", "S"), ("d", None, None)], None),
+    ([("stock of May",), ("date", "items"), (1, "21mm"), (2, "8mm")], (3, "21mm MDF")),
+    ([("items", "DATE", "x"), (None, "\t"), ("y", None, 4), (5, " 3.5mm\n")], (4, "3.5mm MDF")),
+    ([("Date", "Items"), (1, ""), (2, None)], None),
     ([("Date", "Items"), ("short",), ("d", "5mm")], (3, "5mm MDF")),
 ]
 

@@ -4,7 +4,7 @@ import hashlib
 import json
 
 import pytest
-from books import grid, sheet
+from books import grid, registry as book_registry, sheet
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
@@ -54,18 +54,29 @@ def test_typed_table_cells(spark):
     assert [c.dtype for c in g.first().cells] == ["int", "float", "bool", "datetime", "date", "formula", "null"]
 
 
-def test_listing_hashes_small_and_large_files(spark, tmp_path):
+def test_listing_hashes_files_of_any_size_and_name(spark, tmp_path):
     (tmp_path / "raw").mkdir()
-    contents = {"a.bin": b"x" * 10, "b.bin": b"y" * 3_000_000}
+    contents = {"a.bin": b"x" * 10, "Stock management.xlsx": b"y" * 3_000_000, "100% #1.bin": b"z"}
     for name, data in contents.items():
         (tmp_path / "raw" / name).write_bytes(data)
-    listing = files.list_files(spark, str(tmp_path / "raw"), str(tmp_path), in_memory=1000)
+    listing = files.list_files(spark, str(tmp_path / "raw"), str(tmp_path))
     got = {r.file_key: (r.hash, r.size_bytes) for r in listing.collect()}
     assert got == {
         f"raw/{n}": (hashlib.sha256(d).hexdigest(), len(d)) for n, d in contents.items()
     }
 
 
+def test_file_that_cannot_be_hashed_keeps_its_row(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for name, size in (("GLUE RECORD-1.xlsx", 50), ("Stock management.xlsx", 2000)):
+        (tmp_path / "raw" / name).write_bytes(b"x" * size)
+    listing = files.list_files(spark, str(tmp_path / "raw"), str(tmp_path), most_bytes=1000)
+    rows = {r.file_key: r for r in listing.collect()}
+    assert rows["raw/Stock management.xlsx"].hash is None and "2000" in rows["raw/Stock management.xlsx"].error
+    got = {r.source_id: r.status for r in files.source_status(book_registry(spark), listing, "raw").collect()}
+    assert got == {"stock_management": "error", "glue_record": "ok", "tree_log_suppliers": "missing"}
+
+
 def test_file_key_outside_root(spark):
     df = spark.createDataFrame([("file:/data/raw/a.xlsx",), ("/elsewhere/b.xlsx",)], "p string")
     keys = [r[0] for r in df.select(files.file_key(F.col("p"), "/data")).collect()]
@@ -73,7 +84,7 @@ def test_file_key_outside_root(spark):
 
 
 def test_source_status(spark):
-    reg = registry.default_registry(spark)
+    reg = book_registry(spark)
     listing = spark.createDataFrame(
         [("raw/Stock management.xlsx", "h1", 2048), ("raw/GLUE RECORD-1.xlsx", "h2", 10)],
         schemas.struct_type(schemas.LISTING),

@@ -1,13 +1,12 @@
 """Complete runs over the documented ledgers, with stored state."""
 
 import pytest
-from books import BOARD_TABS, board_sheets, glue_sheets, grid, supplier_sheets
+from books import BOARD_TABS, BOOKS, board_sheets, glue_sheets, grid, registry, supplier_sheets
 from pyspark.sql import functions as F
 
 from tallyloom import fixed_values as fixed, schemas
 from tallyloom.operators import checks
 from tallyloom.plans.stages import BOARDS, GLUE, Onboarding
-from tallyloom.sources.registry import default_registry
 from tallyloom.sources.store import Store
 
 CONFIG = '{"_comment": "x", "thresholds": {"9mm MDF": 500, "6mm MDF": 300, "12mm MDF": 200}}'
@@ -24,7 +23,7 @@ def onboarding(spark, path, sheets=None, files=None, ts="2024-06-01 00:00:00"):
     sheets = sheets or [*board_sheets(), *glue_sheets(), *supplier_sheets()]
     return Onboarding(
         Store(spark, str(path)),
-        default_registry(spark),
+        registry(spark),
         grid(spark, *sheets),
         files if files is not None else listing(spark),
         F.lit(ts).cast("timestamp"),
@@ -159,3 +158,77 @@ def test_invalid_config_changes_nothing(spark, tmp_path):
     with pytest.raises(checks.InvalidConfig):
         run.thresholds(config(spark, '{"thresholds": {"6mm MDF": true}}'))
     assert snapshot(run) == before
+    errors = run.store.read("config_errors", "display_name string, value_text string, threshold int, error string")
+    assert [r.display_name for r in errors.collect()] == ["6mm MDF"]
+
+
+def test_repeated_threshold_is_an_error(spark, tmp_path):
+    run = onboarding(spark, tmp_path)
+    run.items(BOARDS)
+    before = snapshot(run)
+    twice = config(spark).unionByName(config(spark, '{"thresholds": {"6mm MDF": 7}}'))
+    with pytest.raises(checks.InvalidConfig, match="2 errors.*given 2 times"):
+        run.thresholds(twice)
+    assert snapshot(run) == before
+
+
+def test_pending_variant_keeps_the_gate_shut(spark, tmp_path):
+    tabs = [("6MM", "6mm", ["0.6*122*244", "0.6*122"])]
+    run = onboarding(spark, tmp_path, [*board_sheets(tabs=tabs), *glue_sheets(), *supplier_sheets()])
+    run.items(BOARDS)
+    assert counts(run.specs(BOARDS))["fail"] == 0
+    assert [r.child_key for r in run.table("quarantine").collect()] == ["variant_0.6*122"]
+    loaded = {r.script for r in spark.read.parquet(run.store.path("load_manifest")).collect()}
+    assert loaded == {"de_1_1"}
+    states = {(r.stage, r.source_id or r.file_key): r.status for r in run.table("tracker").collect()}
+    assert not any(stage == "de_1_2" for stage, _ in states)
+
+
+def test_missing_source_is_not_counted_as_processed(spark, tmp_path):
+    run = onboarding(spark, tmp_path, files=listing(spark, **{"GLUE RECORD-1.xlsx": None}))
+    assert {r.outcome: r.n for r in run.catalog().collect()} == {"processed": 2, "missing": 1}
+
+
+def test_mapping_of_the_caller(spark, tmp_path):
+    run = onboarding(spark, tmp_path)
+    run.items(BOARDS)
+    mapping = spark.createDataFrame(
+        [("Date", "day", "timestamp", False), ("Remarks", "remarks", None, None), ("Crew", "crew", "text", True)],
+        "field_name string, field_key string, field_type string, is_required boolean",
+    )
+    assert counts(run.fields(mapping=mapping)) == {"insert": 16, "skip": 0, "conflict": 0, "fail": 1}
+    fields = {(r.field_name, r.field_key, r.field_type, r.is_required) for r in run.table("batch_field").collect()}
+    assert fields == {("Date", "day", "timestamp", False), ("Remarks", "remarks", "text", False)}
+    assert [r.child_key for r in run.table("quarantine").collect()] == ["Crew"]
+
+
+def test_content_is_listed_once_per_run(spark, tmp_path):
+    from tallyloom.sources.files import list_files
+
+    (tmp_path / "raw").mkdir()
+    for name, *_ in BOOKS:
+        (tmp_path / "raw" / name).write_bytes(name.encode())
+    run = onboarding(spark, tmp_path / "state", files=list_files(spark, str(tmp_path / "raw"), str(tmp_path)))
+    assert {r.outcome: r.n for r in run.catalog().collect()} == {"processed": 3}
+    # What the stages read is the staged result: no plan goes back to the files.
+    for frame in (run.statuses, run.table("tracker"), run.profile()):
+        assert "binaryFile" not in frame._jdf.queryExecution().toString()
+
+
+def test_imported_log_selects_tabs_and_empties(spark, tmp_path):
+    import json
+
+    from tallyloom.sources.documents import read_failure_log
+
+    entries = [("de_1_1", "6MM"), ("de_1_2", "9MM.all"), ("de_1_2", "gone.parse")]
+    lines = [json.dumps({"script": s, "key": k, "timestamp": "2026-06-01T15:00:00Z"}) for s, k in entries]
+    (tmp_path / "failures.log").write_text("\n".join(lines))
+    run = onboarding(spark, tmp_path / "state")
+    log = read_failure_log(spark, str(tmp_path / "failures.log"), run.registry, run.grid.select("source_id", "sheet"))
+    run.store.write("quarantine", log)
+    assert counts(run.items(BOARDS)) == {"insert": 1, "repair": 0, "skip": 8, "fail": 0}
+    run.specs(BOARDS)
+    assert run.table("quarantine").count() == 1  # 9MM has no item yet
+    run.items(BOARDS)
+    run.specs(BOARDS)
+    assert run.table("quarantine").count() == 0
