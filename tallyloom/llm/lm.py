@@ -72,6 +72,8 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def packed(values: np.ndarray) -> bytes:
     """Integers as differences, bytes of one weight together, compressed."""
+    if not len(values):
+        return bytes(8)
     steps = np.diff(values, prepend=np.zeros(1, dtype=values.dtype))
     planes = np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), -1).T)
     return len(planes.tobytes()).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
