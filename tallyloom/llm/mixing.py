@@ -14,6 +14,8 @@ MOST_REPEATS = 3
 # The mix is configured per source; more sources than this are refused, not cut.
 MOST_SOURCES = 10_000
 SHARDS = 64
+# Rows a source's last block may add, beyond those in hash order, to come near the target.
+FILLS = 4
 SEED = 20240229
 
 
@@ -125,7 +127,7 @@ def mix_sources(
     A document belongs to a block of its source by a hash of its id and text, so block order
     is a random permutation. A source is passed over whole as often as its target allows; a
     further pass takes whole blocks up to the rest of the target and, of the block in which
-    the rest ends, documents in hash order plus the one that fills the gap best. Blocks drawn
+    the rest ends, documents in hash order plus up to FILLS that fill the gap. Blocks drawn
     by a source are numbered through all passes, and the splitting tree gives every output
     shard a disjoint run of these numbers; within a shard rows are in hash order.
 
@@ -186,7 +188,7 @@ def mix_sources(
         " bounds array<bigint>",
     )
 
-    # Within the last block: hash order up to the rest, then the one row that fills it best.
+    # Within the last block: hash order up to the rest, then rows that fill what is left.
     # Repeats of one row share a key and are taken together or not at all.
     in_order = Window.partitionBy("source").orderBy("key", "size")
     ends = (
@@ -204,30 +206,45 @@ def mix_sources(
         .select(F.col("source").alias("fact_source"), "last")
     )
     beyond = ends.join(F.broadcast(prefix), F.col("source").eqNullSafe(F.col("fact_source")), "left").filter("end > room")
-    gap = F.col("room") - F.coalesce("last.end", F.lit(0))
-    fill = {
-        r.source: r.best
-        for r in beyond.withColumn("off", F.abs(gap - F.col("words")))
-        .filter(F.col("off") < gap)
-        .groupBy("source")
-        .agg(F.min(F.struct("off", "key", "size")).alias("best"))
-        .collect()
-    }
     last = {r.fact_source: r["last"] for r in prefix.collect()}
-
-    def edge(found: dict, name: str | None) -> tuple[int | None, int | None]:
-        return (found[name]["key"], found[name]["size"]) if name in found else (None, None)
+    room_of = {name: room for name, (_, room) in cut_of.items() if room > 0}
+    gaps = {name: room - (last[name]["end"] if name in last else 0) for name, room in room_of.items()}
+    fills: dict[str | None, list[tuple[int, int]]] = {name: [] for name in gaps}
+    for turn in range(FILLS):
+        state = spark.createDataFrame(
+            [(name, float(gap), [k for k, _ in fills[name]]) for name, gap in gaps.items()],
+            "source string, gap double, filled array<bigint>",
+        )
+        # The largest row that fits; in the last turn the one that comes nearest.
+        off = F.abs(F.col("gap") - F.col("words"))
+        fits = off < F.col("gap") if turn == FILLS - 1 else F.col("words") <= F.col("gap")
+        best = (
+            with_facts(beyond.select("source", "key", "size", "words"), state)
+            .filter(fits & (F.col("words") > 0) & ~F.array_contains("filled", F.col("key")))
+            .groupBy("source")
+            .agg(F.min(F.struct(off.alias("off"), "key", "size", "words")).alias("best"))
+        )
+        for r in best.collect():
+            fills[r.source].append((r.best["key"], r.best["size"]))
+            gaps[r.source] -= r.best["words"]
 
     picks = spark.createDataFrame(
-        [(s.name, *edge(last, s.name), *edge(fill, s.name)) for s in plan],
-        "source string, last_key bigint, last_size bigint, fill_key bigint, fill_size bigint",
+        [
+            (s.name, last[s.name]["key"], last[s.name]["size"]) if s.name in last else (s.name, None, None)
+            for s in plan
+        ],
+        "source string, last_key bigint, last_size bigint",
+    )
+    fill_rows = spark.createDataFrame(
+        [(s.name, [{"key": k, "size": n} for k, n in fills.get(s.name, [])]) for s in plan],
+        "source string, fills array<struct<key:bigint,size:bigint>>",
     )
 
-    placed = with_facts(with_facts(rows, facts), picks).withColumn("block", F.pmod("key", "blocks"))
+    placed = with_facts(with_facts(with_facts(rows, facts), picks), fill_rows).withColumn("block", F.pmod("key", "blocks"))
     chosen = (
-        (F.col("key") < F.col("last_key"))
-        | ((F.col("key") == F.col("last_key")) & (F.col("size") <= F.col("last_size")))
-        | ((F.col("key") == F.col("fill_key")) & (F.col("size") == F.col("fill_size")))
+        F.coalesce(F.col("key") < F.col("last_key"), F.lit(False))
+        | F.coalesce((F.col("key") == F.col("last_key")) & (F.col("size") <= F.col("last_size")), F.lit(False))
+        | F.array_contains("fills", F.struct("key", "size"))
     )
     part = (F.col("block") < F.col("cut")) | ((F.col("block") == F.col("cut")) & F.coalesce(chosen, F.lit(False)))
     copies = (F.col("passes") + part.cast("int")).alias("copies")
