@@ -13,6 +13,21 @@ def sheet_catalog(grid: DataFrame) -> DataFrame:
     )
 
 
+def with_blank_sheets(catalog: DataFrame, sheets: DataFrame) -> DataFrame:
+    """Catalog with an entry of zeros for each of ``sheets`` that holds no row, which a grid cannot show."""
+    none = F.lit(0).cast("bigint")
+    blank = sheets.select(*SHEET_KEYS).distinct().join(catalog, SHEET_KEYS, "left_anti")
+    return catalog.unionByName(
+        blank.select(
+            *SHEET_KEYS,
+            none.alias("total_rows"),
+            none.alias("non_empty_rows"),
+            none.alias("column_count"),
+            F.lit(None).cast("bigint").alias("header_row"),
+        )
+    )
+
+
 def source_catalog(statuses: DataFrame, sheets: DataFrame) -> DataFrame:
     """One row per registered source: status, path, size in KB and number of sheets.
 

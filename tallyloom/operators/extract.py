@@ -139,12 +139,11 @@ def bad_variants(variants: DataFrame, parse=parse_board_spec) -> DataFrame:
 class LedgerTabs:
     """Header, first item and specifications of every sheet, from two passes over the grid."""
 
-    def __init__(self, grid: DataFrame, tokens=SPEC_TOKENS):
+    def __init__(self, grid: DataFrame, tokens=SPEC_TOKENS, columns: dict[str, int] | None = None):
+        """``columns`` limits what is looked at; a stage that needs items alone shuffles no specifications."""
+        columns = columns or {"items": ITEMS_COL, "spec": SPECS_COL}
         self.facts = staged_headers(grid, tokens)
-        self.values = stage_table(
-            distinct_values(grid, self.facts, {"items": ITEMS_COL, "spec": SPECS_COL}),
-            "ledger-values",
-        )
+        self.values = stage_table(distinct_values(grid, self.facts, columns), "ledger-values")
 
     def summary(self, name=board_name) -> DataFrame:
         """Per sheet: item, name, canonical specification, variant count, and what is missing."""

@@ -240,6 +240,18 @@ def source_report(report: DataFrame) -> DataFrame:
     )
 
 
+def profiled_sources(statuses: DataFrame, report: DataFrame) -> DataFrame:
+    """Roll-up for every source of ``statuses``, also missing, unreadable and empty ones."""
+    found = source_report(report)
+    return statuses.select("source_id", "status", "error").join(found, "source_id", "left").select(
+        "source_id",
+        "status",
+        "error",
+        F.coalesce("sheet_count", F.lit(0)).alias("sheet_count"),
+        F.coalesce("total_issues", F.lit(0)).alias("total_issues"),
+    )
+
+
 def quality_report(report: DataFrame, issues: DataFrame) -> DataFrame:
     """Report lines: one per issue, and one without text for a sheet in order."""
     return report.join(issues, SHEET_KEYS, "left").select(

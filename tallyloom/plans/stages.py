@@ -103,6 +103,8 @@ GLUE = LedgerKind(
 class Onboarding:
     """One run: registry, grid and stored state at one point in time.
 
+    ``sheet_list(source_id, sheet, sheet_idx)`` names the sheets of all books, also those
+    without any row, which the grid cannot show.
     The grid holds registered sources only. One run at a time may write to a store.
     """
 
@@ -115,12 +117,14 @@ class Onboarding:
         run_ts: Column,
         folder_key: str = "",
         read_errors: DataFrame | None = None,
+        sheet_list: DataFrame | None = None,
     ):
         self.store = store
         self.registry = registry
         self.grid = grid
         # Staged: hashing reads all content, and every stage needs the result.
         self.statuses = stage_table(source_status(registry, listing, folder_key, read_errors), "statuses")
+        self.sheet_list = sheet_list
         self.ts = run_ts
         for name, ddl in TABLES.items():
             store.ensure(name, ddl)
@@ -145,6 +149,13 @@ class Onboarding:
         readable = work.filter(F.col("file_status") == "ok").select("source_id")
         return keep_keys(self.grid, stage_table(readable, "readable"), ["source_id"], ["row_num"])
 
+    def _listed(self, work: DataFrame) -> DataFrame | None:
+        """Listed sheets of the readable sources of this run."""
+        if self.sheet_list is None:
+            return None
+        readable = work.filter(F.col("file_status") == "ok").select("source_id")
+        return self.sheet_list.select(*SHEET_KEYS).join(readable, "source_id", "left_semi")
+
     def _replace(self, name: str, ddl: str, fresh: DataFrame, kept: DataFrame) -> None:
         """New snapshot: results of this run, and the stored ones of unchanged sources."""
         prior = self.store.read(name, ddl)
@@ -170,26 +181,33 @@ class Onboarding:
         """Catalog new and changed sources; unchanged ones keep their entries."""
         prior = self.store.read("source_catalog", schemas.SOURCE_CATALOG)
         work, kept = self._work(CATALOG_STAGE, prior, force)
-        fresh = stage_table(catalog.sheet_catalog(self._rows_of(work, kept)), "sheet-catalog")
+        fresh = catalog.sheet_catalog(self._rows_of(work, kept))
+        listed = self._listed(work)
+        fresh = stage_table(fresh if listed is None else catalog.with_blank_sheets(fresh, listed), "sheet-catalog")
         statuses = work.drop("status").withColumnRenamed("file_status", "status")
         self._replace("sheet_catalog", schemas.SHEET_CATALOG, fresh, kept)
         self._replace(
             "source_catalog", schemas.SOURCE_CATALOG, catalog.source_catalog(statuses, fresh), kept
         )
-        self.store.write_per_source("processed_catalog", fresh)
+        self.store.write_per_source("processed_catalog", fresh, work)
         self._mark_processed(CATALOG_STAGE, work, keep_loaded=False)
         return self._outcomes(work, kept)
 
     def profile(self, force: bool = False) -> DataFrame:
         """Profile new and changed sources; a source already loaded keeps that status."""
-        prior = self.store.read("sheet_report", schemas.SHEET_REPORT)
+        prior = self.store.read("source_report", schemas.SOURCE_REPORT)
         work, kept = self._work(PROFILE_STAGE, prior, force)
-        fresh = profile.Profile(self._rows_of(work, kept))
+        rows, listed = self._rows_of(work, kept), self._listed(work)
+        if listed is not None:
+            listed = listed.unionByName(rows.select(*SHEET_KEYS)).distinct()
+        fresh = profile.Profile(rows, sheets=listed)
         reports = stage_table(fresh.sheets, "sheet-report")
+        statuses = work.drop("status").withColumnRenamed("file_status", "status")
+        self._replace("source_report", schemas.SOURCE_REPORT, profile.profiled_sources(statuses, reports), kept)
         self._replace("sheet_report", schemas.SHEET_REPORT, reports, kept)
         self._replace("column_report", schemas.COLUMN_REPORT, fresh.columns, kept)
         self._replace("issues", schemas.ISSUES, fresh.issues, kept)
-        self.store.write_per_source("processed_profile", reports)
+        self.store.write_per_source("processed_profile", reports, work)
         self._mark_processed(PROFILE_STAGE, work, keep_loaded=True)
         return self._outcomes(work, kept)
 
@@ -268,7 +286,8 @@ class Onboarding:
         if mode == "noop":
             return None
         rows, passed = self._chosen(kind, pending, mode)
-        summary = self._summary(kind, extract.LedgerTabs(rows, sheets.ITEM_TOKENS))
+        tabs = extract.LedgerTabs(rows, sheets.ITEM_TOKENS, {"items": fixed.ITEMS_COL})
+        summary = self._summary(kind, tabs)
         error = F.when(F.col("header_row").isNull(), kind.no_item_header).when(
             F.col("items").isNull(), kind.no_items
         )

@@ -4,10 +4,6 @@ from pyspark.sql import types as T
 
 CELL = "struct<dtype:string,sval:string>"
 GRID = f"source_id string, sheet string, sheet_idx bigint, row_num bigint, cells array<{CELL}>"
-CELLS = (
-    "source_id string, sheet string, sheet_idx bigint, row_num bigint, "
-    "col_idx bigint, dtype string, sval string"
-)
 REGISTRY = (
     "filename string, source_id string, seed_type string, base_uom string, description string, "
     "source_no bigint"
@@ -25,6 +21,7 @@ SHEET_REPORT = (
     "total_data_rows bigint, non_empty_data_rows bigint, duplicate_row_count bigint, "
     "issue_count bigint, flag string, error string"
 )
+SOURCE_REPORT = "source_id string, status string, error string, sheet_count bigint, total_issues bigint"
 COLUMN_REPORT = (
     "source_id string, sheet string, sheet_idx bigint, col_idx bigint, column string, "
     "total_data_rows bigint, null_count bigint, null_pct double, non_null_count bigint, "

@@ -29,8 +29,9 @@ class Store:
     overwritten and a failed job leaves the last complete version in place.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 3):
         self.spark = spark
+        self.keep_versions = max(1, keep_versions)
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
@@ -49,9 +50,16 @@ class Store:
         return self.spark.read.schema(struct_type(ddl)).parquet(f"{self.path(name)}/v{versions[-1]:08d}")
 
     def write(self, name: str, df: DataFrame) -> None:
+        """The next version. Of those before it, ``keep_versions`` stay for readers of this run."""
         versions = _versions(self.spark, self.path(name))
         target = f"{self.path(name)}/v{(versions[-1] if versions else 0) + 1:08d}"
         df.write.mode("overwrite").parquet(target)
+        for version in versions[: -self.keep_versions]:
+            self._delete(f"{self.path(name)}/v{version:08d}")
+
+    def _delete(self, path: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
     def append(self, name: str, df: DataFrame, fmt: str = "json") -> None:
         """Append-only log, JSON lines by default."""
@@ -60,9 +68,11 @@ class Store:
     def read_log(self, name: str, ddl: str) -> DataFrame:
         return read_json_lines(self.spark, self.path(name), ddl)
 
-    def write_per_source(self, name: str, df: DataFrame) -> None:
+    def write_per_source(self, name: str, df: DataFrame, done: DataFrame | None = None) -> None:
         """One folder per source; only the sources in ``df`` are replaced.
 
+        A source of ``done(source_id)`` that has no row in ``df`` loses the folder it had.
+
         The rebalance hint gathers each source into few files and still splits a source
         that holds much of the data.
         """
@@ -73,6 +83,11 @@ class Store:
             .partitionBy("source_id")
             .json(self.path(name))
         )
+        if done is not None:
+            gone = done.select("source_id").join(df.select("source_id").distinct(), "source_id", "left_anti")
+            folder = F.concat(F.lit(f"{self.path(name)}/source_id="), F.col("source_id"))
+            for row in gone.select(folder.alias("path")).toLocalIterator():
+                self._delete(row.path)
 
 
 def read_json_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:

@@ -232,3 +232,41 @@ def test_imported_log_selects_tabs_and_empties(spark, tmp_path):
     run.items(BOARDS)
     run.specs(BOARDS)
     assert run.table("quarantine").count() == 0
+
+
+def test_blank_sheets_and_sources_that_cannot_be_read(spark, tmp_path):
+    listed = spark.createDataFrame(
+        [("stock_management", "blank", 99), ("glue_record", "GLUE A , B, C and D", 0), ("tree_log_suppliers", "x", 7)],
+        "source_id string, sheet string, sheet_idx bigint",
+    )
+    run = onboarding(spark, tmp_path, files=listing(spark, **{"Tree log suppliers Book.xlsx": None}))
+    run.sheet_list = listed
+    run.catalog()
+    run.profile()
+    entries = {r.sheet: r for r in run.store.read("sheet_catalog", schemas.SHEET_CATALOG).collect()}
+    assert (entries["blank"].total_rows, entries["blank"].header_row) == (0, None)
+    assert "x" not in entries
+    report = {r.sheet: r for r in run.store.read("sheet_report", schemas.SHEET_REPORT).collect()}
+    assert report["blank"].error == fixed.MSG_EMPTY_SHEET and report["blank"].issue_count is None
+    sources = {r.source_id: (r.status, r.sheet_count) for r in run.store.read("source_report", schemas.SOURCE_REPORT).collect()}
+    assert sources == {"stock_management": ("ok", 11), "glue_record": ("ok", 1), "tree_log_suppliers": ("missing", 0)}
+
+
+def test_source_without_rows_loses_its_output(spark, tmp_path):
+    run = onboarding(spark, tmp_path)
+    run.catalog()
+    folder = tmp_path / "processed_catalog" / "source_id=glue_record"
+    assert folder.exists()
+    emptied = onboarding(
+        spark, tmp_path, [*board_sheets(), *supplier_sheets()], listing(spark, **{"GLUE RECORD-1.xlsx": "new"})
+    )
+    emptied.catalog()
+    assert not folder.exists() and (tmp_path / "processed_catalog" / "source_id=stock_management").exists()
+
+
+def test_old_versions_go(spark, tmp_path):
+    store = Store(spark, str(tmp_path), keep_versions=2)
+    for n in range(5):
+        store.write("t", spark.range(n).selectExpr("cast(id as string) as source_id"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v00000003", "v00000004", "v00000005"]
+    assert store.read("t", "source_id string").count() == 4
