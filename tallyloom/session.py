@@ -38,6 +38,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def drop_staged(spark: SparkSession, application: str | None = None) -> None:
+    """Remove the staged tables of an application, by default of this one once it is done.
+
+    A scheduler calls it after a run; tables of a run that was killed go by its id.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/tables/{application or spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_table(df, name: str):
     """Write ``df`` once to the shared folder and read it back.
 

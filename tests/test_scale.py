@@ -67,3 +67,33 @@ def test_measured_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, i int")
     assert scale.measured_bytes(df) == 3 + 2 * 32
     assert scale.measured_bytes(df.limit(0)) == 0
+
+
+def test_retry_spreads_a_hot_key(spark, monkeypatch):
+    """With broadcasts off, both lookups of a retry are salted, and the result is the same."""
+    from tallyloom.operators import quarantine, scale
+
+    rows = [("a", "p", i) for i in range(50)] + [("a", "q", 1), ("b", "p", 2), ("c", "all", 3)]
+    work = spark.createDataFrame(rows, "parent_key string, child_key string, seq bigint")
+    pending = spark.createDataFrame([("a", "p"), ("c", "all"), ("z", "p")], "parent_key string, child_key string")
+    want = sorted(map(tuple, quarantine.retry_children(work, pending).collect()))
+    assert len(want) == 51
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(scale, "HOT_ROWS", 8)
+    spread = quarantine.retry_children(work, pending)
+    assert sorted(map(tuple, spread.collect())) == want
+    plan = spread._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS salt#") == 2  # one per lookup, on the side of the rows
+
+
+def test_staged_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from tallyloom.session import drop_staged, shared_dir, stage_table
+
+    stage_table(spark.range(3), "kept-for-a-while")
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "tables" / spark.sparkContext.applicationId
+    other = folder.parent / "an-earlier-run"
+    other.mkdir(parents=True)
+    drop_staged(spark, "an-earlier-run")
+    assert folder.exists() and not other.exists()
