@@ -133,6 +133,7 @@ def verified(
     so a node that is compared with very many others is spread over tasks.
     """
     salts = pairs.groupBy("x").agg(F.ceil(F.count("*") / PAIRS_PER_HEAD).cast("int").alias("salts"))
+    salts = broadcast_if_small(stage_table(salts, "pair-salts"), F.lit(24), broadcast_bytes)
     members = pairs.join(salts, "x").select("x", F.pmod(F.xxhash64("y"), F.col("salts")).cast("int").alias("salt"), "y")
     members = stage_table(members, "pairs-salted")
     heads = members.select("x", "salt").distinct().select("x", "salt", F.col("x").alias("y"))
@@ -150,7 +151,12 @@ def verified(
 
 
 def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within a tile whose upper bound reaches a link."""
+    """Pairs of different components within a tile whose upper bound reaches a link.
+
+    A pair that shares several table keys is named in the first alone, that of the two
+    smallest collection keys it has in common: below the key's second one, and apart from
+    its first, the two have no other collection key in common.
+    """
     at, members = None, []
 
     def compared() -> pa.RecordBatch:
@@ -159,13 +165,18 @@ def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
             node, component, n = (np.array([m[k] for m in members]) for k in ("node", "component", "n"))
             cells = np.array([np.frombuffer(m["cells"], dtype=np.int32) for m in members])
             side = np.array([m["side"] for m in members])
+            smaller = [frozenset(m["smaller"]) for m in members]
             rights = np.flatnonzero(side != 1)  # a tile of one part with itself has side 0 alone
             for i in np.flatnonzero(side != 2).tolist():
                 js = rights[component[rights] != component[i]]
                 js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
                 most = np.minimum(cells[js], cells[i]).sum(axis=1)
                 js = js[100 * most >= percent * (n[js] + n[i] - most)]
-                found.update((int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in js.tolist())
+                found.update(
+                    (int(min(node[i], node[j])), int(max(node[i], node[j])))
+                    for j in js.tolist()
+                    if smaller[i].isdisjoint(smaller[j])
+                )
         columns = list(zip(*found, strict=True)) or [(), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "y"])
 
@@ -178,12 +189,21 @@ def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
     yield compared()
 
 
-def _buckets(shared: DataFrame) -> DataFrame:
-    """``(bucket, node)``: a table key for every pair of a node's collections."""
+def _buckets(shared: DataFrame, with_smaller: bool = False) -> DataFrame:
+    """``(bucket, node)``: a table key for every pair of a node's collections, which are in order.
+
+    With ``smaller``, the node's other collection keys below the second of the pair.
+    """
+    entry = "xxhash64(keys[a], keys[b])"
+    if with_smaller:
+        smaller = "concat(slice(keys, 1, a), slice(keys, a + 2, b - a - 1))"
+        entry = f"named_struct('bucket', {entry}, 'smaller', {smaller})"
     pairs = F.expr(
         "flatten(transform(sequence(0, size(keys) - 2), a ->"
-        " transform(sequence(a + 1, size(keys) - 1), b -> xxhash64(keys[a], keys[b]))))"
+        f" transform(sequence(a + 1, size(keys) - 1), b -> {entry})))"
     )
+    if with_smaller:
+        return shared.select(F.inline(pairs), "node")
     return shared.select(F.explode(pairs).alias("bucket"), "node")
 
 
@@ -294,14 +314,14 @@ def near_groups(
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
     tiles = F.expr("transform(sequence(0, parts - 1), o -> named_struct('low', least(part, o), 'high', greatest(part, o)))")
     rows = (
-        _buckets(shared)
+        _buckets(shared, with_smaller=True)
         .join(broadcast_if_small(mixed, F.lit(32), broadcast_bytes), "bucket")
         .join(labels, "node")
         .join(broadcast_if_small(nodes.select("node", "n", "cells"), F.length("cells") + 32, broadcast_bytes), "node")
-        .select("bucket", "node", "component", "n", "cells", "parts", part)
+        .select("bucket", "node", "component", "n", "cells", "smaller", "parts", part)
         .withColumn("tile", F.explode(tiles))
         .select(
-            "bucket", "node", "component", "n", "cells", F.col("tile.low").alias("low"), F.col("tile.high").alias("high"),
+            "bucket", "node", "component", "n", "cells", "smaller", F.col("tile.low").alias("low"), F.col("tile.high").alias("high"),
             F.when(F.col("tile.low") == F.col("tile.high"), 0).when(F.col("part") == F.col("tile.low"), 1).otherwise(2).alias("side"),
         )
     )
