@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.llm.common import BROADCAST_BYTES, bounded_batches, stage_table, text_batches
 
@@ -92,21 +92,26 @@ def frequent_words(
     docs: DataFrame, tokenizer: str, text_column: str, table_words: int, table_bytes: int
 ) -> dict[bytes, tuple[bytes, str]]:
     """Ids (as int32 bytes) and decoded text of the most frequent words, within both bounds."""
-    counted = count_words(docs, text_column).filter(F.octet_length("word") <= MOST_BYTES)
-    top = stage_table(counted.orderBy(F.desc("n"), "word").limit(table_words), "bpe-words")
+    counted = stage_table(count_words(docs, text_column).filter(F.octet_length("word") <= MOST_BYTES), "bpe-counts")
+    # Levels of frequency, 64 to a doubling, so that no task has to sort the words.
+    level = F.floor(F.log2("n") * 64)
+    # Per byte of a word about one id, two bytes of piece text, an end mark and a space at most.
+    width = F.octet_length("word") * 13 + 64
+    levels = counted.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum(width).alias("bytes")).collect()
+    words = size = 0
+    lowest = None
+    for r in sorted(levels, key=lambda r: -r.level):
+        words, size = words + r.words, size + r.bytes
+        if words > table_words or size > table_bytes:
+            break
+        lowest = r.level
+    top = counted.filter(F.lit(False) if lowest is None else level >= lowest)
     encoded = stage_table(encode_words(top, tokenizer), "bpe-encoded")
     decoded = decode_rows(encoded, piece_table(docs.sparkSession, tokenizer), "word")
-    table = encoded.join(decoded, "word", "left").select(
-        "word", "ids", F.coalesce("decoded", F.lit("")).alias("decoded"), "n"
-    )
-    width = F.octet_length("word") + 4 * F.size("ids") + F.octet_length("decoded") + 64
-    size = encoded.agg(F.sum(F.octet_length("word") * 3 + 4 * F.size("ids") + 64)).first()[0] or 0
-    if size > table_bytes:
-        ahead = F.sum(width).over(Window.orderBy(F.desc("n"), "word"))  # over a bounded table
-        table = table.withColumn("ahead", ahead).filter(F.col("ahead") <= table_bytes)
+    table = encoded.join(decoded, "word", "left").select("word", "ids", F.coalesce("decoded", F.lit("")).alias("decoded"))
     return {
         r.word.encode(): (np.asarray(r.ids, dtype=np.int32).tobytes(), r.decoded)
-        for r in table.select("word", "ids", "decoded").toLocalIterator()
+        for r in table.toLocalIterator()
     }
 
 
