@@ -5,7 +5,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyloom.llm.common import BROADCAST_BYTES, bounded_batches, broadcast_if_small, stage_table, text_batches
 
@@ -334,23 +334,32 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def merged_spans(spans: Column) -> Column:
+    """Sorted spans of a text with those that touch or overlap made one."""
+
+
+    def grown(done: Column, span: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.struct(last["from"].alias("from"), F.greatest(last["to"], span["to"]).alias("to"))
+        apart = F.concat(done, F.array(span))
+        together = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))
+        return F.when(span["from"] <= last["to"], together).otherwise(apart)
+
+    ordered = F.sort_array(spans)
+    return F.aggregate(F.slice(ordered, 2, F.size(ordered)), F.slice(ordered, 1, 1), grown)
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kept bytes of each text and its merged spans."""
+    """Kept bytes of each text and its spans, none where it has none."""
     for batch, texts in text_batches(batches):
         kept, merged = [], []
         for text, spans in zip(texts, batch["spans"].to_pylist(), strict=True):
-            data, whole = text.encode() if text else b"", []
-            for span in sorted((s["from"], s["to"]) for s in spans or []):
-                if whole and span[0] <= whole[-1][1]:
-                    whole[-1] = (whole[-1][0], max(whole[-1][1], span[1]))
-                else:
-                    whole.append(span)
-            at, parts = 0, []
-            for low, high in whole:
-                parts.append(data[at:low])
-                at = high
+            data, at, parts = text.encode() if text else b"", 0, []
+            for span in spans or []:
+                parts.append(data[at : span["from"]])
+                at = span["to"]
             kept.append(b"".join([*parts, data[at:]]))
-            merged.append([{"from": a, "to": b} for a, b in whole])
+            merged.append(spans or [])
         span_kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
         yield pa.RecordBatch.from_pydict(
             {
@@ -450,8 +459,9 @@ def remove_repeats(
     )
     whole = known.filter("n > 1").select("anchor", "digest", F.lit(0).alias("low"), F.col("starts").alias("high"))
     ranges = stage_table(whole.unionByName(ranges.join(whole.select("anchor", "digest"), ["anchor", "digest"], "left_anti")), "repeats")
+    # Both sides are numbers and follow the input, so they are shuffled at any size.
     spans = stage_table(
-        table.join(broadcast_if_small(ranges, F.lit(40), broadcast_bytes), ["anchor", "digest"])
+        table.join(ranges, ["anchor", "digest"])
         .select(
             "key_a",
             "key_b",
@@ -460,7 +470,7 @@ def remove_repeats(
         )
         .distinct()
         .groupBy("key_a", "key_b")
-        .agg(F.collect_list(F.struct("from", "to")).alias("spans")),
+        .agg(merged_spans(F.collect_list(F.struct("from", "to"))).alias("spans")),
         "spans",
     )
     joined = rows.join(broadcast_if_small(spans, F.size("spans") * 16 + 48, broadcast_bytes), ["key_a", "key_b"], "left")
