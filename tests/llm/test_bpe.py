@@ -1,7 +1,7 @@
 """Encoding and decoding against the tokenizer itself."""
 
 import pytest
-from conftest import TEXTS
+from corpus import TEXTS
 
 from tallyloom.llm.bpe import encode_texts
 from tallyloom.llm.queries import tokenizer_path

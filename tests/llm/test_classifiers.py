@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from corpus import TEXTS
 from pyspark.sql import functions as F
 
 from tallyloom.llm.quality import Ftrl, quality_features, quality_scores, sigmoid

@@ -3,7 +3,7 @@
 from collections import defaultdict
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from conftest import TEXTS
+from corpus import TEXTS
 
 from tallyloom.llm.exact_dedup import exact_groups
 

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from corpus import TEXTS
 
 from tallyloom.llm import lm
 from tallyloom.llm.lm import discounts, mix, packed, score_texts, train_model, unmix, unpacked

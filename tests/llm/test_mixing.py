@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from corpus import TEXTS
 
 from tallyloom.llm.mixing import fair_targets, mix_sources, mixed_rows, shard_bounds, word_count
 

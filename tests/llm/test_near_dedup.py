@@ -4,7 +4,7 @@ import random
 import re
 
 import numpy as np
-from conftest import LONG, TEXTS
+from corpus import LONG, TEXTS
 
 from tallyloom.llm.components import components
 from tallyloom.llm.near_dedup import collection_keys, keep_one_of_each, minhash_factors, near_groups, shingle_set

@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 import pytest
 from compare import duck_rows, spark_rows
-from conftest import TEXTS
+from corpus import TEXTS
 
 import corpus_pipeline
 from tallyloom.llm.oracles import ORACLES

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import TEXTS
+from corpus import TEXTS
 from hypothesis import given, settings, strategies as st
 
 from tallyloom.llm.suffix_dedup import common_prefixes, remove_repeats, repeated_starts, segments, suffix_order
