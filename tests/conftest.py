@@ -6,8 +6,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,4 +18,6 @@ def spark():
 
 @pytest.fixture
 def sf():
+    from compare import SF
+
     return SF

@@ -1,8 +1,7 @@
 """Every registered query against its SQL counterpart."""
 
 import pytest
-from compare import duck, duck_rows, spark_rows
-from conftest import SF
+from compare import SF, duck, duck_rows, spark_rows
 
 from tallyloom.plans.oracles import ORACLES
 from tallyloom.plans.queries import QUERIES
