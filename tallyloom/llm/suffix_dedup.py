@@ -16,8 +16,8 @@ GRAM = 100
 CHUNK = 1 << 20
 PLACE_BITS = np.uint64(21)
 # Segment bytes per group of a task, and per suffix array in it.
-BIN_BYTES = 4 << 20
-ARRAY_BYTES = 512 << 10
+BIN_BYTES = 2 << 20
+ARRAY_BYTES = 256 << 10
 # Anchors with more different segments than this are split further before they are sorted.
 MOST_SEGMENTS = 1024
 
