@@ -17,7 +17,7 @@ TABLE_WORDS = 250_000
 COUNT_WORDS = 200_000
 # Longest word of the table; texts a task encodes at once.
 MOST_BYTES = 256
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def tokenizer_json(path: str) -> str:

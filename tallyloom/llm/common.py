@@ -12,7 +12,7 @@ from tallyloom.session import shared_dir, stage_table
 # A side is broadcast only where its measured content stays below this many bytes.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Largest Arrow batch handed to a Python worker, so that long texts cannot fill its memory.
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 8 * 1024 * 1024
 
 # A word is a maximal run of anything but ASCII white space (space, 0x09 to 0x0D).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -72,7 +72,7 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def text_batches(
-    batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str = "text", most_bytes: int = 2 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of the batches with at most ``most_bytes`` of text (one text may exceed it)."""
     for batch in batches:

@@ -9,7 +9,7 @@ import xxhash
 
 # Width of the hashed feature space, and how many words a worker remembers.
 FEATURE_BITS = 18
-CACHE_WORDS = 200_000
+CACHE_WORDS = 60_000
 
 _SHAPE = bytes(
     88 if 65 <= b <= 90 else 120 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
