@@ -1,9 +1,16 @@
 """Files as inputs: listing, content hashes, and status of registered sources."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import hashlib
+import os
+import re
+import subprocess
+import tempfile
+from collections.abc import Iterator
 
-# What Spark's binary source can hold as one value.
-MOST_BYTES = 2**31 - 1
+import pyarrow as pa
+from pyspark import SparkFiles
+from pyspark.find_spark_home import _find_spark_home
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def file_key(path: Column, root: str) -> Column:
@@ -17,25 +24,78 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def list_files(spark: SparkSession, folder: str, root: str, most_bytes: int = MOST_BYTES) -> DataFrame:
+def _local_path(path: str) -> str | None:
+    """The plain path of a local file; ``None`` for any other store. Nothing is parsed as a URI."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:") :].lstrip("/")
+    return path if path.startswith("/") else None
+
+
+def _stream_hash(path: str, hadoop_conf: str) -> str:
+    """SHA-256 of a file, read in chunks whatever its size.
+
+    Local files are opened as they are. Those of other stores come through Hadoop's own
+    client, started from Spark's jars, as a task in Python has no other way to the stores
+    that Spark knows.
+    """
+    local = _local_path(path)
+    if local is not None:
+        with open(local, "rb") as stream:
+            return hashlib.file_digest(stream, "sha256").hexdigest()
+    java = f"{os.environ['JAVA_HOME']}/bin/java" if "JAVA_HOME" in os.environ else "java"
+    name = re.sub(r"([\\*?\[\]{}])", r"\\\1", path)  # the client expands patterns
+    with tempfile.TemporaryDirectory() as settings, tempfile.TemporaryFile() as said:
+        with open(f"{settings}/core-site.xml", "w") as conf:
+            conf.write(hadoop_conf)
+        jars = [settings, f"{_find_spark_home()}/jars/*", f"{SparkFiles.getRootDirectory()}/*"]
+        jars += filter(None, [os.environ.get("SPARK_DIST_CLASSPATH")])
+        command = [java, "-Xmx256m", "-cp", ":".join(jars), "org.apache.hadoop.fs.FsShell", "-cat", name]
+        with subprocess.Popen(command, stdout=subprocess.PIPE, stderr=said) as client:
+            digest = hashlib.file_digest(client.stdout, "sha256").hexdigest()
+        if client.returncode:
+            said.seek(0)
+            raise OSError(said.read().decode(errors="replace").strip()[-500:] or f"exit code {client.returncode}")
+    return digest
+
+
+def _hashes(batches: Iterator[pa.RecordBatch], hadoop_conf: str, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes, errors = [], []
+        for path, length in zip(batch["path"].to_pylist(), batch["length"].to_pylist(), strict=True):
+            digest = error = None
+            if most_bytes is not None and length > most_bytes:
+                error = f"File has {length} bytes, at most {most_bytes} are wanted"
+            else:
+                try:
+                    digest = _stream_hash(path, hadoop_conf)
+                except OSError as e:
+                    error = f"File cannot be read: {e}"
+            hashes.append(digest)
+            errors.append(error)
+        columns = [batch["path"], batch["length"], pa.array(hashes, pa.string()), pa.array(errors, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["path", "length", "hash", "error"])
+
+
+def list_files(spark: SparkSession, folder: str, root: str, most_bytes: int | None = None) -> DataFrame:
     """``(file_key, hash, size_bytes, error)`` of all files below ``folder``.
 
-    Names and sizes come from the listing alone; every file is then read once, in one way
-    whatever its size, through the file system Spark knows for the folder. A file that
-    cannot be read, or is too large for one value, keeps its row, without hash and with an
-    error, and no file stops another. Spark's scan passes over empty files: they count as
-    missing.
+    Names and sizes come from the listing alone; every file is then read once, as a stream
+    of chunks inside a task, in one way whatever its size. Tasks are cut by file sizes, so a
+    large file has one to itself. A file that cannot be read keeps its row, without hash and
+    with an error, and no file stops another. There is no limit of size unless the caller
+    sets ``most_bytes``. Spark's scan passes over empty files and those that are gone by then:
+    they count as missing.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = files.load(folder).select("path", "length")
-    readable = files.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(folder)
-    hashed = readable.filter(F.col("length") <= most_bytes).select("path", content_hash(F.col("content")).alias("hash"))
-    error = F.when(F.col("length") > most_bytes, F.format_string("File has %d bytes, at most %d can be read", "length", F.lit(most_bytes)))
-    return listed.join(hashed, "path", "left").select(
-        file_key(F.col("path"), root).alias("file_key"),
-        "hash",
-        F.col("length").alias("size_bytes"),
-        F.when(F.col("hash").isNull(), F.coalesce(error, F.lit("File cannot be read"))).alias("error"),
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    files = found.load(folder).select("path", "length")
+    conf = spark._jvm.java.io.StringWriter()
+    spark._jsparkSession.sessionState().newHadoopConf().writeXml(conf)
+    hadoop_conf = conf.toString()
+    hashed = files.mapInArrow(
+        lambda b: _hashes(b, hadoop_conf, most_bytes), "path string, length bigint, hash string, error string"
+    )
+    return hashed.select(
+        file_key(F.col("path"), root).alias("file_key"), "hash", F.col("length").alias("size_bytes"), "error"
     )
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import json
 
+import pyarrow as pa
 import pytest
 from books import grid, registry as book_registry, sheet
 from pyspark.sql import functions as F
@@ -77,6 +78,43 @@ def test_file_that_cannot_be_hashed_keeps_its_row(spark, tmp_path):
     assert got == {"stock_management": "error", "glue_record": "ok", "tree_log_suppliers": "missing"}
 
 
+def test_files_beyond_one_value_are_hashed(spark, tmp_path):
+    size = 2**31 + 5
+    (tmp_path / "raw").mkdir()
+    with open(tmp_path / "raw" / "Stock management.xlsx", "wb") as f:
+        f.truncate(size)  # sparse: takes no room
+    (tmp_path / "raw" / "GLUE RECORD-1.xlsx").write_bytes(b"x")
+    want, zeros = hashlib.sha256(), bytes(1 << 20)
+    for _ in range(size >> 20):
+        want.update(zeros)
+    want.update(bytes(size & 0xFFFFF))
+    listing = files.list_files(spark, str(tmp_path / "raw"), str(tmp_path))
+    got = {r.source_id: (r.status, r.hash, r.size_bytes) for r in files.source_status(book_registry(spark), listing, "raw").collect()}
+    assert got["stock_management"] == ("ok", want.hexdigest(), size)
+    assert got["glue_record"][:2] == ("ok", hashlib.sha256(b"x").hexdigest())
+
+
+def test_unreadable_file_stops_no_other(tmp_path):
+    (tmp_path / "b.bin").write_bytes(b"b")
+    paths = [f"file:{tmp_path}/a.bin", f"file:{tmp_path}/b.bin"]
+    batch = pa.RecordBatch.from_pydict({"path": paths, "length": [1, 1]})
+    a, b = next(files._hashes(iter([batch]), "", None)).to_pylist()
+    assert a["hash"] is None and "a.bin" in a["error"]
+    assert (b["hash"], b["error"]) == (hashlib.sha256(b"b").hexdigest(), None)
+
+
+def test_listing_of_a_store_that_only_spark_opens(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    contents = {"Stock management.xlsx": b"y" * 300_000, "100% #1 {a}[b].bin": b"z"}
+    for name, data in contents.items():
+        (tmp_path / "raw" / name).write_bytes(data)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.sources.link./raw", f"file://{tmp_path}/raw")
+    listing = files.list_files(spark, "viewfs://sources/raw", "viewfs://sources")
+    got = {r.file_key: (r.hash, r.error) for r in listing.collect()}
+    assert got == {f"raw/{n}": (hashlib.sha256(d).hexdigest(), None) for n, d in contents.items()}
+
+
 def test_file_key_outside_root(spark):
     df = spark.createDataFrame([("file:/data/raw/a.xlsx",), ("/elsewhere/b.xlsx",)], "p string")
     keys = [r[0] for r in df.select(files.file_key(F.col("p"), "/data")).collect()]
