@@ -11,6 +11,8 @@ from tallyloom.session import shared_dir, stage_table
 
 # A side is broadcast only where its measured content stays below this many bytes.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Rows of one key beyond which a shuffled join deals them out over several tasks.
+HOT_ROWS = 1 << 18
 # Largest Arrow batch handed to a Python worker, so that long texts cannot fill its memory.
 BATCH_BYTES = 8 * 1024 * 1024
 
@@ -21,7 +23,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 __all__ = [
     "BROADCAST_BYTES", "WORD_PATTERN", "ascii_lower", "bounded_batches", "broadcast_if_small", "crc_remainder",
-    "lower_bytes", "read_table", "shared_dir", "stage_table", "text_batches", "tokens_of",
+    "join_facts", "lower_bytes", "read_table", "shared_dir", "stage_table", "text_batches", "tokens_of",
 ]
 
 
@@ -55,6 +57,36 @@ def broadcast_if_small(df: DataFrame, width: Column, limit: int = BROADCAST_BYTE
     return F.broadcast(df) if size <= limit else df
 
 
+def join_facts(
+    df: DataFrame,
+    facts: DataFrame,
+    key: str,
+    width: Column,
+    rows: str | None = None,
+    spread: Column | None = None,
+    limit: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows of ``df`` with the columns of ``facts``, a staged table of one row per ``key``; null is a key.
+
+    ``facts`` is broadcast if it measures small. Otherwise both are shuffled; where ``facts``
+    counts in ``rows`` how many rows of ``df`` a key has, those of hot keys are dealt out by
+    ``spread`` and the fact is copied to each share. ``rows`` is left out of the result.
+    """
+    placed = broadcast_if_small(facts, width, limit)
+    named = placed.withColumnRenamed(key, "fact_key")
+    same = F.col(key).eqNullSafe(F.col("fact_key"))
+    if placed is not facts or rows is None:
+        return df.join(named, same).drop("fact_key", *([rows] if rows else []))
+    salts = F.ceil(F.col(rows) / hot_rows).cast("int")
+    hot = facts.filter(F.col(rows) > hot_rows).select(F.col(key).alias("hot_key"), salts.alias("salts"))
+    hot = broadcast_if_small(hot, F.lit(64))  # at most one per ``hot_rows`` rows
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("salts")), F.lit(0).cast("bigint"))
+    dealt = df.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), "left").withColumn("salt", salt).drop("hot_key", "salts")
+    copies = named.withColumn("fact_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(salts, F.lit(1)).cast("bigint") - 1)))
+    return dealt.join(copies, same & (F.col("salt") == F.col("fact_salt"))).drop("fact_key", "salt", "fact_salt", rows)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Limits the Arrow batches of this session by bytes, unless a tighter limit is set."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -5,12 +5,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyloom.llm.common import (
     BROADCAST_BYTES,
+    HOT_ROWS,
     bounded_batches,
     broadcast_if_small,
+    join_facts,
     stage_table,
     text_batches,
     tokens_of,
@@ -218,6 +220,7 @@ def near_groups(
     seed: int = SEED,
     tile_rows: int = TILE_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Components of texts that share at least ``percent`` of their word shingles.
 
@@ -233,11 +236,12 @@ def near_groups(
     that no other node has cannot agree and make no table keys.
 
     In each table key the node with the smallest number is the pivot; all others are verified
-    against it on full sets, which needs as many pairs as rows. What the links found so far
-    do not connect is compared in a second round: within each table key, nodes of different
-    components whose sizes and shingle counts per cell leave a link possible. Such pairs are
-    formed inside tiles of bounded size, and only those that pass are handed on and verified.
-    No table key is cut short.
+    against it on full sets, which needs as many pairs as rows. Pivots come from an aggregate
+    with map-side partials and are joined back, rows of hot table keys dealt out over tasks.
+    What the links found so far do not connect is compared in a second round: within each
+    table key, nodes of different components whose sizes and shingle counts per cell leave a
+    link possible. Such pairs are formed inside tiles of bounded size, and only those that
+    pass are handed on and verified. No table key is cut short.
 
     Null and empty texts, and texts without words, have 0 shingles and their own id. A null
     id is never the smallest: its component is that of the ids it is linked with, or null.
@@ -285,10 +289,15 @@ def near_groups(
         .filter(F.size("keys") > 1),
         "shared-nodes",
     )
-    in_bucket = Window.partitionBy("bucket")
-    stars = (
+    pivots = stage_table(
         _buckets(shared)
-        .withColumn("x", F.min("node").over(in_bucket))
+        .groupBy("bucket")
+        .agg(F.min("node").alias("x"), F.count("*").alias("entries"))
+        .filter("entries > 1"),
+        "pivots",
+    )
+    stars = (
+        join_facts(_buckets(shared), pivots, "bucket", F.lit(24), "entries", F.col("node"), broadcast_bytes, hot_rows)
         .filter("node > x")
         .select("x", F.col("node").alias("y"))
         .distinct()

@@ -6,6 +6,7 @@ import re
 import numpy as np
 from corpus import LONG, TEXTS
 
+from tallyloom.llm import near_dedup
 from tallyloom.llm.components import components
 from tallyloom.llm.near_dedup import collection_keys, keep_one_of_each, minhash_factors, near_groups, shingle_set
 
@@ -77,6 +78,21 @@ def test_families_against_all_pairs(spark):
     assert got(near_groups(docs, tile_rows=7, broadcast_bytes=-1)) == want
 
 
+def test_hot_table_keys_are_dealt_out(spark, monkeypatch):
+    rows = list(enumerate(family(3, 120, 60, 8)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plans, stage = {}, near_dedup.stage_table
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(near_dedup, "stage_table", watched)
+    assert got(near_groups(docs, broadcast_bytes=-1, hot_rows=5)) == expected(rows)
+    # No window takes a table key whole into one task; its rows meet the pivot share by share.
+    assert "Window" not in plans["star-pairs"] and "fact_salt" in plans["star-pairs"]
+
+
 def test_one_of_each_keeps_all_columns(edge_docs):
     kept = keep_one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns
