@@ -1,37 +1,25 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree."""
 
-from dataclasses import dataclass
-
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyloom.llm.common import WORD_PATTERN, stage_table
+from tallyloom.llm.common import BROADCAST_BYTES, HOT_ROWS, WORD_PATTERN, join_facts, stage_table
 
 # Documents per block, about; a block is the unit that quotas count.
 BLOCK_DOCS = 4096
 # A source is repeated at most this often.
 MOST_REPEATS = 3
-# The mix is configured per source; more sources than this are refused, not cut.
-MOST_SOURCES = 10_000
+# A mix of more sources than this is refused, not cut; there is no limit unless one is set.
+MOST_SOURCES: int | None = None
+# Sources whose quotas one task splits over the shards.
+GROUP_SOURCES = 10_000
 SHARDS = 64
 # Rows a source's last block may add, beyond those in hash order, to come near the target.
 FILLS = 4
 SEED = 20240229
 
 
-@dataclass(frozen=True)
-class Source:
-    """A source's place in the mix: target, whole passes, last block of the part pass, quota."""
-
-    name: str | None
-    size: int
-    docs: int
-    target: float
-    blocks: int
-    passes: int
-    rest: float
-
-
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")
 
@@ -54,30 +42,77 @@ def fair_targets(sizes: list[int], weights: list[float], most: int = MOST_REPEAT
     return targets
 
 
-def plan_sources(measured: DataFrame, block_docs: int, weight_cycle: tuple[float, ...]) -> list[Source]:
-    """Targets and passes of each source, in code point order, null last."""
-    rows = measured.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("docs")).limit(
-        MOST_SOURCES + 1
-    ).collect()
-    if len(rows) > MOST_SOURCES:
+def fair_level(ranked: DataFrame, most: int = MOST_REPEATS) -> float:
+    """Words per unit of weight, as ``fair_targets`` finds it, by repeated aggregates.
+
+    One row per weight of the cycle reaches the driver in each round, so sums do not depend
+    on the order of sources. A source is full if the level takes it beyond ``most`` sizes.
+    """
+    level, known = 0.0, -1
+    while True:
+        full = (F.lit(level) * F.col("weight") > most * F.col("source_size")).cast("bigint")
+        rows = (
+            ranked.filter("source_size > 0")
+            .groupBy("weight")
+            .agg(F.count("*").alias("n"), F.sum(full).alias("full"), F.sum("source_size").alias("size"), F.sum(full * F.col("source_size")).alias("spent"))
+            .orderBy("weight")
+            .collect()
+        )
+        n_full = sum(r.full for r in rows)
+        if n_full <= known or n_full == sum(r.n for r in rows):
+            return level
+        left = sum(r["size"] for r in rows) - most * sum(r.spent for r in rows)
+        level, known = max(level, left / sum(r.weight * (r.n - r.full) for r in rows)), n_full
+
+
+def plan_sources(measured: DataFrame, block_docs: int, weight_cycle: tuple[float, ...]) -> DataFrame:
+    """Targets and passes of each source, ranked in code point order, null last: one row per source.
+
+    Ranks are numbered within ranges of names plus a small table of offsets.
+    """
+    spark = measured.sparkSession
+    groups = measured.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    groups = stage_table(groups, "mix-sources")
+    if MOST_SOURCES is not None and groups.count() > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: a mix needs a bounded list of them")
-    rows.sort(key=lambda r: (r.source is None, (r.source or "").encode()))
-    sizes = [r["size"] for r in rows]
-    weights = [weight_cycle[i % len(weight_cycle)] for i in range(len(rows))]
-    plan = []
-    for r, target in zip(rows, fair_targets(sizes, weights), strict=True):
-        passes = min(MOST_REPEATS, int(target // r["size"])) if r["size"] else 0
-        blocks = -(-r["docs"] // block_docs)
-        plan.append(Source(r["source"], r["size"], r["docs"], target, blocks, passes, target - passes * r["size"]))
-    return plan
-
-
-def shard_bounds(quotas: list[int], shards: int, seed: int) -> np.ndarray:
+    order = F.col("source").asc_nulls_last()
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage_table(groups.repartitionByRange(ranges, order).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    offsets, total = [], 0
+    for r in ranged.groupBy("range").count().orderBy("range").collect():
+        offsets.append((r["range"], total))
+        total += r["count"]
+    offsets = F.broadcast(spark.createDataFrame(offsets, "range int, offset bigint"))
+    rank = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1 + F.col("offset")
+    weights = F.array(*[F.lit(float(w)) for w in weight_cycle])
+    ranked = (
+        ranged.join(offsets, "range")
+        .withColumn("rank", rank)
+        .select("source", "source_size", "docs", "rank", F.get(weights, (F.col("rank") % len(weight_cycle)).cast("int")).alias("weight"))
+    )
+    ranked = stage_table(ranked, "mix-ranked")
+    wanted = F.lit(fair_level(ranked)) * F.col("weight")
+    most = (F.lit(MOST_REPEATS) * F.col("source_size")).cast("double")
+    target = F.when(F.col("source_size") == 0, 0.0).otherwise(F.least(wanted, most))
+    passes = F.floor(F.col("target") / F.col("source_size"))
+    passes = passes - (passes * F.col("source_size") > F.col("target")).cast("int")  # a quotient may be rounded up
+    passes = F.when(F.col("source_size") > 0, F.least(passes, F.lit(MOST_REPEATS))).otherwise(0).cast("int")
+    return (
+        ranked.withColumn("target", target)
+        .withColumn("passes", passes)
+        .withColumn("blocks", F.ceil(F.col("docs") / block_docs).cast("bigint"))
+        .withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
+        .drop("weight")
+    )
+
+
+def shard_bounds(quotas: list[int], shards: int, seed: int, room: np.ndarray | None = None, group: tuple[int, ...] = ()) -> np.ndarray:
     """``(sources, shards + 1)`` bounds of each shard's run within the draws of each source.
 
     The root holds all quotas. Every node hands a random part of its blocks, drawn without
     replacement over all sources at once, to its left half and the rest to its right half,
-    so quotas are met exactly and every shard gets its proportional number of blocks.
+    so quotas are met exactly and every shard gets its proportional number of blocks, or as
+    many as ``room`` says where the quotas are those of one ``group`` of many.
     """
     counts = np.zeros((len(quotas), shards), dtype=np.int64)
     todo = [(0, shards, np.asarray(quotas, dtype=np.int64))]
@@ -88,8 +123,8 @@ def shard_bounds(quotas: list[int], shards: int, seed: int) -> np.ndarray:
             continue
         middle = (low + high) // 2
         total = int(here.sum())
-        draws = total * (middle - low) // (high - low)
-        rng = np.random.default_rng([seed, low, high])
+        draws = total * (middle - low) // (high - low) if room is None else int(room[low:middle].sum())
+        rng = np.random.default_rng([seed, low, high, *group])
         if total < 10**9:
             left = rng.multivariate_hypergeometric(here, draws, method="marginals")
         else:
@@ -98,6 +133,25 @@ def shard_bounds(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     return np.concatenate([np.zeros((len(quotas), 1), dtype=np.int64), np.cumsum(counts, axis=1)], axis=1)
 
 
+def split_quotas(planned: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``(rank, bounds)`` of every source.
+
+    The tree is drawn in two levels, which has the same distribution as one: sums of groups of
+    GROUP_SOURCES ranks are split by the driver, the quotas within a group by one task.
+    """
+    quotas = planned.select("rank", "quota", F.floor(F.col("rank") / GROUP_SOURCES).cast("bigint").alias("group"))
+    totals = [r.n for r in quotas.groupBy("group").agg(F.sum("quota").alias("n")).orderBy("group").collect()]
+    rooms = np.diff(shard_bounds(totals, shards, seed), axis=1)
+
+    def split(group: tuple, rows: pa.Table) -> pa.Table:
+        number, rows = group[0].as_py(), rows.sort_by("rank")
+        # A single group draws as if there were none.
+        bounds = shard_bounds(rows["quota"].to_pylist(), shards, seed, rooms[number], (1 + number,) if len(rooms) > 1 else ())
+        return pa.table({"rank": rows["rank"], "bounds": pa.array(bounds[:, 1:].tolist(), pa.list_(pa.int64()))})
+
+    return quotas.groupBy("group").applyInArrow(split, "rank bigint, bounds array<bigint>")
+
+
 def _large_split(rng: np.random.Generator, counts: np.ndarray, draws: int) -> np.ndarray:
     """Proportional split with a random remainder, where a sum is beyond the generator's range."""
     total = int(counts.sum())
@@ -117,6 +171,8 @@ def mix_sources(
     block_docs: int = BLOCK_DOCS,
     shards: int = SHARDS,
     seed: int = SEED,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """How often the mix takes each document, and into which output shards.
 
@@ -131,13 +187,13 @@ def mix_sources(
     by a source are numbered through all passes, and the splitting tree gives every output
     shard a disjoint run of these numbers; within a shard rows are in hash order.
 
-    Only tables of one row per source reach the driver (``MOST_SOURCES`` bounds them) or are
-    broadcast; block sums are aggregated with map-side partials, so a source with a third of
-    all rows stays spread. Null texts have size 0, the null source comes last, sources of
+    What is known of a source is a row of a staged table, so there may be any number of sources:
+    the driver sees single sums only. The table is broadcast if it measures small, else joined
+    with large sources dealt out over tasks. Block sums are aggregated with map-side partials,
+    so a source with a third of all rows stays spread. Null texts have size 0, the null source comes last, sources of
     size 0 get the target 0, repeated rows are documents of their own that fall into one
     block, and an empty table gives an empty result. Reruns agree for given rows.
     """
-    spark = docs.sparkSession
     key = F.xxhash64(F.lit(seed), F.col(f"`{id_column}`"), F.col(f"`{text_column}`"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -147,18 +203,20 @@ def mix_sources(
     )
     measured = stage_table(rows.select("source", "size", "key"), "mix-sizes")
     plan = plan_sources(measured, block_docs, weight_cycle)
-    facts = spark.createDataFrame(
-        [(s.name, s.size, s.target, s.blocks, s.passes, s.rest) for s in plan],
-        "source string, source_size bigint, target double, blocks bigint, passes int, rest double",
-    )
+    name_bytes = F.coalesce(F.octet_length("source"), F.lit(0)) + 32
+
+    def with_facts(df: DataFrame, *columns: str) -> DataFrame:
+        facts = plan.select("source", "docs", *columns)
+        return join_facts(df, facts, "source", name_bytes + 8 * len(columns), "docs", F.col("key"), broadcast_bytes, hot_rows)
 
-    def with_facts(df: DataFrame, table: DataFrame) -> DataFrame:
-        named = table.withColumnRenamed("source", "fact_source")
-        return df.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("fact_source"))).drop("fact_source")
+    def of_source(df: DataFrame, more: DataFrame) -> DataFrame:
+        """Tables of one row per source, side by side."""
+        more = more.withColumnRenamed("source", "fact_source")
+        return df.join(more, F.col("source").eqNullSafe(F.col("fact_source")), "left").drop("fact_source")
 
     block = F.pmod("key", "blocks").alias("block")
     blocks = (
-        with_facts(measured, facts)
+        with_facts(measured, "blocks", "rest")
         .select("source", "size", "rest", block)
         .groupBy("source", "block")
         .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
@@ -171,76 +229,64 @@ def mix_sources(
         .groupBy("source")
         .agg(F.min(F.struct("block", (F.col("rest") - F.col("before")).alias("room"))).alias("cut"))
         .select("source", "cut.block", "cut.room")
-        .collect()
     )
-    cut_of = {r.source: (r.block, r.room) for r in cuts}
-    quotas = []
-    for s in plan:
-        cut, room = cut_of.get(s.name, (0, 0.0))
-        quotas.append(s.passes * s.blocks + cut + (1 if room > 0 else 0))
-    bounds = shard_bounds(quotas, shards, seed)
-    facts = spark.createDataFrame(
-        [
-            (s.name, s.size, s.target, s.blocks, s.passes, *cut_of.get(s.name, (0, 0.0)), b[1:].tolist())
-            for s, b in zip(plan, bounds, strict=True)
-        ],
-        "source string, source_size bigint, target double, blocks bigint, passes int, cut bigint, room double,"
-        " bounds array<bigint>",
+    quota = F.col("passes") * F.col("blocks") + F.col("cut") + (F.col("room") > 0).cast("int")
+    plan = stage_table(
+        of_source(plan, cuts)
+        .withColumn("cut", F.coalesce("block", F.lit(0)))
+        .withColumn("room", F.coalesce("room", F.lit(0.0)))
+        .drop("block")
+        .withColumn("quota", quota),
+        "mix-cuts",
     )
 
     # Within the last block: hash order up to the rest, then rows that fill what is left.
     # Repeats of one row share a key and are taken together or not at all.
     in_order = Window.partitionBy("source").orderBy("key", "size")
     ends = (
-        with_facts(measured, facts)
+        with_facts(measured, "blocks", "cut", "room")
         .filter((F.pmod("key", "blocks") == F.col("cut")) & (F.col("room") > 0))
         .groupBy("source", "room", "key", "size")
         .agg((F.count("*") * F.col("size")).alias("words"))
         .withColumn("end", F.sum("words").over(in_order))
     )
     ends = stage_table(ends, "mix-ends")
-    prefix = (
-        ends.filter("end <= room")
-        .groupBy("source")
-        .agg(F.max(F.struct("end", "key", "size")).alias("last"))
-        .select(F.col("source").alias("fact_source"), "last")
+    prefix = ends.filter("end <= room").groupBy("source").agg(F.max(F.struct("end", "key", "size")).alias("last"))
+    state = of_source(plan.filter("room > 0").select("source", "room"), prefix).select(
+        "source",
+        (F.col("room") - F.coalesce("last.end", F.lit(0))).alias("gap"),
+        F.col("last.key").alias("last_key"),
+        F.col("last.size").alias("last_size"),
+        F.expr("cast(array() as array<struct<key:bigint,size:bigint>>)").alias("fills"),
     )
-    beyond = ends.join(F.broadcast(prefix), F.col("source").eqNullSafe(F.col("fact_source")), "left").filter("end > room")
-    last = {r.fact_source: r["last"] for r in prefix.collect()}
-    room_of = {name: room for name, (_, room) in cut_of.items() if room > 0}
-    gaps = {name: room - (last[name]["end"] if name in last else 0) for name, room in room_of.items()}
-    fills: dict[str | None, list[tuple[int, int]]] = {name: [] for name in gaps}
+    state = stage_table(state, "mix-gaps")
+    beyond = ends.filter("end > room").select("source", "key", "size", "words")
     for turn in range(FILLS):
-        state = spark.createDataFrame(
-            [(name, float(gap), [k for k, _ in fills[name]]) for name, gap in gaps.items()],
-            "source string, gap double, filled array<bigint>",
-        )
         # The largest row that fits; in the last turn the one that comes nearest.
         off = F.abs(F.col("gap") - F.col("words"))
         fits = off < F.col("gap") if turn == FILLS - 1 else F.col("words") <= F.col("gap")
         best = (
-            with_facts(beyond.select("source", "key", "size", "words"), state)
+            join_facts(beyond, state.select("source", "gap", F.col("fills.key").alias("filled")), "source", name_bytes + 8 * FILLS)
             .filter(fits & (F.col("words") > 0) & ~F.array_contains("filled", F.col("key")))
             .groupBy("source")
             .agg(F.min(F.struct(off.alias("off"), "key", "size", "words")).alias("best"))
         )
-        for r in best.collect():
-            fills[r.source].append((r.best["key"], r.best["size"]))
-            gaps[r.source] -= r.best["words"]
-
-    picks = spark.createDataFrame(
-        [
-            (s.name, last[s.name]["key"], last[s.name]["size"]) if s.name in last else (s.name, None, None)
-            for s in plan
-        ],
-        "source string, last_key bigint, last_size bigint",
-    )
-    fill_rows = spark.createDataFrame(
-        [(s.name, [{"key": k, "size": n} for k, n in fills.get(s.name, [])]) for s in plan],
-        "source string, fills array<struct<key:bigint,size:bigint>>",
-    )
+        more = F.when(F.col("best").isNotNull(), F.array(F.struct("best.key", "best.size")))
+        state = of_source(state, best).select(
+            "source", (F.col("gap") - F.coalesce("best.words", F.lit(0))).alias("gap"), "last_key", "last_size",
+            F.concat("fills", F.coalesce(more, F.expr("cast(array() as array<struct<key:bigint,size:bigint>>)"))).alias("fills"),
+        )
+        state = stage_table(state, "mix-gaps")
 
-    placed = with_facts(with_facts(with_facts(rows, facts), picks), fill_rows).withColumn("block", F.pmod("key", "blocks"))
+    facts = of_source(plan, state.drop("gap")).join(split_quotas(plan, shards, seed), "rank")
+    facts = facts.select(
+        "source", "source_size", "docs", "target", "blocks", "passes", "cut", "bounds", "last_key", "last_size",
+        F.coalesce("fills", F.expr("cast(array() as array<struct<key:bigint,size:bigint>>)")).alias("fills"),
+    )
+    facts = stage_table(facts, "mix-plan")
+    width = name_bytes + 8 * shards + 16 * FILLS + 64
+    placed = join_facts(rows, facts, "source", width, "docs", F.col("key"), broadcast_bytes, hot_rows)
+    placed = placed.withColumn("block", F.pmod("key", "blocks"))
     chosen = (
         F.coalesce(F.col("key") < F.col("last_key"), F.lit(False))
         | F.coalesce((F.col("key") == F.col("last_key")) & (F.col("size") <= F.col("last_size")), F.lit(False))

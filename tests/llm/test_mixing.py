@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from corpus import TEXTS
 
-from tallyloom.llm.mixing import fair_targets, mix_sources, mixed_rows, shard_bounds, word_count
+from tallyloom.llm.mixing import fair_targets, mix_sources, mixed_rows, shard_bounds, split_quotas, word_count
 
 
 def test_targets_sum_and_stop_at_three_sizes():
@@ -76,6 +76,33 @@ def test_too_many_sources_are_refused(spark, monkeypatch):
         mix_sources(docs)
 
 
+def test_any_number_of_sources(spark, monkeypatch):
+    n = 10_050  # the mix used to refuse more than 10 000
+    rows = [(i, "a " * (1 + i % 7), f"s{i:05}" if i < n else "s00000") for i in range(n + 300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    monkeypatch.setattr("tallyloom.llm.mixing.GROUP_SOURCES", 4000)
+    out = mix_sources(docs, block_docs=4, shards=4, broadcast_bytes=-1, hot_rows=50).collect()
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    names = sorted(sizes)
+    wanted = dict(zip(names, fair_targets([sizes[s] for s in names], [(1.0, 2.0, 3.0)[i % 3] for i in range(n)]), strict=True))
+    assert sorted(r.row.doc_id for r in out) == list(range(n + 300))
+    for r in out:
+        assert r.target == pytest.approx(wanted[r.row.source]) and r.source_size == sizes[r.row.source]
+        assert len(r.shards) == len(r.orders) == r.copies <= 3 and all(0 <= k < 4 for k in r.shards)
+
+
+def test_quotas_of_many_groups_are_exact(spark, monkeypatch):
+    monkeypatch.setattr("tallyloom.llm.mixing.GROUP_SOURCES", 10)
+    quotas = [(7 * i) % 23 for i in range(95)]
+    planned = spark.createDataFrame(list(enumerate(quotas)), "rank bigint, quota bigint")
+    found = {r["rank"]: r["bounds"] for r in split_quotas(planned, 16, 5).collect()}
+    assert [found[i][-1] for i in range(95)] == quotas
+    counts = np.diff([[0, *found[i]] for i in range(95)], axis=1)
+    assert (counts >= 0).all() and np.ptp(counts.sum(axis=0)) <= 4
+
+
 def test_word_count_takes_ascii_white_space_only(spark):
     row = spark.createDataFrame([("a\u00a0b c\td\x0be",)], "text string").select(word_count("text").alias("n")).first()
     assert row.n == 4
