@@ -52,4 +52,40 @@ ORACLES: dict[str, str] = {
         )
         select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
     """,
+    "op11_quality_rules": r"""
+        with t as (select row_number() over () as k, doc_id, coalesce(text, '') as body from documents),
+        u as (
+            select k, doc_id, body, regexp_extract_all(body, '[^\x20\x09-\x0D]+') as w,
+                   list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ln
+            from t
+        ), places as (select k, unnest(w) as a, unnest(range(len(w))) as i from u
+        ), triples as (
+            select k, i, a, lead(a) over o as b, lead(a, 2) over o as c from places window o as (partition by k order by i)
+        ), windows as (
+            select k, i, count(*) over (partition by k, a, b, c) as times from triples where c is not null
+        ), covered as (
+            select k, count(distinct j) as n from (
+                select k, unnest([i, i + 1, i + 2]) as j from windows where times >= 2
+            ) group by k
+        ), c as (
+            select u.k, doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+                   length(regexp_replace(body, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+                   length(regexp_replace(body, '[^!]', '', 'g')) as n_exclamations,
+                   length(regexp_replace(body, '[^A-Z]', '', 'g')) as n_capitals,
+                   len(list_filter(w, lambda x: list_contains(string_split(
+                       'the of and to in is that it for was with be on are this der die das und ist von den mit dem ein '
+                       || 'eine nicht auf zu des le la les et de un une du est que qui pour dans en par el los las y se '
+                       || 'del por con su para al lo como es', ' '), lower(x)))) as n_stop,
+                   len(ln) as n_lines, len(ln) - len(list_distinct(ln)) as n_dup_lines,
+                   len(list_filter(ln, lambda x: regexp_matches(x, '^[ \t]*[-*•]'))) as n_bullets,
+                   len(list_filter(ln, lambda x: regexp_matches(x, '(\.\.\.|…)[ \t\r]*$'))) as n_open,
+                   coalesce(n, 0) as n_repeat_words
+            from u left join covered using (k)
+        ), b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               not (base_failed or word_chars < 2 * n_words or word_chars > 12 * n_words or 10 * n_symbols > n_words
+                    or 10 * n_exclamations > n_words or 10 * n_capitals > 3 * word_chars or 50 * n_stop < n_words
+                    or 2 * n_dup_lines > n_lines or 10 * n_bullets > 9 * n_lines or 10 * n_open > 3 * n_lines) as kept
+        from b
+    """,
 }

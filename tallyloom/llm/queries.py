@@ -11,6 +11,7 @@ from tallyloom.llm.lm import score_texts, train_model
 from tallyloom.llm.mixing import mix_sources
 from tallyloom.llm.near_dedup import near_groups
 from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
+from tallyloom.llm.quality_rules import judge_quality
 from tallyloom.llm.suffix_dedup import remove_repeats
 from tallyloom.llm.topk import top_k
 from tallyloom.llm.toxicity import THRESHOLD as TOXIC_THRESHOLD, toxicity_scores
@@ -122,6 +123,14 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judge_quality(docs).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -133,4 +142,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
+    "op11_quality_rules": op11_quality_rules,
 }
