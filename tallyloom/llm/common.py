@@ -1,6 +1,6 @@
 """Helpers shared by the corpus operators: text rules, staging, size checks, arrays in rows."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 __all__ = [
-    "BROADCAST_BYTES", "WORD_PATTERN", "ascii_lower", "bounded_batches", "broadcast_if_small", "crc_remainder",
+    "BROADCAST_BYTES", "WORD_PATTERN", "ascii_lower", "bound", "bounded_batches", "broadcast_if_small", "crc_remainder",
     "join_facts", "lower_bytes", "read_table", "shared_dir", "stage_table", "text_batches", "tokens_of",
 ]
 
@@ -31,6 +31,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row.
+
+    As a lambda variable it stays one, also where a filter on the result is pushed below the
+    projection: an alias would be put in place of each use, inside loops over words too.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z only. In texts of ASCII alone ``lower`` does the same, and faster."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -5,6 +5,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.llm.common import bound
+
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "be", "on", "are", "this",
@@ -58,15 +60,6 @@ def lines_with_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda line: F.length(F.translate(line, " \t\x0b\x0c\r", "")) > 0)
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once per row.
-
-    As a lambda variable it stays one, also where a filter on the result is pushed below the
-    projection: an alias would be put in place of each use, inside loops over words too.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def _twice_or_more(ordered: Column, field: str) -> Column:
     """Entries of a sorted array whose field equals that of the entry before or after."""
 

@@ -2,16 +2,17 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.bpe import encode_texts
-from tallyloom.llm.common import crc_remainder, read_table
+from tallyloom.llm.common import bound, crc_remainder, read_table
 from tallyloom.llm.exact_dedup import exact_groups, text_digest
 from tallyloom.llm.lm import score_texts, train_model
 from tallyloom.llm.mixing import mix_sources
 from tallyloom.llm.near_dedup import near_groups
 from tallyloom.llm.quality import THRESHOLD as QUALITY_THRESHOLD, quality_scores
-from tallyloom.llm.quality_rules import judge_quality
+from tallyloom.llm.periodic_runs import find_runs
+from tallyloom.llm.quality_rules import judge_quality, words_of
 from tallyloom.llm.suffix_dedup import remove_repeats
 from tallyloom.llm.topk import top_k
 from tallyloom.llm.toxicity import THRESHOLD as TOXIC_THRESHOLD, toxicity_scores
@@ -131,6 +132,43 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_repeats(doc_id: Column, text: Column) -> Column:
+    """The text; for ids whose crc32 ends in 0, with its words from some place on repeated periodically."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        first = (g % n).cast("int")
+        period = 1 + F.floor((n - first) / (3 + g % 8)).cast("int")
+        places = F.transform(
+            F.sequence(F.lit(0), n - 1), lambda i: F.when(i < first, i).otherwise(first + (i - first) % period)
+        )
+        joined = F.array_join(F.transform(places, lambda i: F.get(words, i)), " ")
+        return F.when(n > 0, joined).otherwise(text)
+
+    return F.when(h % 10 == 0, bound(words_of(text), repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs: the longest one, digests of all and of what is left without repeats."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_runs(docs.withColumn("text", planted_repeats(F.col("doc_id"), F.col("text"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ranked = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r.alias("run"))))
+    longest = ranked["run"]
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        longest["start"].alias("start"),
+        longest["length"].alias("length"),
+        longest["period"].alias("period"),
+        F.floor(1000 * longest["length"] / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -143,4 +181,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_exact_topk": op10_exact_topk,
     "op11_quality_rules": op11_quality_rules,
+    "op12_periodic_runs": op12_periodic_runs,
 }
