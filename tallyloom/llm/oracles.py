@@ -2,6 +2,51 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _vector_codes_sql(rounds: int = 6) -> str:
+    """Each round is a pair of tables: the nearest entry of every part, and the entries' means."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} as materialized (
+            select k, p.part, x, unnest(arg_min({{'entry': entry, 'd': d}}, d * 16 + entry, 1)) as hit from (
+                select k, p.part, x, entry,
+                       list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+                from p join c{r} using (part)
+            ) p group by k, p.part, x
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} as materialized (
+            with s as (
+                select part, hit.entry as entry, j, sum(x[j])::hugeint as total, count(*)::hugeint as n
+                from a{r}, unnest(range(1, len(x) + 1)) as t(j) group by all
+            ), m as (
+                select part, entry, list(((total - ((total % n) + n) % n) // n)::bigint order by j) as mean from s group by all
+            )
+            select part, entry, coalesce(mean, c) as c from c{r} left join m using (part, entry)
+        )""")
+    return f"""
+        with g as materialized (
+            select row_number() over (order by vec_id nulls last, embedding) as k, vec_id, label,
+                   list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), p as materialized (
+            select k, part, v[part * (len(v) // 8) + 1 : (part + 1) * (len(v) // 8)] as x
+            from g, unnest(range(8)) as t(part)
+        ), c0 as materialized (select part, k - 1 as entry, x as c from p where k <= 16),
+        {",".join(steps)},
+        coded as (
+            select k, string_agg(printf('%02x', hit.entry::int), '' order by part) as code, sum(hit.d)::bigint as error
+            from a{rounds} group by k
+        ), book as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as sha from c{rounds})
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, sha as codebooks_sha256
+        from g join coded using (k), book
+    """
+
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": f"""
         with t as (select doc_id, {_LOWER} as body from documents)
@@ -88,4 +133,5 @@ ORACLES: dict[str, str] = {
                     or 2 * n_dup_lines > n_lines or 10 * n_bullets > 9 * n_lines or 10 * n_open > 3 * n_lines) as kept
         from b
     """,
+    "op13_vector_codes": _vector_codes_sql(),
 }

@@ -17,6 +17,7 @@ from tallyloom.llm.suffix_dedup import remove_repeats
 from tallyloom.llm.topk import top_k
 from tallyloom.llm.toxicity import THRESHOLD as TOXIC_THRESHOLD, toxicity_scores
 from tallyloom.llm.url_filter import judge_urls
+from tallyloom.llm.vector_codes import compress, with_group_error
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +170,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every vector, its error, and that of all vectors of its label."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded, books = compress(vectors)
+    coded = coded.select("row.vec_id", "row.label", "code", "error")
+    return with_group_error(coded, F.col("label")).select(
+        "vec_id", "code", "error", F.col("group_error").alias("label_error"), F.lit(books.sha256).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -182,4 +193,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_topk": op10_exact_topk,
     "op11_quality_rules": op11_quality_rules,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_vector_codes": op13_vector_codes,
 }
