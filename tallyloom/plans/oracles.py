@@ -451,10 +451,18 @@ ORACLES: dict[str, str] = {
           where not (script='click' and parent_key in (select parent_key from {_OUTCOMES} where script='click'))
         union all select script, parent_key, child_key, arg_max(reason,seq), arg_max(detail,seq), max(seq), {_NOW}
           from {_OUTCOMES} where script='click' and not ok group by 1,2,3""",
-    "failure_keys": f"""select c_custkey, case c_custkey%3 when 0 then '{fixed.STAGE_ITEMS}' when 1 then '{fixed.STAGE_SPECS}' else '{fixed.STAGE_FIELDS}' end as script,
-        case when c_custkey%3=0 then concat(c_name,'.',c_mktsegment) else c_name end as parent_key,
-        case when c_custkey%3=0 then '' else c_mktsegment end as child_key,
-        concat(c_name,case when c_custkey%3=2 then '::' else '.' end,c_mktsegment) as key from customer""",
+    "failure_keys": f"""with k as (
+            select c_custkey, replace(c_name,'#','.') as parent, c_custkey%4 as stage,
+                case c_nationkey%9 when 0 then 'all' when 1 then 'parse' when 2 then 'thickness' when 3 then 'width' when 4 then 'length'
+                    when 5 then 'weight_per_bag_kg' when 6 then 'bags_per_unit' when 7 then c_mktsegment
+                    else concat('variant_',c_mktsegment,'.all',c_nationkey) end as child,
+                stage=2 or (stage in (1,3) and c_nationkey%9<>7) as apart
+            from customer
+        ) select c_custkey, case stage when 0 then '{fixed.STAGE_ITEMS}' when 1 then '{fixed.STAGE_SPECS}' when 2 then '{fixed.STAGE_FIELDS}'
+                else '{fixed.STAGE_GLUE_SPECS}' end as script,
+            case when apart then parent else concat(parent,'.',child) end as parent_key,
+            case when apart then child else '' end as child_key,
+            concat(parent,case when stage=2 then '::' else '.' end,child) as key from k""",
     "failed_keys": f"select distinct parent_key, child_key from {_PENDING} where script='click'",
     "retry_tabs": f"""select parent_key, seq, parent_key in (select parent_key from {_PENDING} where script='view') as retried from {_OUTCOMES}""",
     "retry_properties": f"""select parent_key, child_key, seq from {_OUTCOMES}

@@ -767,14 +767,18 @@ def quarantine_by_parent(spark, sf_dir):
 
 @query
 def failure_keys(spark, sf_dir):
-    """Key texts of customers as failures of all stages, taken apart and put together again."""
-    key = F.col("c_custkey")
-    script = F.element_at(
-        F.array(*[F.lit(s) for s in (fixed.STAGE_ITEMS, fixed.STAGE_SPECS, fixed.STAGE_FIELDS)]),
-        (key % 3 + 1).cast("int"),
-    )
-    text = F.concat(F.col("c_name"), F.when(key % 3 == 2, "::").otherwise("."), F.col("c_mktsegment"))
-    rows = _table(spark, sf_dir, "customer").select(key, script.alias("script"), text.alias("key"))
+    """Key texts of customers as failures of all stages, taken apart and put together again.
+
+    Parents hold a dot. What follows them is each kind of child in turn, or no child at all.
+    """
+    number, nation, segment = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
+    stages = (fixed.STAGE_ITEMS, fixed.STAGE_SPECS, fixed.STAGE_FIELDS, fixed.STAGE_GLUE_SPECS)
+    script = F.element_at(F.array(*[F.lit(s) for s in stages]), (number % 4 + 1).cast("int"))
+    named = [F.lit(n) for n in ("all", "parse", *fixed.BOARD_PROPERTIES, *fixed.GLUE_PROPERTIES)]
+    kinds = F.array(*named, segment, F.concat(F.lit("variant_"), segment, F.lit(".all"), nation))
+    child = F.element_at(kinds, (nation % 9 + 1).cast("int"))
+    text = F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.when(number % 4 == 2, "::").otherwise("."), child)
+    rows = _table(spark, sf_dir, "customer").select("c_custkey", script.alias("script"), text.alias("key"))
     parent, child = quarantine.split_key(F.col("script"), F.col("key"))
     return rows.select("c_custkey", "script", parent.alias("parent_key"), child.alias("child_key")).withColumn(
         "key", quarantine.key_text()

@@ -26,6 +26,8 @@ PROPERTY_ACTIONS = ["insert", "skip", "blocked", "fail"]
 FIELD_ACTIONS = ["insert", "skip", "conflict", "fail"]
 THRESHOLD_ACTIONS = ["update", "skip", "blocked"]
 HEADER_PARENT = "header"
+# Stands for a source in counters that all supplier books share.
+ALL_BOOKS = "*"
 
 TABLES = {
     "inventory_item": schemas.ITEMS,
@@ -256,15 +258,15 @@ class Onboarding:
     ) -> DataFrame:
         """``loaded`` status for each source in which nothing failed or is pending, manifest for a clean run.
 
-        ``keys(source_id, parent_key)`` tells whose source a pending key is; without it any
-        pending key holds back all sources. The manifest of a run is written only if no
-        source failed and the stage has nothing in quarantine.
+        ``keys(source_id, parent_key)`` tells whose source a pending key is. A pending key of
+        none of them, such as a field of an item, holds back all sources. The manifest of a
+        run is written only if no source failed and the stage has nothing in quarantine.
         """
         counts = stage_table(counts, "counts")
         pending = quarantine.failures_of(self.table("quarantine"), script).select("parent_key").distinct()
         rows = quarantine.manifest_rows(counts, script, mode, self.ts, must_be_zero)
         blocked = not pending.isEmpty()
-        if keys is not None:
+        if keys is not None and pending.join(keys, "parent_key", "left_anti").isEmpty():
             held = stage_table(keys.join(pending, "parent_key", "left_semi").select("source_id").distinct(), "held")
             rows = rows.join(held, "source_id", "left_anti")
         elif blocked:
@@ -481,16 +483,13 @@ class Onboarding:
         )
         self._settle(script, parents, failures.unionByName(no_headers.drop("source_id")))
         totals = quarantine.action_counts(actions, FIELD_ACTIONS)
-        # Fields belong to all books, so the first one carries their totals; headers to their own.
-        first = books.agg(F.min("source_id")).scalar()
-        by_book = no_headers.groupBy("source_id").agg(F.count(F.lit(1)).alias("headers"))
-        shares = [F.when(F.col("source_id") == first, totals.select(n).scalar()).otherwise(0).alias(n) for n in FIELD_ACTIONS]
-        counts = (
-            books.join(by_book, "source_id", "left")
-            .select("source_id", "headers", *shares)
-            .withColumn("fail", F.col("fail") + F.coalesce("headers", F.lit(0)))
-            .drop("headers")
+        # Fields belong to all books alike: their totals are a row of their own. Headers are of their book.
+        own = books.join(
+            no_headers.groupBy("source_id").agg(F.count(F.lit(1)).alias("headers")), "source_id", "left"
+        ).select(
+            "source_id", *[F.lit(0).cast("bigint").alias(n) for n in FIELD_ACTIONS if n != "fail"], F.coalesce("headers", F.lit(0)).alias("fail")
         )
+        counts = own.unionByName(totals.select(F.lit(ALL_BOOKS).alias("source_id"), *FIELD_ACTIONS))
         held = no_headers.select("source_id", "parent_key")
         return self._finish(script, counts, mode, ["conflict", "fail"], held)
 

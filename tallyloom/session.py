@@ -22,6 +22,9 @@ def local_session(cpus: str = "8", app: str = "tallyloom", shuffle_partitions: i
     return spark
 
 
+_local_dirs: dict[str, str] = {}  # by application; the setting itself cannot change in a running session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder the cluster names for intermediate tables (``spark.checkpoint.dir``).
 
@@ -33,9 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="tallyloom-")
+    return _local_dirs[application]
 
 
 def drop_staged(spark: SparkSession, application: str | None = None) -> None:

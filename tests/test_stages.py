@@ -36,7 +36,11 @@ def config(spark, text=CONFIG):
 
 
 def counts(df):
-    return {k: v for r in df.collect() for k, v in r.asDict().items() if k != "source_id"}
+    """Counters added up over sources; other values are those of the last row."""
+    out = {}
+    for r in df.drop("source_id").collect():
+        out = {k: out.get(k, 0) + v if isinstance(v, int) else v for k, v in r.asDict().items()}
+    return out
 
 
 def snapshot(run):
@@ -270,3 +274,27 @@ def test_old_versions_go(spark, tmp_path):
         store.write("t", spark.range(n).selectExpr("cast(id as string) as source_id"))
     assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v00000003", "v00000004", "v00000005"]
     assert store.read("t", "source_id string").count() == 4
+
+
+def test_conflict_holds_back_every_supplier_book(spark, tmp_path):
+    def two_books(ts):
+        run = onboarding(spark, tmp_path, ts=ts)
+        extra = run.grid.filter("source_id = 'tree_log_suppliers'").withColumn("source_id", F.lit("more_suppliers"))
+        run.grid = run.grid.unionByName(extra)
+        first = run.registry.filter("source_id = 'tree_log_suppliers'")
+        run.registry = run.registry.unionByName(first.withColumn("source_id", F.lit("more_suppliers")))
+        return run
+
+    run = two_books("2024-06-01 00:00:00")
+    run.catalog()
+    run.items(BOARDS)
+    counted = {r.source_id: (r.insert, r.conflict, r.fail) for r in run.fields().collect()}
+    assert counted == {"tree_log_suppliers": (0, 0, 0), "more_suppliers": (0, 0, 0), "*": (136, 0, 0)}
+    flipped = run.table("batch_field").withColumn("is_required", F.col("is_required") & (F.col("field_key") != "date"))
+    run.store.write("batch_field", flipped)
+    again = two_books("2024-06-02 00:00:00")
+    again.fields()
+    manifest = spark.read.parquet(again.store.path("load_manifest"))
+    dates = {str(r.loaded_at)[:10] for r in manifest.filter("script = 'de_1_3'").collect()}
+    assert dates == {"2024-06-01"}
+    assert not {r.loaded_at for r in again.table("tracker").collect() if r.loaded_at and str(r.loaded_at) > "2024-06-02"}
