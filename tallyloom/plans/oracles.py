@@ -451,6 +451,10 @@ ORACLES: dict[str, str] = {
           where not (script='click' and parent_key in (select parent_key from {_OUTCOMES} where script='click'))
         union all select script, parent_key, child_key, arg_max(reason,seq), arg_max(detail,seq), max(seq), {_NOW}
           from {_OUTCOMES} where script='click' and not ok group by 1,2,3""",
+    "listed_files": """with b as (
+            select page_id//100 as book, string_agg(concat(concat_ws('|',printf('%012d',page_id),url),chr(10)),'' order by page_id) as content
+            from pages group by 1
+        ) select book, sha256(content) as hash, strlen(content)::bigint as size_bytes, null::varchar as error from b""",
     "failure_keys": f"""with k as (
             select c_custkey, replace(c_name,'#','.') as parent, c_custkey%4 as stage,
                 case c_nationkey%9 when 0 then 'all' when 1 then 'parse' when 2 then 'thickness' when 3 then 'width' when 4 then 'length'

@@ -20,7 +20,7 @@ from tallyloom.operators import (
 )
 from tallyloom.plans import views
 from tallyloom.schemas import PROPERTIES, SHEET_KEYS, TRACKER, column_names
-from tallyloom.session import stage_table
+from tallyloom.session import stage_table, staged_path
 from tallyloom.sources import files as file_source, grid as grid_source, registry as registry_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# --- files -----------------------------------------------------------------------------
+
+
+@query
+def listed_files(spark, sf_dir):
+    """Hash and size of files that hold a hundred pages each, one line per page."""
+    folder = staged_path(spark, "page-files")
+    line = F.concat_ws("|", F.format_string("%012d", "page_id"), "url")
+    rows = _table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 100).alias("book"), line.alias("line"))
+    rows.repartition("book").sortWithinPartitions("book", "line").write.partitionBy("book").text(folder)
+    listing = file_source.list_files(spark, folder, folder)
+    book = F.regexp_extract("file_key", r"book=(\d+)/", 1).cast("bigint")
+    return listing.select(book.alias("book"), "hash", "size_bytes", "error")
+
+
 # --- catalog ---------------------------------------------------------------------------
 
 

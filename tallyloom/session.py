@@ -52,6 +52,11 @@ def drop_staged(spark: SparkSession, application: str | None = None) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path for one staged table, below a folder of this application."""
+    return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stage_table(df, name: str):
     """Write ``df`` once to the shared folder and read it back.
 
@@ -60,7 +65,6 @@ def stage_table(df, name: str):
     application id, so what a finished application left can be dropped as a whole.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark).rstrip('/')}/tables/{application}/{name}-{uuid.uuid4().hex}"
+    path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,17 +1,25 @@
 """Files as inputs: listing, content hashes, and status of registered sources."""
 
 import hashlib
-import os
-import re
-import subprocess
-import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark import SparkFiles
-from pyspark.find_spark_home import _find_spark_home
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tallyloom.session import stage_table
+
+# Called once per task; gives a function that opens a file by its listed path for reading bytes.
+Opener = Callable[[], Callable[[str], BinaryIO]]
+
+# Bytes read at once, and the largest file that Spark hands over as one value.
+CHUNK_BYTES = 1 << 20
+VALUE_BYTES = 64 << 20
+# Largest array of the JVM, with room for its header.
+MOST_VALUE_BYTES = (1 << 31) - 64
+# Spark's line reader unpacks files of these names.
+_PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst|Z)$"
+
 
 def file_key(path: Column, root: str) -> Column:
     """Path relative to ``root``, or the path as given where it lies elsewhere."""
@@ -24,50 +32,35 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def _local_path(path: str) -> str | None:
-    """The plain path of a local file; ``None`` for any other store. Nothing is parsed as a URI."""
-    if path.startswith("file:"):
-        return "/" + path[len("file:") :].lstrip("/")
-    return path if path.startswith("/") else None
+def local_opener() -> Callable[[str], BinaryIO]:
+    """Opens plain paths and ``file:`` paths as they are; nothing in a name is parsed or unescaped."""
 
+    def open_file(path: str) -> BinaryIO:
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
 
-def _stream_hash(path: str, hadoop_conf: str) -> str:
-    """SHA-256 of a file, read in chunks whatever its size.
+    return open_file
+
+
+def _hashes(batches: Iterator[pa.RecordBatch], opener: Opener, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
+    open_file, buffer = opener(), bytearray(CHUNK_BYTES)
+    view = memoryview(buffer)
+
+    def stream_hash(path: str) -> str:
+        digest = hashlib.sha256()
+        with open_file(path) as stream:
+            while n := stream.readinto(view):
+                digest.update(view[:n])
+        return digest.hexdigest()
 
-    Local files are opened as they are. Those of other stores come through Hadoop's own
-    client, started from Spark's jars, as a task in Python has no other way to the stores
-    that Spark knows.
-    """
-    local = _local_path(path)
-    if local is not None:
-        with open(local, "rb") as stream:
-            return hashlib.file_digest(stream, "sha256").hexdigest()
-    java = f"{os.environ['JAVA_HOME']}/bin/java" if "JAVA_HOME" in os.environ else "java"
-    name = re.sub(r"([\\*?\[\]{}])", r"\\\1", path)  # the client expands patterns
-    with tempfile.TemporaryDirectory() as settings, tempfile.TemporaryFile() as said:
-        with open(f"{settings}/core-site.xml", "w") as conf:
-            conf.write(hadoop_conf)
-        jars = [settings, f"{_find_spark_home()}/jars/*", f"{SparkFiles.getRootDirectory()}/*"]
-        jars += filter(None, [os.environ.get("SPARK_DIST_CLASSPATH")])
-        command = [java, "-Xmx256m", "-cp", ":".join(jars), "org.apache.hadoop.fs.FsShell", "-cat", name]
-        with subprocess.Popen(command, stdout=subprocess.PIPE, stderr=said) as client:
-            digest = hashlib.file_digest(client.stdout, "sha256").hexdigest()
-        if client.returncode:
-            said.seek(0)
-            raise OSError(said.read().decode(errors="replace").strip()[-500:] or f"exit code {client.returncode}")
-    return digest
-
-
-def _hashes(batches: Iterator[pa.RecordBatch], hadoop_conf: str, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes, errors = [], []
         for path, length in zip(batch["path"].to_pylist(), batch["length"].to_pylist(), strict=True):
             digest = error = None
             if most_bytes is not None and length > most_bytes:
-                error = f"File has {length} bytes, at most {most_bytes} are wanted"
+                error = _too_long(length, most_bytes)
             else:
                 try:
-                    digest = _stream_hash(path, hadoop_conf)
+                    digest = stream_hash(path)
                 except OSError as e:
                     error = f"File cannot be read: {e}"
             hashes.append(digest)
@@ -76,24 +69,109 @@ def _hashes(batches: Iterator[pa.RecordBatch], hadoop_conf: str, most_bytes: int
         yield pa.RecordBatch.from_arrays(columns, ["path", "length", "hash", "error"])
 
 
-def list_files(spark: SparkSession, folder: str, root: str, most_bytes: int | None = None) -> DataFrame:
+def _too_long(length: int, most_bytes: int) -> str:
+    return f"File has {length} bytes, at most {most_bytes} are wanted"
+
+
+def _hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of files from their lines in order; null where the bytes do not add up to the file's size."""
+    at, size, done, digest = None, 0, 0, None
+
+    def finished() -> pa.RecordBatch:
+        if done == size - 1:  # a break ends the file, which is the only one that has no line after it
+            digest.update(b"\n")
+        whole = done in (size, size - 1)
+        return pa.RecordBatch.from_pydict(
+            {"uri": pa.array([at], pa.string()), "hash": pa.array([digest.hexdigest() if whole else None], pa.string())}
+        )
+
+    for batch in batches:
+        for uri, length, line in zip(batch["uri"].to_pylist(), batch["size"].to_pylist(), batch["line"], strict=True):
+            if uri != at:
+                if at is not None:
+                    yield finished()
+                at, size, done, digest = uri, length, 0, hashlib.sha256()
+            else:
+                digest.update(b"\n")
+                done += 1
+            piece = line.as_buffer()
+            digest.update(piece)
+            done += piece.size
+    if at is not None:
+        yield finished()
+
+
+def _hashes_through_spark(spark: SparkSession, folder: str, most_bytes: int | None, value_bytes: int) -> DataFrame:
+    """As ``_hashes`` for stores that only Spark's readers open.
+
+    Files of up to ``value_bytes`` are hashed as values where they are read. Longer ones are
+    read in splits, as lines without decoding, which are brought into the file's order in one
+    task per file and fed to the hash one after the other.
+    """
+    options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true", "ignoreCorruptFiles": "true"}
+    values = spark.read.format("binaryFile").options(**options).load(folder)
+    listed = stage_table(values.select("path", "length", F.col("_metadata.file_path").alias("uri")), "listing")
+    wanted = listed if most_bytes is None else listed.filter(F.col("length") <= most_bytes)
+    packed = F.col("uri").rlike(_PACKED)
+    long = wanted.filter((F.col("length") > value_bytes) & ~packed)
+    most_value = F.least(F.when(F.col("_metadata.file_path").rlike(_PACKED), MOST_VALUE_BYTES).otherwise(value_bytes), F.lit(most_bytes))
+    short = values.filter((F.col("length") <= MOST_VALUE_BYTES) & (F.col("length") <= most_value))
+    hashed = short.select(F.col("_metadata.file_path").alias("uri"), F.sha2("content", 256).alias("hash"))
+    if not long.isEmpty():
+        lines = (
+            spark.read.options(**options, lineSep="\n")
+            .text(folder)
+            .filter(F.col("_metadata.file_size") > value_bytes)
+            .select(
+                F.col("_metadata.file_path").alias("uri"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.col("_metadata.file_size").alias("size"),
+                F.monotonically_increasing_id().alias("line_id"),
+                F.col("value").cast("binary").alias("line"),
+            )
+            .filter(~packed & (F.lit(True) if most_bytes is None else F.col("size") <= most_bytes))
+        )
+        in_order = lines.repartition("uri").sortWithinPartitions("uri", "block", "line_id").select("uri", "size", "line")
+        hashed = hashed.unionByName(in_order.mapInArrow(_hash_lines, "uri string, hash string"))
+    error = F.when(F.col("hash").isNull(), F.lit("File cannot be read"))
+    if most_bytes is not None:
+        told = F.concat(F.lit("File has "), F.col("length"), F.lit(f" bytes, at most {most_bytes} are wanted"))
+        error = F.when(F.col("length") > most_bytes, told).otherwise(error)
+    return listed.join(hashed, "uri", "left").select("path", "length", "hash", error.alias("error"))
+
+
+def list_files(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    most_bytes: int | None = None,
+    opener: Opener | None = None,
+    value_bytes: int = VALUE_BYTES,
+) -> DataFrame:
     """``(file_key, hash, size_bytes, error)`` of all files below ``folder``.
 
-    Names and sizes come from the listing alone; every file is then read once, as a stream
-    of chunks inside a task, in one way whatever its size. Tasks are cut by file sizes, so a
-    large file has one to itself. A file that cannot be read keeps its row, without hash and
-    with an error, and no file stops another. There is no limit of size unless the caller
-    sets ``most_bytes``. Spark's scan passes over empty files and those that are gone by then:
-    they count as missing.
+    Names and sizes come from Spark's listing, whose scan cuts tasks by bytes: many small
+    files share a task, a large one has its own. A file is read once, in chunks, by a task that
+    opens its store once: plain paths as such, other stores through ``opener``, which may
+    return the ``open_input_stream`` of an Arrow file system. Without an opener, stores that
+    are not local are read through Spark itself (``_hashes_through_spark``): no credentials
+    leave Spark's configuration, and no process is started.
+
+    A file that cannot be read keeps its row, without hash and with an error, and no file
+    stops another. There is no limit of size unless the caller sets ``most_bytes``; only packed
+    files (.gz and the like) above 2 GB in a store without opener become error rows. Spark's
+    scan passes over empty files and those that are gone by then: they count as missing.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
-    files = found.load(folder).select("path", "length")
-    conf = spark._jvm.java.io.StringWriter()
-    spark._jsparkSession.sessionState().newHadoopConf().writeXml(conf)
-    hadoop_conf = conf.toString()
-    hashed = files.mapInArrow(
-        lambda b: _hashes(b, hadoop_conf, most_bytes), "path string, length bigint, hash string, error string"
-    )
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if opener is None and place.getUri().getScheme() == "file":
+        opener = local_opener
+    if opener is None:
+        hashed = _hashes_through_spark(spark, folder, most_bytes, min(value_bytes, MOST_VALUE_BYTES))
+    else:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+        hashed = found.load(folder).select("path", "length").mapInArrow(
+            lambda b: _hashes(b, opener, most_bytes), "path string, length bigint, hash string, error string"
+        )
     return hashed.select(
         file_key(F.col("path"), root).alias("file_key"), "hash", F.col("length").alias("size_bytes"), "error"
     )

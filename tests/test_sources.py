@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 
 import pyarrow as pa
 import pytest
@@ -98,21 +99,78 @@ def test_unreadable_file_stops_no_other(tmp_path):
     (tmp_path / "b.bin").write_bytes(b"b")
     paths = [f"file:{tmp_path}/a.bin", f"file:{tmp_path}/b.bin"]
     batch = pa.RecordBatch.from_pydict({"path": paths, "length": [1, 1]})
-    a, b = next(files._hashes(iter([batch]), "", None)).to_pylist()
+    a, b = next(files._hashes(iter([batch]), files.local_opener, None)).to_pylist()
     assert a["hash"] is None and "a.bin" in a["error"]
     assert (b["hash"], b["error"]) == (hashlib.sha256(b"b").hexdigest(), None)
 
 
+def viewfs(spark, folder):
+    """A mount of its own that Python cannot open."""
+    name = f"m{abs(hash(str(folder)))}"
+    spark.sparkContext._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./raw", f"file://{folder}")
+    return f"viewfs://{name}"
+
+
 def test_listing_of_a_store_that_only_spark_opens(spark, tmp_path):
-    (tmp_path / "raw").mkdir()
-    contents = {"Stock management.xlsx": b"y" * 300_000, "100% #1 {a}[b].bin": b"z"}
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    rng = random.Random(6)
+    contents = {
+        "Stock management.xlsx": rng.randbytes(300_000), "100% #1 {a}[b].bin": b"z", "no end.txt": b"a\n\nb" * 5000,
+        "end.txt": b"a\r\n\xff\xfe\n" * 4000, "sub/breaks": b"\n" * 9999, "one line": b"x" * 20_000, "x.gz": rng.randbytes(5000),
+    }
     for name, data in contents.items():
-        (tmp_path / "raw" / name).write_bytes(data)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set("fs.viewfs.mounttable.sources.link./raw", f"file://{tmp_path}/raw")
-    listing = files.list_files(spark, "viewfs://sources/raw", "viewfs://sources")
+        (folder / name).parent.mkdir(exist_ok=True)
+        (folder / name).write_bytes(data)
+    want = {f"raw/{n}": (hashlib.sha256(d).hexdigest(), len(d), None) for n, d in contents.items()}
+    store = viewfs(spark, folder)
+    for limit in (files.VALUE_BYTES, 1000):
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        try:
+            listing = files.list_files(spark, f"{store}/raw", store, value_bytes=limit)
+            assert {r.file_key: (r.hash, r.size_bytes, r.error) for r in listing.collect()} == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    few = files.list_files(spark, f"{store}/raw", store, most_bytes=20_000, value_bytes=1000).collect()
+    assert {r.file_key for r in few if r.error} == {k for k, v in want.items() if v[1] > 20_000}
+    assert all("at most 20000" in r.error for r in few if r.error)
+    assert {r.file_key: r.hash for r in few if r.hash} == {k: v[0] for k, v in want.items() if v[1] <= 20_000}
+
+
+def test_store_is_opened_once_per_task(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    for i in range(300):
+        (tmp_path / "raw" / f"f{i}").write_bytes(b"%d" % i)
+
+    def opener():
+        import os
+        import uuid
+
+        from pyarrow import fs
+
+        (tmp_path / f"opened-{os.getpid()}-{uuid.uuid4().hex}").touch()
+        local = fs.LocalFileSystem()
+        return lambda path: local.open_input_stream(path.removeprefix("file:"))
+
+    listing = files.list_files(spark, str(tmp_path / "raw"), str(tmp_path), opener=opener)
+    tasks = listing.rdd.getNumPartitions()
+    got = {r.file_key: (r.hash, r.error) for r in listing.collect()}
+    assert got == {f"raw/f{i}": (hashlib.sha256(b"%d" % i).hexdigest(), None) for i in range(300)}
+    assert tasks < 60
+    assert len(list(tmp_path.glob("opened-*"))) <= tasks
+
+
+def test_lost_file_of_a_store_that_only_spark_opens(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for name in ("a.bin", "b.bin"):
+        (folder / name).write_bytes(name.encode())
+    store = viewfs(spark, folder)
+    listing = files.list_files(spark, f"{store}/raw", store)  # lists now, reads later
+    (folder / "a.bin").unlink()
     got = {r.file_key: (r.hash, r.error) for r in listing.collect()}
-    assert got == {f"raw/{n}": (hashlib.sha256(d).hexdigest(), None) for n, d in contents.items()}
+    assert got == {"raw/a.bin": (None, "File cannot be read"), "raw/b.bin": (hashlib.sha256(b"b.bin").hexdigest(), None)}
 
 
 def test_file_key_outside_root(spark):
