@@ -451,6 +451,7 @@ ORACLES: dict[str, str] = {
           where not (script='click' and parent_key in (select parent_key from {_OUTCOMES} where script='click'))
         union all select script, parent_key, child_key, arg_max(reason,seq), arg_max(detail,seq), max(seq), {_NOW}
           from {_OUTCOMES} where script='click' and not ok group by 1,2,3""",
+    "csv_documents": "select doc_id, source, sha256(nullif(text, '')) as text_sha256 from documents",
     "listed_files": """with b as (
             select page_id//100 as book, string_agg(concat(concat_ws('|',printf('%012d',page_id),url),chr(10)),'' order by page_id) as content
             from pages group by 1

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom import fixed_values as fixed
-from tallyloom.functions.cells import cells_of
+from tallyloom.functions.cells import cell_text, cells_of
 from tallyloom.functions.specs import parse_board_spec, parse_glue_spec, unpivot_properties
 from tallyloom.functions.text import key_of
 from tallyloom.operators import (
@@ -58,6 +58,19 @@ def listed_files(spark, sf_dir):
     return listing.select(book.alias("book"), "hash", "size_bytes", "error")
 
 
+@query
+def csv_documents(spark, sf_dir):
+    """Documents written as CSV, line breaks and all, and read back as a grid: id, source and digest of the text."""
+    folder = staged_path(spark, "document-csv")
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    kept = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows.write.options(**kept).csv(folder)
+    grid = grid_source.read_csv_grid(spark, folder, width=3, typed=False)
+    return grid.select(
+        cell_text(0).cast("bigint").alias("doc_id"), cell_text(1).alias("source"), F.sha2(cell_text(2), 256).alias("text_sha256")
+    )
+
+
 # --- catalog ---------------------------------------------------------------------------
 
 

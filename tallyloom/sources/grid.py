@@ -1,6 +1,8 @@
 """Grid scans: sheets as rows of cells, with their position kept in ``row_num``."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tallyloom.functions.cells import column_cell, filled_width, make_cell, text_tag, type_tag
 from tallyloom.schemas import CELL, GRID
@@ -41,32 +43,99 @@ def grid_from_table(
     )
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files with their 1-based number in the file, read in parallel.
+def _opens_quote(line: Column, sep: str, entered_quoted: bool) -> Column:
+    """Whether a quoted field is open at the end of a line.
 
-    Lines of one file split stand together, so ``line id - first id of the split`` is the
-    place inside the split, and a running total over splits (one record each) gives the
-    offset. Large files are therefore numbered without passing through one task.
+    A quote opens a field only where the field begins; anywhere else outside quotes it is
+    text. Whole quoted fields are taken off the line, and what is left tells.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line_id"),
-        "value",
+    mark, inside = re.escape(sep), r'[^"]*+(?:""[^"]*+)*+"'
+    # What follows a closing quote belongs to the same field, up to the next separator.
+    rest = F.regexp_replace(line, f"^{inside}", "x") if entered_quoted else line
+    left = F.regexp_replace(rest, f'(?<=^|{mark})"{inside}', "x").rlike(f'(?:^|{mark})"')
+    return ~line.rlike(f"^{inside}") | left if entered_quoted else left
+
+
+def _quoted_before(df: DataFrame, before: WindowSpec, plain: str, quoted: str, first: dict[str, bool]) -> DataFrame:
+    """``df`` with a column per entry of ``first``: whether a row is entered inside quotes, if the window's first is so.
+
+    ``plain`` and ``quoted`` tell in which state a row is left if entered outside or inside
+    quotes. It sets the state, keeps it or turns it; so the state is that of the last row
+    that set it, turned by the rows since: running totals.
+    """
+    sets = F.col(plain) == F.col(quoted)
+    turns = (~sets & F.col(plain)).cast("bigint")
+    df = df.withColumn("_turned", F.coalesce(F.sum(turns).over(before), F.lit(0)))
+    df = df.withColumn("_set", F.last(F.when(sets, F.struct(F.col(plain).alias("state"), F.col("_turned").alias("at"))), True).over(before))
+    since = F.col("_turned") - F.coalesce(F.col("_set.at"), F.lit(0))
+    states = {n: F.coalesce(F.col("_set.state"), F.lit(v)) != (since % 2 == 1) for n, v in first.items()}
+    return df.withColumns(states).drop("_turned", "_set")
+
+
+def placed_rows(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """``(path, row_num, value)``: the rows of CSV files, numbered from 1 in each file.
+
+    Lines end with ``\\n`` or ``\\r\\n``. A line break inside a quoted field does not end a row,
+    wherever the file is split: each split finds what it makes of the state "inside quotes",
+    and how many rows begin in it, for either state it may be entered with; a running
+    composition over splits (one record each) gives the true one. Windows run over the lines
+    of one split, so a large file never passes through one task. Rows of one line, nearly
+    all, stay where they are; only the lines of the others are put together by a shuffle.
+    A quote that nothing closes makes the rest of its file one row.
+    """
+    # Staged, so that numbers and what is derived from them come from one and the same reading.
+    text = spark.read.option("lineSep", "\n").text(path)
+    lines = stage_table(
+        text.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line_id"),
+            _opens_quote(F.col("value"), sep, False).alias("plain"),
+            _opens_quote(F.col("value"), sep, True).alias("quoted"),
+            "value",
+        ),
+        "lines",
     )
-    # Staged, so that ids and offsets come from one and the same reading.
-    lines = stage_table(lines, "lines")
-    before = Window.partitionBy("path").orderBy("split")
-    splits = (
-        lines.groupBy("path", "split")
-        .agg(F.min("line_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-        .withColumn("offset", F.sum("n").over(before) - F.col("n"))
+    in_split = Window.partitionBy("path", "split").orderBy("line_id")
+    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    entered = {"if_plain": False, "if_quoted": True}
+    known = _quoted_before(lines, earlier, "plain", "quoted", entered)
+
+    def left(state: str) -> Column:
+        return F.when(F.col(state), F.col("quoted")).otherwise(F.col("plain"))
+
+    numbered = known.withColumns(
+        {f"rows_{n}": F.sum((~F.col(n)).cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)) for n in entered}
+    )
+    ends = {n: F.max_by(left(n), "line_id") for n in entered}
+    splits = known.groupBy("path", "split").agg(
+        ends["if_plain"].alias("end_plain"),
+        ends["if_quoted"].alias("end_quoted"),
+        *[F.sum((~F.col(n)).cast("bigint")).alias(f"n_{n}") for n in entered],
     )
-    return lines.join(splits, ["path", "split"]).select(
+    of_file = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = _quoted_before(splits, of_file, "end_plain", "end_quoted", {"entered": False})
+    n = F.when(F.col("entered"), F.col("n_if_quoted")).otherwise(F.col("n_if_plain"))
+    splits = splits.withColumn("offset", F.coalesce(F.sum(n).over(of_file), F.lit(0)))
+    splits = stage_table(splits.select("path", "split", "entered", "offset"), "splits")
+
+    def chosen(if_plain: Column, if_quoted: Column) -> Column:
+        return F.when(F.col("entered"), if_quoted).otherwise(if_plain)
+
+    placed = numbered.join(splits, ["path", "split"]).select(
         "path",
-        (F.col("line_id") - F.col("first_id") + F.col("offset") + 1).alias("row_num"),
+        "split",
+        "line_id",
+        (F.col("offset") + chosen(F.col("rows_if_plain"), F.col("rows_if_quoted"))).alias("row_num"),
+        (chosen(F.col("if_plain"), F.col("if_quoted")) | chosen(left("if_plain"), left("if_quoted"))).alias("part"),
         "value",
     )
+    whole = placed.filter(~F.col("part")).select("path", "row_num", "value")
+    parts = placed.filter("part").groupBy("path", "row_num").agg(
+        F.sort_array(F.collect_list(F.struct("split", "line_id", "value"))).alias("lines")
+    )
+    joined = parts.select("path", "row_num", F.array_join("lines.value", "\n").alias("value"))
+    return whole.unionByName(joined).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
 
 
 def read_csv_grid(
@@ -74,20 +143,22 @@ def read_csv_grid(
 ) -> DataFrame:
     """Headerless CSV as a grid: one file is one sheet of the source named like its folder.
 
-    Blank lines stay rows. ``width`` is found from the separators if not given; with
-    ``typed`` the tags are read off the text, else every filled cell is ``str``.
+    Blank lines stay rows, and quoted line breaks stay in their cell (see ``placed_rows``).
+    Quotes inside quoted cells are doubled. ``width`` is found from the separators if not
+    given; with ``typed`` the tags are read off the text, else every filled cell is ``str``.
     """
-    lines = numbered_lines(spark, path)
+    rows = placed_rows(spark, path, sep)
     if width is None:
+        rows = stage_table(rows, "csv-rows")  # it is read twice then
         commas = F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")))
-        width = (lines.agg(F.max(commas)).first()[0] or 0) + 1
+        width = (rows.agg(F.max(commas)).first()[0] or 0) + 1
     schema = ", ".join(f"c{i} string" for i in range(width))
-    row = F.from_csv("value", F.lit(schema), {"sep": sep})
+    row = F.from_csv("value", F.lit(schema), {"sep": sep, "escape": '"', "multiLine": "true", "lineSep": "\n"})
     texts = [F.col(f"row.c{i}") for i in range(width)]
     tag = text_tag if typed else (lambda t: type_tag(F.lit("str"), t))
     parts = F.split("path", "/")
     return (
-        lines.select("path", "row_num", row.alias("row"))
+        rows.select("path", "row_num", row.alias("row"))
         .withColumn("cells", F.array(*[make_cell(tag(t), t) for t in texts]))
         .select(
             F.coalesce(F.try_element_at(parts, F.lit(-2)), F.lit("")).alias("source_id"),

@@ -1,6 +1,8 @@
 """Reading grids, files and documents, and writing state."""
 
+import csv
 import hashlib
+import io
 import json
 import random
 
@@ -42,6 +44,74 @@ def test_csv_grid_keeps_order_across_splits(spark, tmp_path):
     assert {r.source_id for r in rows.values()} == {"ledger"}
 
 
+def csv_rows(text):
+    """Rows of a CSV text, with Python's reader as the judge of quotes."""
+    rows = []
+    for row in csv.reader(io.StringIO(text, newline=""), doublequote=True):
+        while row and row[-1].strip() == "":
+            row.pop()
+        rows.append([x if x.strip() else None for x in row])
+    return rows
+
+
+def read_rows(spark, folder, split):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = grids.read_csv_grid(spark, str(folder), typed=False).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    out = {}
+    for r in rows:
+        out.setdefault(r.sheet, {})[r.row_num] = [c.sval for c in r.cells]
+    assert all(sorted(found) == list(range(1, len(found) + 1)) for found in out.values())
+    return {name: [found[i] for i in sorted(found)] for name, found in out.items()}
+
+
+@pytest.mark.parametrize("split", [40, 1 << 20])
+def test_csv_grid_keeps_quoted_line_breaks_whole(spark, tmp_path, split):
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    rng = random.Random(split)
+    cells = ["plain", "5in \"pipe\"", 'a "b', "x,y", "two\nlines", "three\n\nlines\n", 'q"\n"q', ",\n,", "", "7", "\r\nmixed", '"\n']
+    texts = {"breaks": [[rng.choice(cells) for _ in range(rng.randrange(1, 5))] for _ in range(60)], "long": [["a\n" * 60, "b"], ["c"]] * 3}
+    texts["none"] = [["a", "b"]] * 20
+    for name, rows in texts.items():
+        with open(folder / f"{name}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\r\n" if name == "breaks" else "\n").writerows(rows)
+    # Quotes inside fields that no quote opens are text.
+    (folder / "stray.csv").write_text('5" pipe,"a ""b"""\nx"y"z,"l\n1",w"\n"q"r,s\n')
+    got = read_rows(spark, folder, split)
+    for name in texts:
+        assert got[name] == csv_rows((folder / f"{name}.csv").read_bytes().decode()), name
+    assert got["stray"][:2] == [['5" pipe', 'a "b"'], ['x"y"z', "l\n1", 'w"']]
+    assert len(got["stray"]) == 3
+
+
+def test_csv_grid_equals_another_reader(spark, tmp_path):
+    import duckdb
+
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    rows = [[str(i), f'He said "{i}",\nthen left' if i % 3 else f"cell {i}", "x" * (i % 50 + 1)] for i in range(3000)]
+    with open(folder / "pages.csv", "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows(rows)
+    read = f"select * from read_csv('{folder}/pages.csv', header=false, all_varchar=true, quote='\"', escape='\"', delim=',')"
+    assert read_rows(spark, folder, 3000)["pages"] == [list(r) for r in duckdb.sql(read).fetchall()]
+
+
+def test_unclosed_quote_takes_the_rest(spark, tmp_path):
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    (folder / "open.csv").write_text('a,b\nc,"d\ne,f\n')
+    (folder / "empty.csv").write_text("")
+    got = read_rows(spark, folder, 4)
+    assert set(got) == {"open"}
+    assert got["open"][0] == ["a", "b"] and len(got["open"]) == 2
+
+
 def test_retag_applies_type_rules(spark):
     g = spark.createDataFrame(
         [("b", "s", 0, 1, [("str", " =A1"), ("int", "1"), (None, None), ("time", "10:00:00")])],
