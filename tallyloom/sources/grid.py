@@ -1,13 +1,18 @@
 """Grid scans: sheets as rows of cells, with their position kept in ``row_num``."""
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tallyloom.functions.cells import column_cell, filled_width, make_cell, text_tag, type_tag
 from tallyloom.schemas import CELL, GRID
 from tallyloom.session import stage_table
 
+# Facts of file splits are broadcast while they measure below this.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def read_grid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A grid stored under its contract, as Parquet, ORC or JSON lines."""
@@ -56,85 +61,120 @@ def _opens_quote(line: Column, sep: str, entered_quoted: bool) -> Column:
     return ~line.rlike(f"^{inside}") | left if entered_quoted else left
 
 
-def _quoted_before(df: DataFrame, before: WindowSpec, plain: str, quoted: str, first: dict[str, bool]) -> DataFrame:
-    """``df`` with a column per entry of ``first``: whether a row is entered inside quotes, if the window's first is so.
+def _entered_quoted(splits: DataFrame, before: WindowSpec) -> DataFrame:
+    """``splits`` with ``entered``: whether a split begins inside quotes.
 
-    ``plain`` and ``quoted`` tell in which state a row is left if entered outside or inside
-    quotes. It sets the state, keeps it or turns it; so the state is that of the last row
-    that set it, turned by the rows since: running totals.
+    A split sets the state, keeps it or turns it; so the state is that of the last split
+    that set it, turned by those since: running totals, as files begin outside quotes.
     """
-    sets = F.col(plain) == F.col(quoted)
-    turns = (~sets & F.col(plain)).cast("bigint")
-    df = df.withColumn("_turned", F.coalesce(F.sum(turns).over(before), F.lit(0)))
-    df = df.withColumn("_set", F.last(F.when(sets, F.struct(F.col(plain).alias("state"), F.col("_turned").alias("at"))), True).over(before))
-    since = F.col("_turned") - F.coalesce(F.col("_set.at"), F.lit(0))
-    states = {n: F.coalesce(F.col("_set.state"), F.lit(v)) != (since % 2 == 1) for n, v in first.items()}
-    return df.withColumns(states).drop("_turned", "_set")
-
+    sets = F.col("end_plain") == F.col("end_quoted")
+    turns = (~sets & F.col("end_plain")).cast("bigint")
+    totals = splits.withColumn("turned", F.coalesce(F.sum(turns).over(before), F.lit(0)))
+    last = F.last(F.when(sets, F.struct(F.col("end_plain").alias("state"), F.col("turned").alias("at"))), True).over(before)
+    known = totals.withColumn("last", last)
+    since = F.col("turned") - F.coalesce(F.col("last.at"), F.lit(0))
+    return known.withColumn("entered", F.coalesce(F.col("last.state"), F.lit(False)) != (since % 2 == 1)).drop("turned", "last")
+
+
+def _split_effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each split does to the state "inside quotes", and the rows that begin in it, for either state before it."""
+    at, states, begun = None, [False, True], [0, 0]
+
+    def effect() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(
+            [{"path": at[0], "split": at[1], "end_plain": states[0], "end_quoted": states[1], "n_plain": begun[0], "n_quoted": begun[1]}]
+        )
 
-def placed_rows(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    for batch in batches:
+        columns = (batch[c].to_pylist() for c in ("path", "split", "plain", "quoted"))
+        for path, split, plain, quoted in zip(*columns, strict=True):
+            if (path, split) != at:
+                if at is not None:
+                    yield effect()
+                at, states, begun = (path, split), [False, True], [0, 0]
+            for k, inside in enumerate(states):
+                begun[k] += not inside
+                states[k] = quoted if inside else plain
+    if at is not None:
+        yield effect()
+
+
+def _rows_of_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each split, whose state and row number at its start are known; a row that goes beyond it is a ``part``."""
+    names = ("path", "row_num", "split", "part", "value")
+    at, inside, row, lines, part = None, False, 0, [], False
+    out: list[tuple] = []
+
+    def put(is_part: bool) -> None:
+        out.append((at[0], row, at[1], is_part, "\n".join(lines)))
+
+    def flush() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.string())
+        columns = list(zip(*out, strict=True)) or [()] * len(names)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
+
+    for batch in batches:
+        columns = (batch[c].to_pylist() for c in ("path", "split", "entered", "offset", "plain", "quoted", "value"))
+        for path, split, entered, offset, plain, quoted, value in zip(*columns, strict=True):
+            if (path, split) != at:
+                if lines:
+                    put(True)
+                at, inside, row, lines, part = (path, split), entered, offset, [], entered
+            if not inside:
+                row, part = row + 1, False
+            lines.append(value)
+            inside = quoted if inside else plain
+            if not inside:
+                put(part)
+                lines = []
+        yield flush()
+    if lines:
+        put(True)
+    yield flush()
+
+
+def placed_rows(spark: SparkSession, path: str, sep: str = ",", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(path, row_num, value)``: the rows of CSV files, numbered from 1 in each file.
 
     Lines end with ``\\n`` or ``\\r\\n``. A line break inside a quoted field does not end a row,
-    wherever the file is split: each split finds what it makes of the state "inside quotes",
-    and how many rows begin in it, for either state it may be entered with; a running
-    composition over splits (one record each) gives the true one. Windows run over the lines
-    of one split, so a large file never passes through one task. Rows of one line, nearly
-    all, stay where they are; only the lines of the others are put together by a shuffle.
-    A quote that nothing closes makes the rest of its file one row.
+    wherever the file is split. A first pass finds what each split makes of the state "inside
+    quotes", and how many rows begin in it, for either state it may be entered with; a running
+    composition over splits (one record each) gives the true ones. The second pass puts the
+    rows together split by split, so a large file never passes through one task, and only
+    rows that go beyond their split are shuffled. A quote that nothing closes makes the rest
+    of its file one row.
     """
-    # Staged, so that numbers and what is derived from them come from one and the same reading.
-    text = spark.read.option("lineSep", "\n").text(path)
-    lines = stage_table(
-        text.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("line_id"),
-            _opens_quote(F.col("value"), sep, False).alias("plain"),
-            _opens_quote(F.col("value"), sep, True).alias("quoted"),
-            "value",
-        ),
-        "lines",
-    )
-    in_split = Window.partitionBy("path", "split").orderBy("line_id")
-    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    entered = {"if_plain": False, "if_quoted": True}
-    known = _quoted_before(lines, earlier, "plain", "quoted", entered)
-
-    def left(state: str) -> Column:
-        return F.when(F.col(state), F.col("quoted")).otherwise(F.col("plain"))
-
-    numbered = known.withColumns(
-        {f"rows_{n}": F.sum((~F.col(n)).cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, 0)) for n in entered}
-    )
-    ends = {n: F.max_by(left(n), "line_id") for n in entered}
-    splits = known.groupBy("path", "split").agg(
-        ends["if_plain"].alias("end_plain"),
-        ends["if_quoted"].alias("end_quoted"),
-        *[F.sum((~F.col(n)).cast("bigint")).alias(f"n_{n}") for n in entered],
-    )
-    of_file = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = _quoted_before(splits, of_file, "end_plain", "end_quoted", {"entered": False})
-    n = F.when(F.col("entered"), F.col("n_if_quoted")).otherwise(F.col("n_if_plain"))
-    splits = splits.withColumn("offset", F.coalesce(F.sum(n).over(of_file), F.lit(0)))
-    splits = stage_table(splits.select("path", "split", "entered", "offset"), "splits")
-
-    def chosen(if_plain: Column, if_quoted: Column) -> Column:
-        return F.when(F.col("entered"), if_quoted).otherwise(if_plain)
-
-    placed = numbered.join(splits, ["path", "split"]).select(
-        "path",
-        "split",
-        "line_id",
-        (F.col("offset") + chosen(F.col("rows_if_plain"), F.col("rows_if_quoted"))).alias("row_num"),
-        (chosen(F.col("if_plain"), F.col("if_quoted")) | chosen(left("if_plain"), left("if_quoted"))).alias("part"),
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line_id"),
+        _opens_quote(F.col("value"), sep, False).alias("plain"),
+        _opens_quote(F.col("value"), sep, True).alias("quoted"),
         "value",
     )
-    whole = placed.filter(~F.col("part")).select("path", "row_num", "value")
-    parts = placed.filter("part").groupBy("path", "row_num").agg(
-        F.sort_array(F.collect_list(F.struct("split", "line_id", "value"))).alias("lines")
+    effects = "path string, split bigint, end_plain boolean, end_quoted boolean, n_plain bigint, n_quoted bigint"
+    found = stage_table(lines.select("path", "split", "plain", "quoted").mapInArrow(_split_effects, effects), "splits")
+    earlier = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.when(F.col("entered"), F.col("n_quoted")).otherwise(F.col("n_plain"))
+    splits = stage_table(
+        _entered_quoted(found, earlier).select("path", "split", "entered", F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias("offset")),
+        "splits",
     )
-    joined = parts.select("path", "row_num", F.array_join("lines.value", "\n").alias("value"))
+    size = splits.agg(F.coalesce(F.sum(F.octet_length("path") + 24), F.lit(0))).first()[0]
+    small = size <= broadcast_bytes
+    placed = lines.join(F.broadcast(splits) if small else splits.hint("merge"), ["path", "split"], "left")
+    # Both passes cut files alike; should they not, this fails instead of losing rows.
+    known = F.when(F.col("offset").isNull(), F.raise_error(F.lit("file splits changed between passes"))).otherwise(F.col("offset"))
+    placed = placed.withColumn("offset", known)
+    if not small:
+        placed = placed.sortWithinPartitions("path", "split", "line_id")
+    wanted = placed.select("path", "split", "entered", "offset", "plain", "quoted", "value")
+    kind = "path string, row_num bigint, split bigint, part boolean, value string"
+    rows = stage_table(wanted.mapInArrow(_rows_of_splits, kind), "csv-rows")
+    whole = rows.filter(~F.col("part")).select("path", "row_num", "value")
+    parts = rows.filter("part").groupBy("path", "row_num").agg(F.sort_array(F.collect_list(F.struct("split", "value"))).alias("parts"))
+    joined = parts.select("path", "row_num", F.array_join("parts.value", "\n").alias("value"))
     return whole.unionByName(joined).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
 
 
@@ -149,7 +189,6 @@ def read_csv_grid(
     """
     rows = placed_rows(spark, path, sep)
     if width is None:
-        rows = stage_table(rows, "csv-rows")  # it is read twice then
         commas = F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")))
         width = (rows.agg(F.max(commas)).first()[0] or 0) + 1
     schema = ", ".join(f"c{i} string" for i in range(width))

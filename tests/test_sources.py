@@ -70,8 +70,9 @@ def read_rows(spark, folder, split):
     return {name: [found[i] for i in sorted(found)] for name, found in out.items()}
 
 
-@pytest.mark.parametrize("split", [40, 1 << 20])
-def test_csv_grid_keeps_quoted_line_breaks_whole(spark, tmp_path, split):
+@pytest.mark.parametrize(("split", "limit"), [(40, grids.BROADCAST_BYTES), (300, 0), (1 << 20, grids.BROADCAST_BYTES)])
+def test_csv_grid_keeps_quoted_line_breaks_whole(spark, tmp_path, monkeypatch, split, limit):
+    monkeypatch.setattr(grids.placed_rows, "__defaults__", (",", limit))
     folder = tmp_path / "ledger"
     folder.mkdir()
     rng = random.Random(split)
