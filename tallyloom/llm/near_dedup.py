@@ -29,7 +29,7 @@ HASHES = 3
 SEED = 7
 # Cells of a document's counts of shingles, from which an upper bound of a link follows.
 CELLS = 256
-# Pairs verified against one reading of a text, and rows of a table key compared at once.
+# Pairs verified against one reading of a text, and rows of a collection key compared at once.
 PAIRS_PER_HEAD = 512
 TILE_ROWS = 2048
 
@@ -155,60 +155,112 @@ def verified(
 def _compare_tiles(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within a tile whose upper bound reaches a link.
 
-    A pair that shares several table keys is named in the first alone, that of the two
-    smallest collection keys it has in common: below the key's second one, and apart from
-    its first, the two have no other collection key in common.
+    A tile holds nodes that share one collection key. Two nodes share a table key if they
+    have another collection key in common, and are named under the smallest alone.
     """
     at, members = None, []
 
     def compared() -> pa.RecordBatch:
-        found: set[tuple[int, int]] = set()
+        found: list[tuple[int, int]] = []
         if members:
             node, component, n = (np.array([m[k] for m in members]) for k in ("node", "component", "n"))
             cells = np.array([np.frombuffer(m["cells"], dtype=np.int32) for m in members])
             side = np.array([m["side"] for m in members])
-            smaller = [frozenset(m["smaller"]) for m in members]
+            keys = np.full((len(members), max(len(m["keys"]) for m in members)), np.iinfo(np.int64).max)
+            for i, m in enumerate(members):
+                keys[i, : len(m["keys"])] = m["keys"]
             rights = np.flatnonzero(side != 1)  # a tile of one part with itself has side 0 alone
             for i in np.flatnonzero(side != 2).tolist():
                 js = rights[component[rights] != component[i]]
+                if side[i] == 0:
+                    js = js[js > i]
                 js = js[100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i])]
+                common = np.isin(keys[js], members[i]["keys"])
+                first = keys[js, common.argmax(axis=1)] if len(js) else js
+                js = js[(common.sum(axis=1) > 1) & (first == at[0])]
                 most = np.minimum(cells[js], cells[i]).sum(axis=1)
                 js = js[100 * most >= percent * (n[js] + n[i] - most)]
-                found.update(
-                    (int(min(node[i], node[j])), int(max(node[i], node[j])))
-                    for j in js.tolist()
-                    if smaller[i].isdisjoint(smaller[j])
-                )
+                found += [(int(min(node[i], node[j])), int(max(node[i], node[j]))) for j in js.tolist()]
         columns = list(zip(*found, strict=True)) or [(), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "y"])
 
     for batch in batches:
         for r in batch.to_pylist():
-            if (r["bucket"], r["low"], r["high"]) != at:
+            if (r["key"], r["low"], r["high"]) != at:
                 yield compared()
-                at, members = (r["bucket"], r["low"], r["high"]), []
+                at, members = (r["key"], r["low"], r["high"]), []
             members.append(r)
     yield compared()
 
 
-def _buckets(shared: DataFrame, with_smaller: bool = False) -> DataFrame:
-    """``(bucket, node)``: a table key for every pair of a node's collections, which are in order.
-
-    With ``smaller``, the node's other collection keys below the second of the pair.
-    """
-    entry = "xxhash64(keys[a], keys[b])"
-    if with_smaller:
-        smaller = "concat(slice(keys, 1, a), slice(keys, a + 2, b - a - 1))"
-        entry = f"named_struct('bucket', {entry}, 'smaller', {smaller})"
+def _buckets(shared: DataFrame) -> DataFrame:
+    """``(bucket, node)``: a table key for every pair of a node's collections, which are in order."""
     pairs = F.expr(
         "flatten(transform(sequence(0, size(keys) - 2), a ->"
-        f" transform(sequence(a + 1, size(keys) - 1), b -> {entry})))"
+        " transform(sequence(a + 1, size(keys) - 1), b -> xxhash64(keys[a], keys[b]))))"
     )
-    if with_smaller:
-        return shared.select(F.inline(pairs), "node")
     return shared.select(F.explode(pairs).alias("bucket"), "node")
 
 
+def _rest_pairs(
+    shared: DataFrame, nodes: DataFrame, known: DataFrame, percent: int, tile_rows: int, broadcast_bytes: int, hot_rows: int
+) -> DataFrame:
+    """Pairs of nodes that share a table key, lie in different components, and may be linked.
+
+    Nodes that share a table key share both of its collections, so they meet under single
+    collection keys, of which a node has as many as there are collections, not a key for
+    every pair. Under each key the largest component is set against the other nodes, which
+    are few as a rule: its nodes are never compared with each other, and travel once for as
+    many others as a tile holds.
+    """
+    labelled = shared.join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "keys")
+    labelled = stage_table(labelled, "labelled")
+    entries = labelled.select(F.explode("keys").alias("key"), "node", "component")
+    by_component = entries.groupBy("key", "component").agg(F.count("*").alias("members"))
+    mixed = (
+        by_component.groupBy("key")
+        .agg(
+            F.sum("members").alias("size"),
+            F.count("*").alias("components"),
+            F.max(F.struct("members", "component")).alias("main"),
+        )
+        .filter("components > 1")
+        .select(
+            "key",
+            "size",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("main.members") / tile_rows).cast("int").alias("main_parts"),
+            F.ceil((F.col("size") - F.col("main.members")) / tile_rows).cast("int").alias("other_parts"),
+        )
+    )
+    mixed = stage_table(mixed, "mixed-keys")
+    placed = join_facts(entries, mixed, "key", F.lit(48), "size", F.col("node"), broadcast_bytes, hot_rows)
+    # Parts of the largest component come first; each meets each part of the others.
+    tiles = F.expr(
+        "if(component = main,"
+        " transform(sequence(0, other_parts - 1), o -> named_struct('low', part, 'high', main_parts + o, 'side', 1)),"
+        " concat("
+        "  transform(sequence(0, main_parts - 1), m -> named_struct('low', m, 'high', main_parts + part, 'side', 2)),"
+        "  transform(sequence(0, other_parts - 1), o -> named_struct("
+        "   'low', main_parts + least(part, o), 'high', main_parts + greatest(part, o),"
+        "   'side', if(part = o, 0, if(part < o, 1, 2))))))"
+    )
+    parts = F.when(F.col("component") == F.col("main"), F.col("main_parts")).otherwise(F.col("other_parts"))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).select(
+        "key", "node", "component", F.inline(tiles)
+    )
+    payload = labelled.select("node", "keys").join(nodes.select("node", "n", "cells"), "node")
+    payload = stage_table(payload.join(placed.select("node").distinct(), "node", "left_semi"), "payload")
+    width = F.length("cells") + 8 * F.size("keys") + 32
+    rows = placed.join(broadcast_if_small(payload, width, broadcast_bytes), "node")
+    return (
+        rows.repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high")
+        .select("key", "low", "high", "side", "node", "component", "n", "cells", "keys")
+        .mapInArrow(lambda b: _compare_tiles(b, percent), "x bigint, y bigint")
+    )
+
+
 def near_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -238,10 +290,10 @@ def near_groups(
     In each table key the node with the smallest number is the pivot; all others are verified
     against it on full sets, which needs as many pairs as rows. Pivots come from an aggregate
     with map-side partials and are joined back, rows of hot table keys dealt out over tasks.
-    What the links found so far do not connect is compared in a second round: within each
-    table key, nodes of different components whose sizes and shingle counts per cell leave a
-    link possible. Such pairs are formed inside tiles of bounded size, and only those that
-    pass are handed on and verified. No table key is cut short.
+    What the links found so far do not connect is compared in a second round: nodes of
+    different components that share a table key, and whose sizes and shingle counts per cell
+    leave a link possible (see ``_rest_pairs``). Such pairs are formed inside tiles of bounded
+    size, and only those that pass are handed on and verified. No table key is cut short.
 
     Null and empty texts, and texts without words, have 0 shingles and their own id. A null
     id is never the smallest: its component is that of the ids it is linked with, or null.
@@ -302,45 +354,12 @@ def near_groups(
         .select("x", F.col("node").alias("y"))
         .distinct()
     )
-    links = stage_table(verified(stage_table(stars, "star-pairs"), nodes, texts, shingle, percent, broadcast_bytes), "links")
+    stars = stage_table(stars, "star-pairs")
+    links = stage_table(verified(stars, nodes, texts, shingle, percent, broadcast_bytes), "links")
     known = components(links, broadcast_bytes)
 
-    # Second round: buckets that hold several components and more than their pivot's pairs.
-    labelled = stage_table(
-        shared.select("node").join(known, "node", "left").select("node", F.coalesce("component", "node").alias("component")),
-        "labelled",
-    )
-    labels = broadcast_if_small(labelled, F.lit(32), broadcast_bytes)
-    mixed = stage_table(
-        _buckets(shared)
-        .join(labels, "node")
-        .groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min("component").alias("first"), F.max("component").alias("last"))
-        .filter("size > 2 and first <> last")
-        .select("bucket", F.ceil(F.col("size") / tile_rows).cast("int").alias("parts")),
-        "mixed-buckets",
-    )
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
-    tiles = F.expr("transform(sequence(0, parts - 1), o -> named_struct('low', least(part, o), 'high', greatest(part, o)))")
-    rows = (
-        _buckets(shared, with_smaller=True)
-        .join(broadcast_if_small(mixed, F.lit(32), broadcast_bytes), "bucket")
-        .join(labels, "node")
-        .join(broadcast_if_small(nodes.select("node", "n", "cells"), F.length("cells") + 32, broadcast_bytes), "node")
-        .select("bucket", "node", "component", "n", "cells", "smaller", "parts", part)
-        .withColumn("tile", F.explode(tiles))
-        .select(
-            "bucket", "node", "component", "n", "cells", "smaller", F.col("tile.low").alias("low"), F.col("tile.high").alias("high"),
-            F.when(F.col("tile.low") == F.col("tile.high"), 0).when(F.col("part") == F.col("tile.low"), 1).otherwise(2).alias("side"),
-        )
-    )
-    rest = (
-        rows.repartition("bucket", "low", "high")
-        .sortWithinPartitions("bucket", "low", "high")
-        .mapInArrow(lambda b: _compare_tiles(b, percent), "x bigint, y bigint")
-        .distinct()
-    )
-    rest = stage_table(rest.join(stars_of(links), ["x", "y"], "left_anti"), "rest-pairs")
+    rest = _rest_pairs(shared, nodes, known, percent, tile_rows, broadcast_bytes, hot_rows)
+    rest = stage_table(rest.join(stars, ["x", "y"], "left_anti"), "rest-pairs")
     more = verified(rest, nodes, texts, shingle, percent, broadcast_bytes)
     links = stage_table(links.unionByName(more), "all-links")
     known = components(links, broadcast_bytes)
@@ -384,7 +403,3 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: st
     )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.join(broadcast_if_small(dropped, F.lit(40), limit), same, "left_anti").select("row.*")
-
-
-def stars_of(links: DataFrame) -> DataFrame:
-    return links.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
