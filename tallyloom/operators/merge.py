@@ -77,15 +77,15 @@ def item_actions(target: DataFrame, inputs: DataFrame) -> DataFrame:
     )
 
 
-def apply_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
-    """Target after inserts and repairs; a repair fills nulls and never overwrites."""
+def _repaired(target: DataFrame, actions: DataFrame, run_ts: Column, how: str) -> DataFrame:
+    """Items after repairs, all of them (``left``) or those repaired (``inner``)."""
     repairs = actions.filter(F.col("action") == "repair").select(
         "display_name",
         F.col("category").alias("new_category"),
         F.col("base_uom").alias("new_uom"),
         F.lit(True).alias("repaired"),
     )
-    kept = target.join(repairs, "display_name", "left").select(
+    return target.join(repairs, "display_name", how).select(
         "item_id",
         "display_name",
         F.coalesce("category", "new_category").alias("category"),
@@ -94,9 +94,12 @@ def apply_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFr
         "created_at",
         F.when(F.col("repaired"), run_ts).otherwise(F.col("updated_at")).alias("updated_at"),
     )
+
+
+def _inserted(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
     highest = target.agg(F.coalesce(F.max("item_id"), F.lit(0))).scalar()
     inserts = actions.filter(F.col("action") == "insert").select("display_name", "category", "base_uom")
-    added = dense_ids(inserts, "display_name", highest).select(
+    return dense_ids(inserts, "display_name", highest).select(
         "item_id",
         "display_name",
         "category",
@@ -105,7 +108,18 @@ def apply_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFr
         run_ts.alias("created_at"),
         run_ts.alias("updated_at"),
     )
-    return kept.unionByName(added).select(*column_names(ITEMS))
+
+
+def apply_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+    """Target after inserts and repairs; a repair fills nulls and never overwrites."""
+    kept = _repaired(target, actions, run_ts, "left")
+    return kept.unionByName(_inserted(target, actions, run_ts)).select(*column_names(ITEMS))
+
+
+def changed_items(target: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+    """The rows of ``apply_items`` that are new or repaired."""
+    repaired = _repaired(target, actions, run_ts, "inner")
+    return repaired.unionByName(_inserted(target, actions, run_ts)).select(*column_names(ITEMS))
 
 
 def merge_items(target: DataFrame, inputs: DataFrame, run_ts: Column) -> Merge:
@@ -179,11 +193,14 @@ def property_actions(
     )
 
 
-def apply_properties(existing: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
-    added = actions.filter(F.col("action") == "insert").select(
+def added_properties(actions: DataFrame, run_ts: Column) -> DataFrame:
+    return actions.filter(F.col("action") == "insert").select(
         "item_id", "property_name", "property_value", run_ts.alias("created_at")
     )
-    return existing.select(*column_names(PROPERTIES)).unionByName(added)
+
+
+def apply_properties(existing: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+    return existing.select(*column_names(PROPERTIES)).unionByName(added_properties(actions, run_ts))
 
 
 def merge_properties(
@@ -247,9 +264,13 @@ def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> D
     )
 
 
-def apply_fields(existing: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+def added_fields(actions: DataFrame, run_ts: Column) -> DataFrame:
     added = actions.filter(F.col("action") == "insert").withColumn("created_at", run_ts)
-    return existing.select(*column_names(FIELDS)).unionByName(added.select(*column_names(FIELDS)))
+    return added.select(*column_names(FIELDS))
+
+
+def apply_fields(existing: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+    return existing.select(*column_names(FIELDS)).unionByName(added_fields(actions, run_ts))
 
 
 def merge_fields(items: DataFrame, fields: DataFrame, existing: DataFrame, run_ts: Column) -> Merge:
@@ -276,11 +297,16 @@ def threshold_actions(items: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
 
 
-def apply_thresholds(items: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
-    """Items with updated thresholds; items not listed stay as they are."""
+def changed_thresholds(items: DataFrame, actions: DataFrame, run_ts: Column) -> DataFrame:
+    """The rows of ``apply_thresholds`` that are updated."""
+    return apply_thresholds(items, actions, run_ts, "inner")
+
+
+def apply_thresholds(items: DataFrame, actions: DataFrame, run_ts: Column, how: str = "left") -> DataFrame:
+    """Items with updated thresholds; items not listed stay as they are (``inner``: are left out)."""
     updates = actions.filter(F.col("action") == "update").select("display_name", "new_value")
     changed = F.col("new_value").isNotNull()
-    return items.join(updates, "display_name", "left").select(
+    return items.join(updates, "display_name", how).select(
         "item_id",
         "display_name",
         "category",

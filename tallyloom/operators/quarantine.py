@@ -64,6 +64,17 @@ def settle(quarantine: DataFrame, outcomes: DataFrame, ts: Column) -> DataFrame:
     )
 
 
+def parent_changes(
+    quarantine: DataFrame, script: str, parents: DataFrame, failures: DataFrame, ts: Column
+) -> tuple[DataFrame, DataFrame]:
+    """What ``settle_parents`` writes anew, and the keys of what it removes or replaces."""
+    done = parents.select(F.lit(script).alias("script"), "parent_key").distinct()
+    outcomes = failures.withColumn("script", F.lit(script)).withColumn("ok", F.lit(False))
+    failed = last_failures(outcomes, last_outcomes(outcomes)).withColumn("ts", ts)
+    own = quarantine.filter(F.col("script") == script)
+    return failed.select(*_COLUMNS), keep_keys(own, done, ["script", "parent_key"], ["child_key"]).select(*KEY)
+
+
 def settle_parents(
     quarantine: DataFrame, script: str, parents: DataFrame, failures: DataFrame, ts: Column
 ) -> DataFrame:

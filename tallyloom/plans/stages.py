@@ -18,7 +18,7 @@ from tallyloom.session import stage_table
 from tallyloom.sources.files import source_status
 from tallyloom.sources.grid import first_sheet, named_sheet
 from tallyloom.sources.registry import sources_of
-from tallyloom.sources.store import Store
+from tallyloom.sources.store import Store, transactional
 
 CATALOG_STAGE, PROFILE_STAGE = "catalog", "profile"
 ITEM_ACTIONS = ["insert", "repair", "skip", "fail"]
@@ -36,6 +36,15 @@ TABLES = {
     "quarantine": schemas.QUARANTINE,
     "tracker": schemas.TRACKER,
 }
+# Changes of a table replace rows by these.
+KEYS = {
+    "inventory_item": ["item_id"],
+    "item_property": ["item_id", "property_name"],
+    "batch_field": ["item_id", "field_key"],
+    "quarantine": quarantine.KEY,
+    "tracker": ["stage", "file_key"],
+}
+BY_SOURCE = ["source_id"]
 
 
 @dataclass(frozen=True)
@@ -108,6 +117,10 @@ class Onboarding:
     ``sheet_list(source_id, sheet, sheet_idx)`` names the sheets of all books, also those
     without any row, which the grid cannot show.
     The grid holds registered sources only. One run at a time may write to a store.
+
+    What a stage writes becomes visible when it ends, all of it or, if it is killed, none;
+    only the per-source copies are written as they come. A stage that is run again with the
+    same ``run_id`` adds nothing to the logs a second time.
     """
 
     def __init__(
@@ -120,6 +133,7 @@ class Onboarding:
         folder_key: str = "",
         read_errors: DataFrame | None = None,
         sheet_list: DataFrame | None = None,
+        run_id: str | None = None,
     ):
         self.store = store
         self.registry = registry
@@ -128,12 +142,25 @@ class Onboarding:
         self.statuses = stage_table(source_status(registry, listing, folder_key, read_errors), "statuses")
         self.sheet_list = sheet_list
         self.ts = run_ts
-        for name, ddl in TABLES.items():
-            store.ensure(name, ddl)
+        self.run_id = run_id
+        with store.transaction():
+            for name, ddl in TABLES.items():
+                store.ensure(name, ddl)
 
     def table(self, name: str) -> DataFrame:
         return self.store.read(name, TABLES[name])
 
+    def _change(self, name: str, rows: DataFrame, removed: DataFrame | None = None) -> None:
+        self.store.change(name, TABLES[name], KEYS[name], rows, removed)
+
+    def _track(self, script: str, files: DataFrame, mark: Callable[[DataFrame], DataFrame]) -> None:
+        """The tracker's rows of ``files`` after ``mark``; the others are not read again."""
+        tracker = tracking.of_stage(self.table("tracker"), script)
+        self._change("tracker", mark(tracker.join(files.select("file_key"), "file_key", "left_semi").select(*tracker.columns)))
+
+    def _log(self, name: str, rows: DataFrame, fmt: str, script: str) -> None:
+        self.store.append(name, rows, fmt, f"{self.run_id}-{script}" if self.run_id else None)
+
     # --- catalog and profile ---------------------------------------------------------
 
     def _work(self, stage: str, prior: DataFrame, force: bool) -> tuple[DataFrame, DataFrame]:
@@ -159,18 +186,14 @@ class Onboarding:
         return self.sheet_list.select(*SHEET_KEYS).join(readable, "source_id", "left_semi")
 
     def _replace(self, name: str, ddl: str, fresh: DataFrame, kept: DataFrame) -> None:
-        """New snapshot: results of this run, and the stored ones of unchanged sources."""
-        prior = self.store.read(name, ddl)
-        carried = keep_keys(prior, kept, ["source_id"], [c for c in ("sheet", "col_idx") if c in prior.columns] or ["source_id"])
-        columns = schemas.column_names(ddl)
-        self.store.write(name, fresh.select(*columns).unionByName(carried))
+        """Results of this run take the place of their sources'; those of sources that are gone go."""
+        prior = self.store.read(name, ddl).select("source_id").distinct()
+        gone = prior.join(kept.select("source_id"), "source_id", "left_anti")
+        self.store.change(name, ddl, BY_SOURCE, fresh.select(*schemas.column_names(ddl)), gone)
 
     def _mark_processed(self, stage: str, work: DataFrame, keep_loaded: bool) -> None:
         done = work.filter(F.col("file_status") == "ok")
-        self.store.write(
-            "tracker",
-            tracking.mark_processed(self.table("tracker"), stage, done, self.ts, keep_loaded),
-        )
+        self._track(stage, done, lambda tracker: tracking.mark_processed(tracker, stage, done, self.ts, keep_loaded))
 
     def _outcomes(self, work: DataFrame, kept: DataFrame) -> DataFrame:
         ok = F.col("file_status") == "ok"
@@ -179,6 +202,7 @@ class Onboarding:
             processed.unionByName(kept.select("source_id", F.lit("skipped").alias("outcome")))
         )
 
+    @transactional
     def catalog(self, force: bool = False) -> DataFrame:
         """Catalog new and changed sources; unchanged ones keep their entries."""
         prior = self.store.read("source_catalog", schemas.SOURCE_CATALOG)
@@ -195,6 +219,7 @@ class Onboarding:
         self._mark_processed(CATALOG_STAGE, work, keep_loaded=False)
         return self._outcomes(work, kept)
 
+    @transactional
     def profile(self, force: bool = False) -> DataFrame:
         """Profile new and changed sources; a source already loaded keeps that status."""
         prior = self.store.read("source_report", schemas.SOURCE_REPORT)
@@ -248,10 +273,7 @@ class Onboarding:
         )
 
     def _settle(self, script: str, parents: DataFrame, failures: DataFrame) -> None:
-        settled = quarantine.settle_parents(
-            self.table("quarantine"), script, parents, failures, self.ts
-        )
-        self.store.write("quarantine", settled)
+        self._change("quarantine", *quarantine.parent_changes(self.table("quarantine"), script, parents, failures, self.ts))
 
     def _finish(
         self, script: str, counts: DataFrame, mode: str, must_be_zero: list[str], keys: DataFrame | None = None
@@ -273,13 +295,12 @@ class Onboarding:
             rows = rows.limit(0)
         rows = stage_table(rows, "manifest")
         if not blocked and rows.count() == counts.count():
-            self.store.append("load_manifest", rows, "parquet")
+            self._log("load_manifest", rows, "parquet", script)
         files = rows.select("source_id").join(self.statuses.select("source_id", "file_key"), "source_id")
-        self.store.write(
-            "tracker", tracking.mark_loaded(self.table("tracker"), script, files, self.ts)
-        )
+        self._track(script, files, lambda tracker: tracking.mark_loaded(tracker, script, files, self.ts))
         return counts
 
+    @transactional
     def items(self, kind: LedgerKind, retry: bool = False) -> DataFrame | None:
         """One item per sheet of a ledger; None if a retry was asked for and nothing is pending."""
         script = kind.item_stage
@@ -307,7 +328,7 @@ class Onboarding:
         )
         items = self.table("inventory_item")
         actions = stage_table(merge.item_actions(items, inputs), "item-actions")
-        self.store.write("inventory_item", merge.apply_items(items, actions, self.ts))
+        self._change("inventory_item", merge.changed_items(items, actions, self.ts))
         failures = actions.filter(F.col("action") == "fail").select(
             "parent_key",
             F.lit(quarantine.NO_CHILD).alias("child_key"),
@@ -324,6 +345,7 @@ class Onboarding:
         keys = inputs.select("source_id", "parent_key").unionByName(passed.select("source_id", "parent_key"))
         return self._finish(script, counts, mode, ["fail"], keys)
 
+    @transactional
     def specs(self, kind: LedgerKind, retry: bool = False) -> DataFrame | None:
         """Properties from the canonical specification of each sheet.
 
@@ -367,7 +389,7 @@ class Onboarding:
         )
         existing = self.table("item_property")
         actions = stage_table(merge.property_actions(items, existing, inputs), "property-actions")
-        self.store.write("item_property", merge.apply_properties(existing, actions, self.ts))
+        self._change("item_property", merge.added_properties(actions, self.ts))
 
         where = F.concat(F.lit("sheet="), F.col("parent_key"))
         failures = work.filter(F.col("reason").isNotNull()).select(
@@ -412,6 +434,7 @@ class Onboarding:
 
     # --- supplier fields -------------------------------------------------------------
 
+    @transactional
     def fields(
         self,
         sheet: str = fixed.SUPPLIER_SHEET,
@@ -463,7 +486,7 @@ class Onboarding:
             items = items.join(names, "display_name", "left_semi")
         existing = self.table("batch_field")
         actions = stage_table(merge.field_actions(items, found, existing), "field-actions")
-        self.store.write("batch_field", merge.apply_fields(existing, actions, self.ts))
+        self._change("batch_field", merge.added_fields(actions, self.ts))
         conflict = F.printf(
             F.lit(fixed.MSG_CONFLICT),
             F.col("field_key"),
@@ -502,7 +525,10 @@ class Onboarding:
     def thresholds(self, config: DataFrame, retry: bool = False) -> DataFrame | None:
         """Thresholds from ``config(value)``; an invalid document stops before anything is written."""
         checked = checks.checked_thresholds(checks.threshold_entries(config))
-        wanted = checks.require_valid(stage_table(checked, "checked"), self._keep_errors)
+        return self._thresholds(checks.require_valid(stage_table(checked, "checked"), self._keep_errors), retry)
+
+    @transactional
+    def _thresholds(self, wanted: DataFrame, retry: bool) -> DataFrame | None:
         script = fixed.STAGE_THRESHOLDS
         pending = self._pending(script)
         mode = quarantine.run_mode(pending, retry)
@@ -515,8 +541,8 @@ class Onboarding:
             wanted = chosen.drop("parent_key")
         items = self.table("inventory_item")
         actions = stage_table(merge.threshold_actions(items, wanted), "threshold-actions")
-        self.store.write("inventory_item", merge.apply_thresholds(items, actions, self.ts))
-        self.store.append("audit", quarantine.audit_rows(actions, script, self.ts), "json")
+        self._change("inventory_item", merge.changed_thresholds(items, actions, self.ts))
+        self._log("audit", quarantine.audit_rows(actions, script, self.ts), "json", script)
         failures = actions.filter(F.col("action") == "blocked").select(
             F.col("display_name").alias("parent_key"),
             F.lit(quarantine.NO_CHILD).alias("child_key"),

@@ -326,3 +326,95 @@ def test_sheet_selection(spark):
     sources = spark.createDataFrame([("a",), ("b",), ("c",)], "source_id string")
     missing = grids.missing_sheets(sources, g, "y").orderBy("source_id").collect()
     assert [(r.source_id, r.available_sheets) for r in missing] == [("b", 1), ("c", 0)]
+
+
+DDL = "k string, n bigint, v string"
+
+
+def changed(spark, *rows):
+    return spark.createDataFrame(list(rows), DDL)
+
+
+def test_changes_are_written_beside_the_version(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path))
+    store.write("t", spark.range(200_000).selectExpr("cast(id as string) k", "id n", "sha2(cast(id as string), 512) v"))
+    store.change("t", DDL, ["k"], changed(spark, ("7", 1, "x"), ("new", 2, None), (None, 3, "null key")))
+    store.change("t", DDL, ["k"], changed(spark, ("7", 4, "y")), spark.createDataFrame([("8",), ("7",), ("none",)], "k string"))
+    folders = sorted(p.name for p in (tmp_path / "t").iterdir())
+    assert [f[0] for f in folders] == ["d", "d", "v"]
+    assert [spark.read.parquet(str(tmp_path / "t" / f)).count() for f in folders] == [3, 3, 200_000]
+    rows = {r.k: (r.n, r.v) for r in store.read("t", DDL).collect()}
+    assert len(rows) == 200_000 + 2 - 1
+    assert rows["7"] == (4, "y") and "8" not in rows and rows["new"] == (2, None) and rows[None] == (3, "null key")
+    store.change("t", DDL, ["n"], changed(spark, ("by n", 4, "")))  # other keys: what was there is folded first
+    assert {r.k for r in store.read("t", DDL).filter("n = 4").collect()} == {"by n"}
+    store.change("t", DDL, ["k"], changed(spark), spark.createDataFrame([], "k string"))
+    assert len(list((tmp_path / "t").iterdir())) == 6
+
+
+def test_all_rows_of_a_key_are_replaced(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path))
+    store.change("t", DDL, ["k"], changed(spark, ("a", 1, ""), ("a", 2, ""), ("b", 3, "")))
+    store.change("t", DDL, ["k"], changed(spark, ("a", 9, ""), ("a", 9, "")))
+    assert sorted((r.k, r.n) for r in store.read("t", DDL).collect()) == [("a", 9), ("a", 9), ("b", 3)]
+
+
+def test_many_changes_are_folded(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path), keep_versions=1)
+    store.ensure("t", DDL)
+    for i in range(2 * stores.MOST_CHANGES + 3):
+        store.change("t", DDL, ["k"], changed(spark, (f"k{i % 5}", i, "")))
+    assert len(store._folders("t")) <= stores.MOST_CHANGES + 1
+    assert sorted((r.k, r.n) for r in store.read("t", DDL).collect()) == [(f"k{i % 5}", i) for i in range(15, 19)] + [("k4", 14)]
+
+
+def test_killed_transaction_changes_nothing(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path))
+    store.write("t", changed(spark, ("a", 1, "")))
+    store.append("log", changed(spark, ("first", 1, "")), key="r1")
+    for last in range(4):
+
+        class Killed(Exception):
+            pass
+
+        with pytest.raises(Killed), store.transaction():
+            steps = [
+                lambda: store.change("t", DDL, ["k"], changed(spark, ("b", 2, ""))),
+                lambda: store.write("u", changed(spark, ("c", 3, ""))),
+                lambda: store.append("log", changed(spark, ("second", 1, "")), key="r2"),
+            ]
+            for step in steps[:last]:
+                step()
+            if last:
+                assert {r.k for r in store.read("t", DDL).collect()} == {"a", "b"}
+            raise Killed
+        again = stores.Store(spark, str(tmp_path))
+        assert [r.k for r in again.read("t", DDL).collect()] == ["a"]
+        assert again.read("u", DDL).count() == 0
+        assert [r.k for r in again.read_log("log", DDL).collect()] == ["first"]
+    with store.transaction():
+        for step in steps:
+            step()
+    again = stores.Store(spark, str(tmp_path))
+    assert {r.k for r in again.read("t", DDL).collect()} == {"a", "b"}
+    assert {r.k for r in again.read_log("log", DDL).collect()} == {"first", "second"}
+    store.append("log", changed(spark, ("second", 1, "")), key="r2")
+    assert again.read_log("log", DDL).count() == 2
+
+
+def test_log_is_published_by_the_next_reader(spark, tmp_path, monkeypatch):
+    store = stores.Store(spark, str(tmp_path))
+    monkeypatch.setattr(stores.Store, "_publish", lambda self, state: None)  # killed right after the pointer
+    store.append("log", changed(spark, ("a", 1, "")), key="r1")
+    monkeypatch.undo()
+    assert [r.k for r in stores.Store(spark, str(tmp_path)).read_log("log", DDL).collect()] == ["a"]
+
+
+def test_folders_of_odd_sources_go(spark, tmp_path):
+    store = stores.Store(spark, str(tmp_path))
+    names = ["a b", "x/y", "100%", "q=1:2", "plain", "ä?"]
+    store.write_per_source("out", spark.createDataFrame([(n, 1) for n in names], "source_id string, n bigint"))
+    assert len(list((tmp_path / "out").glob("source_id=*"))) == len(names)
+    done = spark.createDataFrame([(n,) for n in names], "source_id string")
+    store.write_per_source("out", spark.createDataFrame([("plain", 2)], "source_id string, n bigint"), done)
+    assert [p.name for p in (tmp_path / "out").glob("source_id=*")] == ["source_id=plain"]

@@ -298,3 +298,51 @@ def test_conflict_holds_back_every_supplier_book(spark, tmp_path):
     dates = {str(r.loaded_at)[:10] for r in manifest.filter("script = 'de_1_3'").collect()}
     assert dates == {"2024-06-01"}
     assert not {r.loaded_at for r in again.table("tracker").collect() if r.loaded_at and str(r.loaded_at) > "2024-06-02"}
+
+
+def test_stage_killed_at_any_write_leaves_everything_as_it_was(spark, tmp_path):
+    class Killed(Exception):
+        pass
+
+    class Fragile(Store):
+        left = None
+
+        def _step(self):
+            if self.left == 0:
+                raise Killed
+            if self.left is not None:
+                self.left -= 1
+
+        def change(self, *args):
+            self._step()
+            super().change(*args)
+
+        def append(self, *args):
+            self._step()
+            super().append(*args)
+
+    run = onboarding(spark, tmp_path)
+    run.catalog()
+    before, tracker = snapshot(run), sorted(map(repr, run.table("tracker").collect()))
+    run.store = Fragile(spark, str(tmp_path))
+    for writes in range(4):
+        run.store.left = writes
+        with pytest.raises(Killed):
+            run.items(BOARDS)
+        assert snapshot(run) == before
+        assert sorted(map(repr, run.table("tracker").collect())) == tracker
+    run.store.left = None
+    assert counts(run.items(BOARDS))["insert"] == 8
+    assert run.table("inventory_item").count() == 8
+
+
+def test_rerun_of_a_run_adds_no_second_audit_row(spark, tmp_path):
+    run = onboarding(spark, tmp_path)
+    run.run_id = "june"
+    run.items(BOARDS)
+    run.thresholds(config(spark))
+    run.thresholds(config(spark))
+    assert run.store.read_log("audit", schemas.AUDIT).count() == 3
+    run.run_id = "july"
+    run.thresholds(config(spark))
+    assert run.store.read_log("audit", schemas.AUDIT).count() == 6
