@@ -90,7 +90,7 @@ def decode_rows(rows: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
 
 def frequent_words(
     docs: DataFrame, tokenizer: str, text_column: str, table_words: int, table_bytes: int
-) -> dict[bytes, tuple[bytes, str]]:
+) -> tuple[dict[bytes, bytes], dict[bytes, str]]:
     """Ids (as int32 bytes) and decoded text of the most frequent words, within both bounds."""
     counted = stage_table(count_words(docs, text_column).filter(F.octet_length("word") <= MOST_BYTES), "bpe-counts")
     # Levels of frequency, 64 to a doubling, so that no task has to sort the words.
@@ -109,10 +109,20 @@ def frequent_words(
     encoded = stage_table(encode_words(top, tokenizer), "bpe-encoded")
     decoded = decode_rows(encoded, piece_table(docs.sparkSession, tokenizer), "word")
     table = encoded.join(decoded, "word", "left").select("word", "ids", F.coalesce("decoded", F.lit("")).alias("decoded"))
-    return {
-        r.word.encode(): (np.asarray(r.ids, dtype=np.int32).tobytes(), r.decoded)
-        for r in table.toLocalIterator()
-    }
+    ids, decoded = {}, {}
+    for r in table.toLocalIterator():
+        ids[r.word.encode()] = np.asarray(r.ids, dtype=np.int32).tobytes()
+        decoded[r.word.encode()] = r.decoded
+    return ids, decoded
+
+
+class _Table(dict):
+    """The words at every worker; a word that is not among them comes from ``rare``."""
+
+    rare: dict = {}
+
+    def __missing__(self, word: bytes):
+        return self.rare[word]
 
 
 def encode_texts(
@@ -140,26 +150,29 @@ def encode_texts(
     bounded_batches(spark)
     tokenizer = tokenizer_json(tokenizer_path)
     table = spark.sparkContext.broadcast(frequent_words(docs, tokenizer, text_column, table_words, table_bytes))
+    # A vocabulary is of fixed size; ids of rare words become pieces through it as those of the others do.
+    pieces = spark.sparkContext.broadcast({r.id: r.piece for r in piece_table(spark, tokenizer).collect()})
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_column}`").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        bpe, known = Tokenizer.from_str(tokenizer), table.value
+        bpe, piece_of = Tokenizer.from_str(tokenizer), pieces.value
+        word_ids, word_text = (_Table(t) for t in table.value)
         for batch, texts in text_batches(batches, most_bytes=SLICE_BYTES):
             split = [split_words(t) for t in texts]
-            rare = list({w for words in split for w in words if w not in known})
-            found = bpe.encode_batch([w.decode() for w in rare], add_special_tokens=False)
-            here = {w: (np.asarray(e.ids, dtype=np.int32).tobytes(), " ".join(e.tokens)) for w, e in zip(rare, found, strict=True)}
+            rare = list(set().union(*split).difference(word_ids))
+            found = [e.ids for e in bpe.encode_batch([w.decode() for w in rare], add_special_tokens=False)]
+            word_ids.rare = {w: np.asarray(i, dtype=np.int32).tobytes() for w, i in zip(rare, found, strict=True)}
+            word_text.rare = {w: " ".join([piece_of[k] for k in i]) for w, i in zip(rare, found, strict=True)}
             ids, lengths, decoded = [], [], []
             for words in split:
-                parts = [known[w] if w in known else here[w] for w in words]
-                blob = b"".join([p[0] for p in parts])
+                blob = b"".join(map(word_ids.__getitem__, words))
                 ids.append(blob)
                 lengths.append(len(blob) // 4)
                 # A word may hold nothing that is encoded, and then leaves no gap.
-                decoded.append(" ".join([p[1] for p in parts if p[0]]))
+                decoded.append(" ".join(filter(None, map(word_text.__getitem__, words))))
             offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
             flat = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
             yield pa.RecordBatch.from_pydict(
