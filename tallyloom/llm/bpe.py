@@ -2,6 +2,7 @@
 
 import json
 import os
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -63,7 +64,7 @@ def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
 
         bpe = Tokenizer.from_str(tokenizer)
         for batch in batches:
-            found = bpe.encode_batch(batch["word"].to_pylist(), add_special_tokens=False)
+            found = bpe.encode_batch_fast(batch["word"].to_pylist(), add_special_tokens=False)
             ids = pa.array([e.ids for e in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
@@ -163,8 +164,9 @@ def encode_texts(
         for batch, texts in text_batches(batches, most_bytes=SLICE_BYTES):
             split = [split_words(t) for t in texts]
             rare = list(set().union(*split).difference(word_ids))
-            found = [e.ids for e in bpe.encode_batch([w.decode() for w in rare], add_special_tokens=False)]
-            word_ids.rare = {w: np.asarray(i, dtype=np.int32).tobytes() for w, i in zip(rare, found, strict=True)}
+            # Without offsets, which nothing here needs.
+            found = [e.ids for e in bpe.encode_batch_fast([w.decode() for w in rare], add_special_tokens=False)]
+            word_ids.rare = {w: array("i", i).tobytes() for w, i in zip(rare, found, strict=True)}
             word_text.rare = {w: " ".join([piece_of[k] for k in i]) for w, i in zip(rare, found, strict=True)}
             ids, lengths, decoded = [], [], []
             for words in split:
