@@ -12,7 +12,7 @@ from tallyloom.fixed_values import (
 from tallyloom.functions.cells import cell_text
 from tallyloom.functions.specs import parse_board_spec
 from tallyloom.functions.text import is_blank, title_py, trim_py
-from tallyloom.operators.scale import attach_sheet_facts
+from tallyloom.operators.scale import attach_sheet_facts, fits_broadcast, with_each
 from tallyloom.operators.sheets import (
     SPEC_TOKENS,
     TWO_TEXTS,
@@ -23,9 +23,6 @@ from tallyloom.operators.sheets import (
 from tallyloom.schemas import SHEET_KEYS
 from tallyloom.session import stage_table
 
-# Field definitions of one mapping, which is configuration.
-MOST_FIELDS = 1000
-EXPECTED_HEADERS = tuple(name for name, *_ in FIELD_MAPPING)
 
 
 def is_thickness_tab(sheet) -> Column:
@@ -188,30 +185,18 @@ def field_mapping(spark) -> DataFrame:
     )
 
 
-def mapped_names(mapping: DataFrame) -> list[str]:
-    """Header names of a mapping, which is configuration of bounded size."""
-    rows = mapping.select("field_name").distinct().orderBy("field_name").limit(MOST_FIELDS + 1).collect()
-    if len(rows) > MOST_FIELDS:
-        raise ValueError(f"more than {MOST_FIELDS} headers in a mapping")
-    return [r.field_name for r in rows]
-
-
-def missing_headers(headers: DataFrame, sheets: DataFrame, expected=EXPECTED_HEADERS) -> DataFrame:
-    """Expected headers a sheet does not have, one row each; each sheet fans out in place."""
-    wanted = sheets.select(
-        *SHEET_KEYS, F.explode(F.array(*[F.lit(n) for n in expected])).alias("header")
-    )
+def missing_headers(headers: DataFrame, sheets: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Headers of ``expected(field_name, ...)``, by default the fixed mapping, that a sheet does not have."""
+    expected = field_mapping(headers.sparkSession) if expected is None else expected
+    names = stage_table(expected.select(F.col("field_name").alias("header")).distinct(), "expected-headers")
+    wanted = with_each(sheets.select(*SHEET_KEYS), names, SHEET_KEYS)
     return wanted.join(headers.select(*SHEET_KEYS, "header"), [*SHEET_KEYS, "header"], "left_anti")
 
 
 def mapped_fields(headers: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Headers found in the mapping, in sheet order (``col_idx``); matching is case-sensitive.
-
-    The mapping is configuration, bounded by ``MOST_FIELDS`` where it is used.
-    """
-    return headers.join(
-        F.broadcast(mapping.withColumnRenamed("field_name", "header")), "header"
-    ).select(
+    """Headers found in the mapping, in sheet order (``col_idx``); matching is case-sensitive."""
+    names = stage_table(mapping.withColumnRenamed("field_name", "header"), "mapping")
+    return headers.join(F.broadcast(names) if fits_broadcast(names) else names, "header").select(
         *SHEET_KEYS,
         "col_idx",
         F.col("header").alias("field_name"),

@@ -19,8 +19,7 @@ from tallyloom.fixed_values import (
     PROPERTY_LENGTHS,
 )
 from tallyloom.operators.checks import row_error
-from tallyloom.operators.extract import MOST_FIELDS
-from tallyloom.operators.scale import dense_ids, first_per_key, lookup
+from tallyloom.operators.scale import dense_ids, first_per_key, lookup, with_each
 from tallyloom.schemas import FIELDS, ITEMS, PROPERTIES, column_names
 from tallyloom.session import stage_table
 
@@ -213,26 +212,19 @@ def merge_properties(
 def item_fields(items: DataFrame, fields: DataFrame) -> DataFrame:
     """Every item with every field of ``fields(field_name, field_key, field_type, is_required)``.
 
-    Definitions come from the caller's mapping, once per key. A mapping is configuration and
-    has to stay within ``MOST_FIELDS``; it is unfolded inside each item's row, so items are
-    neither shuffled nor joined with all pairs.
+    Definitions come from the caller's mapping, once per key, however many there are.
     """
-    first = F.min(F.struct("field_name", "field_type", "is_required")).alias("d")
-    rows = fields.groupBy("field_key").agg(first).orderBy("field_key").limit(MOST_FIELDS + 1).collect()
-    if len(rows) > MOST_FIELDS:
-        raise ValueError(f"more than {MOST_FIELDS} field definitions")
-    definitions = F.array(
-        *[
-            F.struct(
-                F.lit(r.d.field_name).alias("field_name"),
-                F.lit(r.field_key).alias("field_key"),
-                F.lit(FIELD_TYPE_DEFAULT if r.d.field_type is None else r.d.field_type).alias("field_type"),
-                F.lit(FIELD_REQUIRED_DEFAULT if r.d.is_required is None else r.d.is_required).alias("is_required"),
-            )
-            for r in rows
-        ]
-    ).cast("array<struct<field_name:string,field_key:string,field_type:string,is_required:boolean>>")
-    return items.select("item_id", "display_name", F.inline(definitions))
+    first = fields.groupBy("field_key").agg(F.min(F.struct("field_name", "field_type", "is_required")).alias("d"))
+    definitions = stage_table(
+        first.select(
+            "d.field_name",
+            "field_key",
+            F.coalesce("d.field_type", F.lit(FIELD_TYPE_DEFAULT)).alias("field_type"),
+            F.coalesce("d.is_required", F.lit(FIELD_REQUIRED_DEFAULT)).alias("is_required"),
+        ),
+        "field-definitions",
+    )
+    return with_each(items.select("item_id", "display_name"), definitions, ["item_id"])
 
 
 def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> DataFrame:

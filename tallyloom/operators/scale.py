@@ -2,8 +2,9 @@
 
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tallyloom.schemas import struct_type
 from tallyloom.session import stage_table
 
 # A lookup is broadcast only when its measured content is below this size.
@@ -13,6 +14,9 @@ BLOCK_BITS = 20
 # A key with more rows than this is spread over several tasks, and how widely.
 HOT_ROWS = 1_000_000
 ID_BUCKETS = 4096
+# Rows of a small table that are unfolded inside one row, and rows that share a copy of them in a join.
+CHUNK_ROWS = 1000
+SHARE_ROWS = 100_000
 
 
 # Measured once per table object: several operators share one staged table.
@@ -125,6 +129,35 @@ def drop_keys(
     )
 
 
+def with_each(
+    rows: DataFrame, table: DataFrame, spread_by: list[str], chunk: int = CHUNK_ROWS, limit: int | None = None
+) -> DataFrame:
+    """Every row of ``rows`` with every row of ``table``, which is by far the smaller one.
+
+    A table of up to ``chunk`` rows becomes an array in the plan that is unfolded inside each
+    row. A larger one is packed into arrays of about that many rows; each row of ``rows`` meets
+    them one by one, broadcast if the table measures small, else by a join for which the
+    arrays are copied to shares of the rows. Neither side is collected or shuffled as pairs.
+    """
+    n = table.count()
+    fields = struct_type(", ".join(f"`{c}` {t}" for c, t in table.dtypes))
+    if n <= chunk:
+        found = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, r, strict=True)]) for r in table.collect()]
+        return rows.select("*", F.inline(F.array(*found).cast(T.ArrayType(fields))))
+    parts = -(-n // chunk)
+    part = F.pmod(F.xxhash64(*table.columns), F.lit(parts)).cast("int").alias("each_part")
+    packed = stage_table(table.groupBy(part).agg(F.collect_list(F.struct(*table.columns)).alias("each")), "packed")
+    met = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("each_part"))
+    if fits_broadcast(table, limit):
+        joined = met.join(F.broadcast(packed), "each_part")
+    else:
+        shares = max(1, -(-rows.count() // SHARE_ROWS))
+        salt = F.pmod(F.xxhash64(*spread_by), F.lit(shares)).cast("int")
+        copies = packed.withColumn("each_salt", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        joined = met.withColumn("each_salt", salt).join(copies, ["each_part", "each_salt"])
+    return joined.select(*rows.columns, F.inline("each"))
+
+
 def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     """``(key, order)`` of the first row per key.
 

@@ -27,6 +27,9 @@ def _long(rows: str, width: int, source: str, sheet: str, idx: str) -> str:
 
 
 _BOARD_CELLS = _long(_BOARD, 5, "'boards'", "tab", "tab_idx")
+_RAGGED_CELLS = f"""(select source_id, sheet, sheet_idx, row_num, col_idx, case when col_idx<5-row_num%3 then dtype else 'null' end as dtype,
+  case when col_idx<5-row_num%3 then sval end as sval from {_BOARD_CELLS}
+  qualify col_idx < max(5-row_num%3) over (partition by source_id, sheet, sheet_idx))"""
 _EVENT_CELLS = (
     "(select 'events' as source_id, concat('s', sheet_idx) as sheet, sheet_idx, row_num, "
     f"cast(0 as bigint) as col_idx, dtype, case when dtype<>'null' then sval end as sval from {_DIRTY})"
@@ -273,8 +276,10 @@ actions as (select item_id, seq, parent_key, display_name, property_name, proper
 """
 )
 _FIELD_MERGE = f"""
-with headers as (select trim(header) as h from {_HEADERS} where n_nationkey=3),
-found as (select m.* from {_EXPECTED} where m.field_name in (select h from headers)),
+with headers as (select trim(header) as h from {_HEADERS}),
+mapping as (select field_name, field_key, field_type, is_required<>(pos=2) as is_required from {_EXPECTED}
+            union all select 'Remarks', 'remarks', 'text', false),
+found as (select * from mapping where field_name in (select h from headers)),
 wanted as (select c_custkey as item_id, c_name as display_name, found.* from customer, found),
 existing as (select c_custkey as item_id, m.field_name, m.field_key, m.field_type,
                     case (c_custkey+m.pos)%7 when 0 then m.is_required when 1 then not m.is_required end as is_required,
@@ -331,6 +336,7 @@ ORACLES: dict[str, str] = {
     "column_types": _profile(_EVENT_CELLS) + "select * from tallies where dtype<>'formula'",
     "column_profile": _profile(_EVENT_CELLS) + _COLUMNS,
     "board_column_profile": _profile(_BOARD_CELLS) + _COLUMNS,
+    "ragged_profile": _profile(_RAGGED_CELLS) + _COLUMNS,
     "named_header_profile": _profile(_BOARD_CELLS, "w>=2", tokens=True) + _COLUMNS,
     "typed_table_profile": _profile(_ORDER_CELLS, names=_ORDER_COLUMNS) + _COLUMNS,
     "duplicate_rows": _profile(_EVENT_CELLS) + "select * from dups",
@@ -360,12 +366,12 @@ ORACLES: dict[str, str] = {
         f"case when f.file_key is not null then {_NOW} end", "t.loaded_at",
     ),
     "tracker_loaded": _upserted(
-        f"(select * from {_FILES} where doc_id%4=0)", "cast(null as varchar)", "t.hash", "cast(null as bigint)",
+        f"(select * from {_FLAGS} where status<>'loaded')", "cast(null as varchar)", "t.hash", "cast(null as bigint)",
         "case when f.file_key is not null then 'loaded' else t.status end",
         "cast(null as timestamp)", f"case when f.file_key is not null then {_NOW} else t.loaded_at end",
     ),
     "tracker_reset": _upserted(
-        f"(select * from {_FILES} where doc_id%4=1)", "cast(null as varchar)", "t.hash", "cast(null as bigint)",
+        f"(select * from {_FLAGS} where status<>'pending')", "cast(null as varchar)", "t.hash", "cast(null as bigint)",
         "case when f.file_key is not null then 'pending' else t.status end",
         "cast(null as timestamp)", "t.loaded_at",
     ),
@@ -451,6 +457,9 @@ ORACLES: dict[str, str] = {
           where not (script='click' and parent_key in (select parent_key from {_OUTCOMES} where script='click'))
         union all select script, parent_key, child_key, arg_max(reason,seq), arg_max(detail,seq), max(seq), {_NOW}
           from {_OUTCOMES} where script='click' and not ok group by 1,2,3""",
+    "file_keys": """select page_id, concat(case page_id%4 when 2 then 'rawer/' when 3 then 's3://data/raw/' else 'raw/' end, page_id, ' #', url) as file_key
+        from pages""",
+    "json_log": "select conv_id, turn::bigint as turn, role, sha256(text) as text_sha256 from conversations",
     "csv_documents": "select doc_id, source, sha256(nullif(text, '')) as text_sha256 from documents",
     "listed_files": """with b as (
             select page_id//100 as book, string_agg(concat(concat_ws('|',printf('%012d',page_id),url),chr(10)),'' order by page_id) as content

@@ -22,6 +22,7 @@ from tallyloom.plans import views
 from tallyloom.schemas import PROPERTIES, SHEET_KEYS, TRACKER, column_names
 from tallyloom.session import stage_table, staged_path
 from tallyloom.sources import files as file_source, grid as grid_source, registry as registry_source
+from tallyloom.sources.store import read_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +59,26 @@ def listed_files(spark, sf_dir):
     return listing.select(book.alias("book"), "hash", "size_bytes", "error")
 
 
+@query
+def file_keys(spark, sf_dir):
+    """Keys of pages as files: below the root, with and without a scheme, and elsewhere."""
+    name = F.concat(F.col("page_id").cast("string"), F.lit(" #"), F.col("url"))
+    roots = F.array(F.lit("file:/data/raw/"), F.lit("/data/raw/"), F.lit("/data/rawer/"), F.lit("s3://data/raw/"))
+    path = F.concat(F.element_at(roots, (F.col("page_id") % 4 + 1).cast("int")), name)
+    return _table(spark, sf_dir, "pages").select("page_id", file_source.file_key(path, "/data").alias("file_key"))
+
+
+@query
+def json_log(spark, sf_dir):
+    """Conversations written as JSON lines, with a broken line after every hundredth turn, and read again."""
+    folder = staged_path(spark, "turn-log")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    whole = F.to_json(F.struct("conv_id", "turn", "role", F.sha2("text", 256).alias("text_sha256")))
+    broken = F.when(F.pmod("conv_id", F.lit(100)) == 0, F.concat(F.substring(whole, 1, 20), F.lit("\nnot JSON")))
+    rows.select(F.explode(F.array_compact(F.array(whole, broken))).alias("line")).write.text(folder)
+    return read_json_lines(spark, folder, "conv_id bigint, turn bigint, role string, text_sha256 string")
+
+
 @query
 def csv_documents(spark, sf_dir):
     """Documents written as CSV, line breaks and all, and read back as a grid: id, source and digest of the text."""
@@ -172,6 +193,14 @@ def column_profile(spark, sf_dir):
     return _shown(_columns_of(views.event_grid(spark, sf_dir)))
 
 
+@query
+def ragged_profile(spark, sf_dir):
+    """Profile of board sheets whose rows end early, each by another number of cells."""
+    grid = views.board_grid(spark, sf_dir)
+    width = F.greatest(F.size("cells") - (F.col("row_num") % 3).cast("int"), F.lit(0))
+    return _shown(_columns_of(grid.withColumn("cells", F.slice("cells", F.lit(1), width))))
+
+
 @query
 def board_column_profile(spark, sf_dir):
     return _shown(_columns_of(views.board_grid(spark, sf_dir)))
@@ -261,8 +290,11 @@ def _tracker(spark, sf_dir) -> DataFrame:
 _STATE = ["file_key", "source_id", "hash", "size_bytes", "status", "processed_at", "loaded_at"]
 
 
-def _every_fourth(files: DataFrame, rest: int) -> DataFrame:
-    return files.filter(F.col("file_key").cast("bigint") % 4 == rest)
+def _not_in(spark, sf_dir, status: str) -> DataFrame:
+    """Files whose tracked status is another one; unknown files are pending."""
+    files = _documents_as_files(spark, sf_dir)
+    known = tracking.with_state(files, _tracker(spark, sf_dir)).filter(F.col("status") != status)
+    return known.select("file_key", "filename", "source_id", "hash", "size_bytes")
 
 
 @query
@@ -308,13 +340,13 @@ def tracker_keep_loaded(spark, sf_dir):
 
 @query
 def tracker_loaded(spark, sf_dir):
-    files = _every_fourth(_documents_as_files(spark, sf_dir), 0)
+    files = _not_in(spark, sf_dir, "loaded")
     return tracking.mark_loaded(_tracker(spark, sf_dir), STAGE, files, _now()).select(*_STATE)
 
 
 @query
 def tracker_reset(spark, sf_dir):
-    files = _every_fourth(_documents_as_files(spark, sf_dir), 1)
+    files = _not_in(spark, sf_dir, "pending")
     return tracking.reset(_tracker(spark, sf_dir), STAGE, files).select(*_STATE)
 
 
@@ -666,12 +698,18 @@ def merged_properties(spark, sf_dir):
 
 
 def _field_merge(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Fields of one supplier sheet for every customer as item; some fields are there already."""
+    """Fields of all supplier sheets for every customer as item; some fields are there already.
+
+    The mapping is not the usual one: a header has another requirement, and one more is mapped,
+    without type and requirement.
+    """
     items = _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("item_id"), F.col("c_name").alias("display_name")
     )
-    headers = extract.header_list(grid_source.named_sheet(views.supplier_grid(spark, sf_dir), "nation 3"))
-    fields = extract.mapped_fields(headers, extract.field_mapping(spark))
+    usual = extract.field_mapping(spark)
+    turned = usual.withColumn("is_required", F.col("is_required") != (F.col("field_key") == fixed.FIELD_MAPPING[2][1]))
+    mapping = turned.unionByName(spark.createDataFrame([("Remarks", "remarks", None, None)], usual.schema))
+    fields = extract.mapped_fields(extract.header_list(views.supplier_grid(spark, sf_dir)), mapping)
     every = F.array(
         *[
             F.struct(

@@ -468,7 +468,7 @@ class Onboarding:
             F.lit(fixed.MSG_NO_HEADERS).alias("detail"),
             here.alias("seq"),
         )
-        no_header = extract.missing_headers(headers, present, extract.mapped_names(mapping)).select(
+        no_header = extract.missing_headers(headers, present, mapping).select(
             "source_id",
             F.lit(HEADER_PARENT).alias("parent_key"),
             F.col("header").alias("child_key"),

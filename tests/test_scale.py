@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import scale
+from tallyloom.session import stage_table
 
 
 @pytest.fixture
@@ -97,3 +98,30 @@ def test_staged_tables_can_be_dropped(spark):
     other.mkdir(parents=True)
     drop_staged(spark, "an-earlier-run")
     assert folder.exists() and not other.exists()
+
+
+@pytest.mark.parametrize("options", [{}, {"chunk": 4}, {"chunk": 4, "limit": -1}])
+def test_each_row_with_each_of_a_table(spark, monkeypatch, options):
+    monkeypatch.setattr(scale, "SHARE_ROWS", 7)
+    rows = spark.range(30).select("id", F.lit("x").alias("name"))
+    table = stage_table(
+        spark.createDataFrame([(f"k{i}", None if i % 3 else i, i % 2 == 0) for i in range(23)], "key string, n int, b boolean"), "each"
+    )
+    got = scale.with_each(rows, table, ["id"], **options)
+    assert got.columns == ["id", "name", "key", "n", "b"]
+    want = sorted((r.id, "x", *map(str, t)) for r in rows.collect() for t in table.collect())
+    assert sorted((r[0], r[1], *map(str, r[2:])) for r in got.collect()) == want
+
+
+def test_five_thousand_field_definitions(spark):
+    from tallyloom import schemas
+    from tallyloom.operators import merge
+
+    fields = spark.range(5000).select(
+        F.concat(F.lit("Field "), "id").alias("field_name"), F.concat(F.lit("f"), "id").alias("field_key"),
+        F.lit(None).cast("string").alias("field_type"), (F.col("id") % 2 == 0).alias("is_required"),
+    )
+    items = spark.range(20).select(F.col("id").alias("item_id"), F.concat(F.lit("item "), "id").alias("display_name"))
+    existing = spark.createDataFrame([(3, "Field 7", "f7", "text", True, None)], schemas.struct_type(schemas.FIELDS))
+    counted = merge.field_actions(items, fields, existing).groupBy("action").count().collect()
+    assert {r.action: r["count"] for r in counted} == {"insert": 20 * 5000 - 1, "conflict": 1}
