@@ -21,7 +21,7 @@ from tallyloom.llm.features import WordHashes
 
 # Bytes of text per shard of the arrays, and pairs a task gathers before it hands them on.
 SHARD_BYTES = 8 << 20
-MOST_SHARD_BITS = 16
+MOST_SHARD_BITS = 20
 GATHERED = 1_500_000
 GATHERED_WORDS = 200_000
 # Pairs are keyed by two 32-bit word numbers.
@@ -330,6 +330,8 @@ def train_model(docs: DataFrame, text_column: str = "text") -> Model:
 
     words, word_totals = _stored(texts.mapInArrow(count_words, _COUNTED), folder, "words", bits, np.int64)
     n_words = word_totals["n"]
+    if n_words >= 1 << 32:  # the end and the start of a text take numbers too
+        raise ValueError(f"{n_words} distinct words; pairs are keyed by two 32-bit numbers")
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
@@ -357,7 +359,9 @@ def train_model(docs: DataFrame, text_column: str = "text") -> Model:
                 yield from flush()
         yield from flush()
 
-    pairs, pair_totals = _stored(texts.mapInArrow(count_pairs, _COUNTED), folder, "pairs", bits, np.float32)
+    # No pair occurs more often than there are words, so its count fits this type exactly.
+    kind = np.uint32 if word_totals["total"] < 1 << 32 else np.int64
+    pairs, pair_totals = _stored(texts.mapInArrow(count_pairs, _COUNTED), folder, "pairs", bits, kind)
     d = discounts(pair_totals)
     lefts = _word_sides(spark, folder, pairs, n_words, d)
     d_word = discounts(lefts)
