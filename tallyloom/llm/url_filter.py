@@ -1,9 +1,12 @@
 """URL filters: pattern rules indexed by their rarest literal token."""
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tallyloom.llm.common import broadcast_if_small, stage_table
 
 # Verdict of a URL that no rule fits.
 DEFAULT_VERDICT = "allow"
@@ -73,68 +76,29 @@ def _tokens(target: Column) -> Column:
     return F.array_distinct(F.concat(F.split(target, TOKEN_SPLIT), F.array(F.lit(""))))
 
 
-def rule_index(targets: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``(token, rank, regex)``: each rule under the one of its tokens that fewest targets hold.
-
-    Counts cover all targets; only tokens that occur in rules are counted, so the table is
-    bounded by the rule list.
-    """
-    spark = targets.sparkSession
-    ranked = spark.createDataFrame(
-        [(rank, rule.regex(), rule.tokens() or [""]) for rank, rule in enumerate(rules)],
-        "rank int, regex string, tokens array<string>",
-    ).select("rank", "regex", F.explode("tokens").alias("token"))
-    wanted = F.array(*[F.lit(t) for t in sorted({t for rule in rules for t in rule.tokens() or [""]})])
-    counts = (
-        targets.select(F.explode(F.array_intersect(_tokens(F.col("target")), wanted)).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
-    rarest = F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), F.col("token")))
-    return ranked.join(counts, "token", "left").groupBy("rank", "regex").agg(rarest.alias("token"))
-
-
-def judge_urls(
-    pages: DataFrame,
-    url_column: str = "url",
-    site_rules: tuple[Rule, ...] = SITE_RULES,
-    pattern_rules: tuple[Rule, ...] = PATTERN_RULES,
-) -> DataFrame:
-    """Adds ``host``, ``path``, ``rule`` and ``verdict``; returns them beside ``row``, a struct of the input.
-
-    The tokens of a URL fetch candidate rules from the index and only those run their regular
-    expressions. The longest site rule wins, then the patterns in their order. Matching is
-    done once per distinct host and path, which are pre-aggregated on the map side; rows that
-    share one URL therefore cost one candidate each, however many there are.
-
-    A null URL, or one without ``://``, has an empty host and path, fits no rule and gets the
-    default verdict with a null rule. Empty tables give empty results; repeated rows are
-    judged alike; extra columns pass through inside ``row``.
-    """
-    rules = [*sorted(site_rules, key=lambda r: (-len(r.pattern), r.pattern)), *pattern_rules]
+def rule_table(spark: SparkSession, site_rules: Sequence[Rule], pattern_rules: Sequence[Rule]) -> DataFrame:
+    """One row per rule, ranked: longest site rules first, then the patterns in their order."""
     url = F.col(f"`{url_column}`")
     judged = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
         url_host(url).alias("host"),
         url_path(url).alias("path"),
     ).withColumn("target", F.concat("host", "path"))
-    if not rules:
-        best = None
-    else:
-        targets = judged.select("target").distinct()
-        index = F.broadcast(rule_index(targets, rules))  # one row per rule
-        best = (
-            targets.select("target", F.explode(_tokens(F.col("target"))).alias("token"))
-            .join(index, "token")
-            .filter(F.regexp_like("target", F.col("regex")))
-            .groupBy("target")
-            .agg(F.min("rank").alias("rank"))
-        )
-        judged = judged.join(best, "target", "left")
-    rank = F.col("rank") if best is not None else F.lit(None).cast("int")
-    names, verdicts = F.lit(None).cast("string"), F.lit(DEFAULT_VERDICT)
-    for at, rule in enumerate(rules):
-        if at < len(site_rules):
-            names = F.when(rank == at, rule.pattern).otherwise(names)
-        verdicts = F.when(rank == at, rule.verdict).otherwise(verdicts)
-    return judged.select("row", "host", "path", names.alias("rule"), verdicts.alias("verdict"))
+    if not [*site_rules, *pattern_rules]:
+        none = F.lit(None).cast("string")
+        return judged.select("row", "host", "path", none.alias("rule"), F.lit(DEFAULT_VERDICT).alias("verdict"))
+    rules = rule_table(pages.sparkSession, site_rules, pattern_rules)
+    targets = judged.select("target").distinct()
+    index = stage_table(rule_index(targets, rules), "rule-index")
+    width = F.octet_length("token") + F.octet_length("regex") + 24
+    candidates = targets.select("target", F.explode(_tokens(F.col("target"))).alias("token")).join(
+        broadcast_if_small(index, width), "token"
+    )
+    # The expression of the row before is kept, so in order of rules each is compiled once per task.
+    fitting = candidates.sortWithinPartitions("rank").filter(F.regexp_instr("target", F.col("regex")) > 0)
+    best = fitting.groupBy("target").agg(F.min("rank").alias("rank"))
+    named = rules.select("rank", "rule", "verdict")
+    best = best.join(broadcast_if_small(named, F.coalesce(F.octet_length("rule"), F.lit(0)) + 40), "rank").drop("rank")
+    return judged.join(best, "target", "left").select(
+        "row", "host", "path", "rule", F.coalesce("verdict", F.lit(DEFAULT_VERDICT)).alias("verdict")
+    )

@@ -75,3 +75,23 @@ def test_rule_without_tokens_still_applies(spark):
     pages = spark.createDataFrame([(1, "http://x.io/superads")], "page_id bigint, url string")
     rules = (Rule("block", "ads", anchored=False),)
     assert judge_urls(pages, pattern_rules=rules).first().verdict == "block"
+
+
+def test_thousands_of_rules(spark):
+    site = [Rule("block" if i % 3 else "allow", f"site{i}.com/{'en/' if i % 2 else ''}") for i in range(4000)]
+    patterns = [Rule("block", f"/x{i}/*/end{i % 7}/", anchored=False) for i in range(1000)]
+    urls = [f"http://www.site{i * 13 % 5000}.com/{'en/' if i % 3 else ''}p{i}" for i in range(300)]
+    urls += [f"https://other.org/x{i * 7}/mid/end{i * 7 % 7}/" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+
+    def plain(url):
+        target = url.partition("://")[2]
+        fits = [r for r in site if target.startswith(r.pattern) or target.startswith("www." + r.pattern)]
+        if fits:
+            best = max(fits, key=lambda r: len(r.pattern))
+            return best.pattern, best.verdict
+        return None, next((r.verdict for r in patterns if re.search(r.regex(), target)), DEFAULT_VERDICT)
+
+    out = judge_urls(pages, site_rules=site, pattern_rules=patterns).collect()
+    assert {r.row.url: (r.rule, r.verdict) for r in out} == {u: plain(u) for u in urls}
+    assert {r.rule is None for r in out} == {True, False} and {r.verdict for r in out} == {"allow", "block"}
