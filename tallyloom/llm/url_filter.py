@@ -78,6 +78,51 @@ def _tokens(target: Column) -> Column:
 
 def rule_table(spark: SparkSession, site_rules: Sequence[Rule], pattern_rules: Sequence[Rule]) -> DataFrame:
     """One row per rule, ranked: longest site rules first, then the patterns in their order."""
+    rules = [*sorted(site_rules, key=lambda r: (-len(r.pattern), r.pattern)), *pattern_rules]
+    rows = [
+        (rank, r.pattern if rank < len(site_rules) else None, r.verdict, r.regex(), r.tokens() or [""]) for rank, r in enumerate(rules)
+    ]
+    kinds = "rank int, rule string, verdict string, regex string, tokens array<string>"
+    return stage_table(spark.createDataFrame(rows, kinds), "url-rules")
+
+
+def rule_index(targets: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(token, rank, regex)``: each rule under the one of its tokens that fewest targets hold.
+
+    Counts cover all targets; only tokens that occur in rules are counted, so the table is
+    bounded by the rule list.
+    """
+    ranked = rules.select("rank", "regex", F.explode("tokens").alias("token"))
+    wanted = stage_table(ranked.select("token").distinct(), "rule-tokens")
+    counts = (
+        targets.select(F.explode(_tokens(F.col("target"))).alias("token"))
+        .join(broadcast_if_small(wanted, F.octet_length("token") + 24), "token", "left_semi")
+        .groupBy("token")
+        .agg(F.count("*").alias("n"))
+    )
+    rarest = F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), F.col("token")))
+    return ranked.join(counts, "token", "left").groupBy("rank", "regex").agg(rarest.alias("token"))
+
+
+def judge_urls(
+    pages: DataFrame,
+    url_column: str = "url",
+    site_rules: Sequence[Rule] = SITE_RULES,
+    pattern_rules: Sequence[Rule] = PATTERN_RULES,
+) -> DataFrame:
+    """Adds ``host``, ``path``, ``rule`` and ``verdict``; returns them beside ``row``, a struct of the input.
+
+    The tokens of a URL fetch candidate rules from the index and only those run their regular
+    expressions. The longest site rule wins, then the patterns in their order. Matching is
+    done once per distinct host and path, which are pre-aggregated on the map side; rows that
+    share one URL therefore cost one candidate each, however many there are. Rules are rows
+    of a table, so lists of many thousands make the same plan as short ones. Very long URLs
+    are matched whole.
+
+    A null URL, or one without ``://``, has an empty host and path, fits no rule and gets the
+    default verdict with a null rule. Empty tables give empty results; repeated rows are
+    judged alike; extra columns pass through inside ``row``.
+    """
     url = F.col(f"`{url_column}`")
     judged = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
