@@ -15,6 +15,10 @@ MOST_SOURCES: int | None = None
 # Sources whose quotas one task splits over the shards.
 GROUP_SOURCES = 10_000
 SHARDS = 64
+# Text that one task writes of a shard, about; larger shards are written in consecutive pieces.
+PIECE_BYTES = 256 * 1024 * 1024
+# The generator's own draws end here; larger sums are drawn by ``hypergeometric``.
+GENERATOR_RANGE = 10**9
 # Rows a source's last block may add, beyond those in hash order, to come near the target.
 FILLS = 4
 SEED = 20240229
@@ -125,10 +129,10 @@ def shard_bounds(quotas: list[int], shards: int, seed: int, room: np.ndarray | N
         total = int(here.sum())
         draws = total * (middle - low) // (high - low) if room is None else int(room[low:middle].sum())
         rng = np.random.default_rng([seed, low, high, *group])
-        if total < 10**9:
+        if total < GENERATOR_RANGE:
             left = rng.multivariate_hypergeometric(here, draws, method="marginals")
         else:
-            left = _large_split(rng, here, draws)
+            left = _marginal_draws(rng, here, draws)
         todo += [(low, middle, left), (middle, high, here - left)]
     return np.concatenate([np.zeros((len(quotas), 1), dtype=np.int64), np.cumsum(counts, axis=1)], axis=1)
 
@@ -152,13 +156,34 @@ def split_quotas(planned: DataFrame, shards: int, seed: int) -> DataFrame:
     return quotas.groupBy("group").applyInArrow(split, "rank bigint, bounds array<bigint>")
 
 
-def _large_split(rng: np.random.Generator, counts: np.ndarray, draws: int) -> np.ndarray:
-    """Proportional split with a random remainder, where a sum is beyond the generator's range."""
-    total = int(counts.sum())
-    left = np.array([int(c) * draws // total for c in counts], dtype=np.int64)
-    rest = draws - int(left.sum())
-    room = np.flatnonzero(counts > left)
-    left[rng.choice(room, size=rest, replace=False)] += 1
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """How many of ``draws`` without replacement are good, by inversion, for sums of any size.
+
+    Probabilities follow from their ratios to the mode's. Those more than twelve standard
+    deviations away are left out; together they are far below a double's last digit.
+    """
+    total = good + bad
+    low, high = max(0, draws - bad), min(draws, good)
+    mode = (draws + 1) * (good + 1) // (total + 2)
+    spread = (draws * (good / total) * (bad / total) * ((total - draws) / max(1, total - 1))) ** 0.5
+    reach = int(12 * spread) + 64
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1)
+    at = k[:-1].astype(np.float64)
+    ratios = np.log((good - at) / (at + 1)) + np.log((draws - at) / (bad - draws + at + 1))
+    logs = np.concatenate([[0.0], np.cumsum(ratios)])
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return int(k[min(np.searchsorted(sums, rng.random() * sums[-1], side="right"), len(k) - 1)])
+
+
+def _marginal_draws(rng: np.random.Generator, counts: np.ndarray, draws: int) -> np.ndarray:
+    """Multivariate draw as one hypergeometric draw per source, each against all sources after it."""
+    left = np.zeros_like(counts)
+    rest = int(counts.sum())
+    for i, count in enumerate(counts.tolist()):
+        rest -= count
+        if count and draws:
+            left[i] = hypergeometric(rng, count, rest, draws) if count + rest >= GENERATOR_RANGE else rng.hypergeometric(count, rest, draws)
+            draws -= int(left[i])
     return left
 
 
@@ -173,12 +198,14 @@ def mix_sources(
     seed: int = SEED,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    piece_bytes: int = PIECE_BYTES,
 ) -> DataFrame:
     """How often the mix takes each document, and into which output shards.
 
     Returns, beside ``row`` (a struct of all input columns): ``size`` in words,
-    ``source_size``, ``target`` of the source, ``copies``, ``taken`` words, and ``shards``
-    and ``orders``: the output shard of each copy and its place in there.
+    ``source_size``, ``target`` of the source, ``copies``, ``taken`` words, ``shards``,
+    ``orders`` and ``pieces``: the output shard of each copy, its place in there, and into how
+    many tasks a shard's rows are to be divided, by the bytes of all texts.
 
     A document belongs to a block of its source by a hash of its id and text, so block order
     is a random permutation. A source is passed over whole as often as its target allows; a
@@ -192,7 +219,8 @@ def mix_sources(
     with large sources dealt out over tasks. Block sums are aggregated with map-side partials,
     so a source with a third of all rows stays spread. Null texts have size 0, the null source comes last, sources of
     size 0 get the target 0, repeated rows are documents of their own that fall into one
-    block, and an empty table gives an empty result. Reruns agree for given rows.
+    block, and an empty table gives an empty result. Texts that tie in hash order go by size.
+    A very long text is one row that is taken whole or not at all. Reruns agree for given rows.
     """
     key = F.xxhash64(F.lit(seed), F.col(f"`{id_column}`"), F.col(f"`{text_column}`"))
     rows = docs.select(
@@ -201,7 +229,10 @@ def mix_sources(
         word_count(F.col(f"`{text_column}`")).alias("size"),
         key.alias("key"),
     )
-    measured = stage_table(rows.select("source", "size", "key"), "mix-sizes")
+    text_bytes = F.coalesce(F.octet_length(F.col(f"row.`{text_column}`")), F.lit(0)).cast("bigint")
+    measured = stage_table(rows.select("source", "size", "key", text_bytes.alias("bytes")), "mix-sizes")
+    total_bytes = measured.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]  # a mix is as large as its input
+    pieces = max(1, -(-total_bytes // (shards * piece_bytes)))
     plan = plan_sources(measured, block_docs, weight_cycle)
     name_bytes = F.coalesce(F.octet_length("source"), F.lit(0)) + 32
 
@@ -308,16 +339,25 @@ def mix_sources(
             (F.col("size") * F.col("copies")).alias("taken"),
             shard_of.alias("shards"),
             F.transform("draws", lambda d: F.xxhash64(F.lit(seed), F.col("key"), d)).alias("orders"),
+            F.lit(pieces).alias("pieces"),
         )
     )
 
 
 def mixed_rows(mixed: DataFrame) -> DataFrame:
-    """One row per copy: the input columns, ``mix_shard`` and ``mix_order``, shuffled within shards."""
+    """One row per copy: the input columns, ``mix_shard`` and ``mix_order``, shuffled within shards.
+
+    The tasks that write a shard hold consecutive runs of its order, so their number grows with
+    the texts while the shards stay those of the tree.
+    """
     copies = F.explode(F.arrays_zip("shards", "orders")).alias("copy")
+    place = F.col("mix_order").cast("double") / float(2**64) + 0.5  # 0 to 1, as orders are hashes
+    piece = F.least(F.floor(place * F.col("pieces")), F.col("pieces") - 1)
     return (
-        mixed.select("row", copies)
-        .select("row", F.col("copy.shards").alias("mix_shard"), F.col("copy.orders").alias("mix_order"))
-        .repartition("mix_shard")
+        mixed.select("row", "pieces", copies)
+        .select("row", "pieces", F.col("copy.shards").alias("mix_shard"), F.col("copy.orders").alias("mix_order"))
+        .withColumn("piece", piece.cast("int"))
+        .repartition("mix_shard", "piece")
         .sortWithinPartitions("mix_shard", "mix_order")
+        .drop("pieces", "piece")
     )

@@ -35,9 +35,10 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes, and the output shard of each copy."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken")
+    shards = F.array_join("shards", ",").alias("shards")
+    return mix_sources(docs).select("row.doc_id", "size", "source_size", "target", "taken", shards)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +88,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_scores(docs, labels, crc_remainder(F.col("doc_id"), 5) != 0)
     return scored.select(
         "row.doc_id",
-        (crc_remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        F.coalesce(crc_remainder(F.col("row.doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
@@ -113,7 +114,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_scores(docs, labels, crc_remainder(F.col("doc_id"), 5) != 0)
     return scored.select(
         "row.doc_id",
-        (crc_remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"),
+        F.coalesce(crc_remainder(F.col("row.doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
         "score",
         "severity",
         (F.col("score") >= TOXIC_THRESHOLD).cast("int").alias("predicted"),

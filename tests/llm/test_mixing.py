@@ -1,12 +1,23 @@
 """Targets, exact quotas and repeats of a mix."""
 
+import math
 from collections import defaultdict
 
 import numpy as np
 import pytest
 from corpus import TEXTS
+from pyspark.sql import functions as F
 
-from tallyloom.llm.mixing import fair_targets, mix_sources, mixed_rows, shard_bounds, split_quotas, word_count
+from tallyloom.llm.mixing import (
+    fair_targets,
+    hypergeometric,
+    mix_sources,
+    mixed_rows,
+    shard_bounds,
+    split_quotas,
+    word_count,
+)
+from tallyloom.session import stage_table
 
 
 def test_targets_sum_and_stop_at_three_sizes():
@@ -33,6 +44,31 @@ def test_large_counts_split_exactly():
     assert bounds[:, -1].tolist() == [4 * 10**9, 10**9 + 7]
 
 
+def test_draws_beyond_the_generators_range_have_its_distribution():
+    rng = np.random.default_rng(3)
+    found = np.bincount([hypergeometric(rng, 5, 7, 4) for _ in range(20_000)], minlength=5) / 20_000
+    wanted = [math.comb(5, k) * math.comb(7, 4 - k) / math.comb(12, 4) for k in range(5)]
+    assert found == pytest.approx(wanted, abs=0.015)
+    assert [hypergeometric(rng, 3, 0, 2), hypergeometric(rng, 0, 3, 2), hypergeometric(rng, 4, 4, 8)] == [2, 0, 4]
+    large = np.array([hypergeometric(rng, 3 * 10**9, 10**9, 2 * 10**9) for _ in range(300)], dtype=float)
+    deviation = (2e9 * 0.75 * 0.25 * 0.5) ** 0.5
+    assert abs(large.mean() - 1.5e9) < 0.3 * deviation
+    assert 0.8 * deviation < large.std() < 1.2 * deviation  # a proportional split has none
+
+
+def test_shards_larger_than_a_task_are_written_in_pieces(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "repeat('some words ', 20) as text", "'s' as source")
+    mixed = stage_table(mix_sources(docs, shards=2, block_docs=8, piece_bytes=4000), "pieces")
+    assert mixed.first().pieces == -(-400 * 220 // 8000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = mixed_rows(mixed).withColumn("task", F.spark_partition_id())
+        spans = tasks.groupBy("mix_shard", "task").agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({r.task for r in spans}) > 2 and sum(r.n for r in spans) == 400
+
+
 def test_edge_cases(edge_docs):
     out = mix_sources(edge_docs, block_docs=2, shards=4).collect()
     assert len(out) == len(TEXTS)

@@ -135,15 +135,18 @@ def test_mix_rows(spark, sf, documents):
         open_names -= full
     found = rows_of(spark, sf, "op3_mix_sources")
     assert found == rows_of(spark, sf, "op3_mix_sources")
-    taken = Counter()
-    for doc_id, size, source_size, wanted, words in found:
-        source = sources[doc_id]
+    taken, per_shard = Counter(), Counter()
+    for doc_id, size, source_size, wanted, words, shards in found:
+        source, copies = sources[doc_id], [int(k) for k in shards.split(",") if k]
+        assert words == size * len(copies) and all(0 <= k < 64 for k in copies)
+        per_shard.update(copies)
         assert (size, source_size) == (sizes[doc_id], of_source[source])
         assert wanted == pytest.approx(target[source])
         assert 0 <= words <= 3 * size
         taken[source] += words
     largest = max(sizes.values())
     assert all(abs(taken[s] - target[s]) <= max(0.05 * target[s], largest) for s in names)
+    assert sum(per_shard.values()) == sum(len(r[5].split(",")) for r in found if r[5])
 
 
 def test_quality_stage_keeps_clean_documents(spark):
