@@ -46,6 +46,41 @@ def cell_tallies(grid: DataFrame, facts: DataFrame, limit: int | None = None) ->
     )
 
 
+def row_tallies(grid: DataFrame, facts: DataFrame, limit: int | None = None) -> DataFrame:
+    """``cell_tallies`` and, as ``repeats``, how many rows of a record repeat an earlier one.
+
+    One scan and one join with the facts: rows are first grouped by (sheet, digest, tags), as
+    ``duplicate_rows`` needs them anyway, and the tags of each different row are then counted
+    as often as it occurs. The tags travel as one short text, trailing nulls left out.
+    """
+    # Tags of null cells become empty; no other tag is.
+    tags = F.rtrim(F.replace(F.array_join("cells.dtype", ","), F.lit("null"), F.lit("")), F.lit(","))
+    rows = data_rows(
+        grid.select(*SHEET_KEYS, "row_num", tags.alias("tags"), row_digest(F.col("cells")).alias("digest")), facts, limit
+    )
+    kinds = rows.groupBy(*SHEET_KEYS, "digest", "tags").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_num").alias("first_row")
+    )
+    row_tag = F.when(F.col("tags") != "", _FILLED_ROW).otherwise(_EMPTY_ROW)
+    each = F.posexplode(F.concat(F.array(row_tag), F.split("tags", ","))).alias("pos", "dtype")
+    return (
+        kinds.select(*SHEET_KEYS, "n", "first_row", each)
+        .filter(F.col("dtype") != "")
+        .groupBy(*SHEET_KEYS, (F.col("pos") + _ROW).cast("bigint").alias("col_idx"), "dtype")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("first_row").alias("first_row"),
+            F.sum(F.col("n") - 1).alias("repeats"),
+        )
+    )
+
+
+def tallied_duplicates(tallies: DataFrame) -> DataFrame:
+    """What ``duplicate_rows`` gives, out of ``row_tallies``."""
+    filled = tallies.filter((F.col("col_idx") == _ROW) & (F.col("dtype") == _FILLED_ROW))
+    return filled.select(*SHEET_KEYS, F.col("repeats").alias("duplicate_row_count"))
+
+
 def column_types(tallies: DataFrame) -> DataFrame:
     """Type distribution in long form, formula cells left out."""
     return tallies.filter((F.col("col_idx") >= 0) & (F.col("dtype") != "formula"))
@@ -270,11 +305,11 @@ class Profile:
         names: list[str] | None = None,
     ):
         self.facts = profile_facts(grid, header_rule)
-        self.tallies = stage_table(cell_tallies(grid, self.facts), "tallies")
+        self.tallies = stage_table(row_tallies(grid, self.facts), "tallies")
         self.columns = stage_table(
             column_profile(column_names(grid, self.facts, names=names), self.tallies), "columns"
         )
-        self.duplicates = stage_table(duplicate_rows(grid, self.facts), "duplicates")
+        self.duplicates = tallied_duplicates(self.tallies)
         self.issues = issue_rows(self.columns, self.duplicates)
         self.sheets = sheet_report(self.facts, self.tallies, self.duplicates, self.issues, sheets)
         self.sources = source_report(self.sheets)

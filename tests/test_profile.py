@@ -90,3 +90,26 @@ def test_empty_sheet_is_reported(spark):
     row = p.sheets.filter("sheet = 'none'").first()
     assert row.error == "empty sheet" and row.issue_count is None and row.flag == "OK"
     assert p.sources.first().sheet_count == 2
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_one_pass_equals_two(spark, limit):
+    books = {f"s{seed}": random_rows(seed) for seed in range(12)}
+    g = grid(spark, *[sheet(n, rows, idx=i) for i, (n, rows) in enumerate(books.items())])
+    facts = profile.profile_facts(g)
+    tallies = profile.row_tallies(g, facts, limit)
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    assert rows(tallies.drop("repeats")) == rows(profile.cell_tallies(g, facts))
+    assert rows(profile.tallied_duplicates(tallies)) == rows(profile.duplicate_rows(g, facts))
+
+
+def test_one_pass_scans_the_grid_once(spark, tmp_path):
+    g = grid(spark, sheet("s", [["a", "b"], [1, 2], [1, 2], [None, None]]))
+    g.write.parquet(str(tmp_path / "grid"))
+    stored = spark.read.schema(g.schema).parquet(str(tmp_path / "grid"))
+    tallies = profile.row_tallies(stored, profile.profile_facts(stored))
+    plan = tallies._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cells#") and plan.count("Join") == 1 and plan.count("parquet") == 2  # the grid and the facts
