@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyloom.fixed_values import BOARD_SEED, STAGE_ITEMS, STAGE_SPECS
 from tallyloom.operators.quarantine import split_key
 from tallyloom.schemas import AUDIT, QUARANTINE, TRACKER, column_names, empty
+from tallyloom.sources.json_split import json_members
 from tallyloom.sources.registry import sources_of
 from tallyloom.sources.store import path_exists, read_json_lines
 
@@ -20,13 +21,13 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tracker(spark: SparkSession, path: str, stage: str) -> DataFrame:
-    """Tracker document ``{"files": {key: {...}}}`` as the entries of one stage."""
+    """Tracker document ``{"files": {key: {...}}}`` as the entries of one stage, read by many tasks."""
     if not path_exists(spark, path):
         return empty(spark, TRACKER)
-    entries = F.from_json("value", F.lit(f"struct<files:map<string,{_ENTRY}>>"))["files"]
+    member = F.concat(F.lit("{"), F.col("value"), F.lit("}"))
     return (
-        spark.read.text(path, wholetext=True)
-        .select(F.explode(entries).alias("file_key", "e"))
+        json_members(spark, path, "files")
+        .select(F.explode(F.from_json(member, F.lit(f"map<string,{_ENTRY}>"))).alias("file_key", "e"))
         .select(F.lit(stage).alias("stage"), "file_key", "e.*")
         .select(*column_names(TRACKER))
     )

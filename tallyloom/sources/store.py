@@ -15,6 +15,7 @@ from urllib.parse import quote, unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.schemas import column_names, empty, struct_type
+from tallyloom.sources.json_split import json_members
 
 STATE = "_state"
 # Change files of a table beyond which, or beyond which share of its bytes, they are folded into a version.
@@ -307,8 +308,8 @@ def read_json_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 def read_document(spark: SparkSession, path: str, source_ddl: str) -> DataFrame:
-    """Records of the ``sources`` list of a combined JSON document, or empty if absent."""
+    """Records of the ``sources`` list of a combined JSON document, or empty if absent; read by many tasks."""
     if not path_exists(spark, path):
         return empty(spark, source_ddl)
-    schema = f"sources array<struct<{source_ddl}>>"
-    return spark.read.schema(schema).json(path, multiLine=True).select(F.inline("sources"))
+    record = F.from_json("value", struct_type(source_ddl)).alias("record")
+    return json_members(spark, path, "sources").select(record).select("record.*")
