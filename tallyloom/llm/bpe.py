@@ -2,23 +2,24 @@
 
 import json
 import os
-from array import array
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallyloom.llm.common import BROADCAST_BYTES, bounded_batches, stage_table, text_batches
+from tallyloom.llm.common import BROADCAST_BYTES, bounded_batches, stage_table, text_slices
 
 # Words of the table that travel to every worker, most frequent first; the bytes they may take.
 TABLE_WORDS = 250_000
-# Words a task counts before it hands its counts on.
-COUNT_WORDS = 200_000
-# Longest word of the table; texts a task encodes at once.
+# Bytes of words a task counts before it hands its counts on.
+COUNT_BYTES = 12 << 20
+# Longest word of the table; texts a task encodes at once; words that are encoded as one text.
 MOST_BYTES = 256
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
+GROUP_WORDS = 256
 
 
 def tokenizer_json(path: str) -> str:
@@ -27,76 +28,120 @@ def tokenizer_json(path: str) -> str:
         return json.dumps(json.load(file) | {"truncation": None, "padding": None})
 
 
-def split_words(text: str | None) -> list[bytes]:
-    """Runs between ASCII white space. No token spans it, and nothing before or after it changes a word."""
-    return text.encode().split() if text else []
+def split_words(texts: pa.Array) -> pa.ListArray:
+    """Runs between ASCII white space. No token spans it, and nothing before or after it changes a word.
+
+    A text that begins or ends with white space has an empty word there, and so has one without words.
+    """
+    return pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
 
 
 def count_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """``(word, n)``: distinct words of all texts, counted in tasks first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_pydict(
-                {"word": pa.array([w.decode() for w in seen], pa.string()), "n": pa.array(list(seen.values()), pa.int64())}
-            )
-            seen.clear()
-            return out
-
-        for _, texts in text_batches(batches):
-            for text in texts:
-                seen.update(split_words(text))
-            if len(seen) > COUNT_WORDS:
+            counted = pc.value_counts(pa.chunked_array(held, pa.string()))
+            seen = pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], ["word", "n"])
+            return seen.filter(pc.greater(pc.binary_length(seen["word"]), 0))
+
+        for part in text_slices(batches):
+            held.append(split_words(part.column("text")).flatten())
+            size += held[-1].nbytes
+            if size > COUNT_BYTES:
                 yield flush()
-        yield flush()
+                held, size = [], 0
+        if held:
+            yield flush()
 
     texts = docs.select(F.col(f"`{text_column}`").alias("text"))
     return texts.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class WordEncoder:
+    """Ids of words, many at a time, and the piece of each id."""
+
+    def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.bpe = Tokenizer.from_str(tokenizer)
+        vocabulary = self.bpe.get_vocab(with_added_tokens=True)
+        pieces: list[str] = [""] * (max(vocabulary.values()) + 1)
+        for piece, i in vocabulary.items():
+            pieces[i] = piece
+        self.pieces = pa.array(pieces, pa.string())
+        end = getattr(self.bpe.model, "end_of_word_suffix", None) or ""
+        # A character of a piece is a byte of the text it stands for.
+        self.widths = np.array([len(p.removesuffix(end)) for p in pieces], dtype=np.int64)
+
+    def encode(self, words: list[str]) -> pa.ListArray:
+        """``ids`` of each word.
+
+        Words are encoded as texts of many, which takes half the time of one call each, and cut apart by
+        the bytes of their pieces. A group in which these do not end where its words do, as the tokenizer's own
+        normalizer leaves them, is encoded word by word.
+        """
+        groups = [words[at : at + GROUP_WORDS] for at in range(0, len(words), GROUP_WORDS)]
+        found = [e.ids for e in self.bpe.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)]
+        counts, flat = [], []
+        for group, ids in zip(groups, found, strict=True):
+            ids = np.array(ids, dtype=np.int32)
+            ends = self._ends(group, ids)
+            if ends is None:
+                alone = [e.ids for e in self.bpe.encode_batch_fast(group, add_special_tokens=False)]
+                ids = np.array([i for w in alone for i in w], dtype=np.int32)
+                ends = np.cumsum([len(w) for w in alone])
+            counts.append(np.diff(ends, prepend=0))
+            flat.append(ids)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([[], *counts]))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, dtype=np.int32), *flat])))
+
+    def _ends(self, group: list[str], ids: np.ndarray) -> np.ndarray | None:
+        """Number of ids up to the end of each word, or nothing if pieces and words differ in bytes."""
+        text = " ".join(group)
+        # White space beyond ASCII inside a word would be taken for its end.
+        if self.bpe.normalizer is None or text.split() != group:
+            return None
+        normal = self.bpe.normalizer.normalize_str(text).split(" ")
+        if len(normal) != len(group) or "" in normal:
+            return None
+        ends = np.cumsum([len(w.encode()) for w in normal])
+        covered = np.cumsum(self.widths[ids])
+        at = np.searchsorted(covered, ends)
+        if not len(covered) or covered[-1] != ends[-1] or (covered[at] != ends).any():
+            return None
+        return at + 1
+
+
+@lru_cache(maxsize=1)
+def word_encoder(tokenizer: str) -> WordEncoder:
+    """One encoder per worker: reading the tokenizer takes most of a second."""
+    return WordEncoder(tokenizer)
+
+
 def encode_words(words: DataFrame, tokenizer: str) -> DataFrame:
     """``ids`` of each distinct word, encoded once."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        bpe = Tokenizer.from_str(tokenizer)
+        encoder = word_encoder(tokenizer)
         for batch in batches:
-            found = bpe.encode_batch_fast(batch["word"].to_pylist(), add_special_tokens=False)
-            ids = pa.array([e.ids for e in found], pa.list_(pa.int32()))
+            ids = encoder.encode(batch["word"].to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
     return words.mapInArrow(encode, T.StructType([*words.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
-def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
-    """``(id, piece)`` of the vocabulary, special tokens included: a table of fixed size."""
-    from tokenizers import Tokenizer
-
-    vocabulary = Tokenizer.from_str(tokenizer).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame([(i, p) for p, i in vocabulary.items()], "id int, piece string")
-
-
-def decode_rows(rows: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
-    """``decoded`` per ``key``: the pieces of its ``ids`` in order, joined by a space as the tokenizer does."""
-    placed = rows.select(key, F.posexplode("ids").alias("at", "id")).join(F.broadcast(pieces), "id")
-    return placed.groupBy(key).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "piece"))), lambda p: p["piece"]), " ").alias(
-            "decoded"
-        )
-    )
-
-
 def frequent_words(
     docs: DataFrame, tokenizer: str, text_column: str, table_words: int, table_bytes: int
-) -> tuple[dict[bytes, bytes], dict[bytes, str]]:
-    """Ids (as int32 bytes) and decoded text of the most frequent words, within both bounds."""
+) -> tuple[pa.Array, pa.Array]:
+    """The most frequent words, within both bounds, and the ids of each; the empty word has none."""
     counted = stage_table(count_words(docs, text_column).filter(F.octet_length("word") <= MOST_BYTES), "bpe-counts")
     # Levels of frequency, 64 to a doubling, so that no task has to sort the words.
     level = F.floor(F.log2("n") * 64)
-    # Per byte of a word about one id, two bytes of piece text, an end mark and a space at most.
+    # Per byte of a word one id and its own byte, with room to spare.
     width = F.octet_length("word") * 13 + 64
     levels = counted.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum(width).alias("bytes")).collect()
     words = size = 0
@@ -107,23 +152,10 @@ def frequent_words(
             break
         lowest = r.level
     top = counted.filter(F.lit(False) if lowest is None else level >= lowest)
-    encoded = stage_table(encode_words(top, tokenizer), "bpe-encoded")
-    decoded = decode_rows(encoded, piece_table(docs.sparkSession, tokenizer), "word")
-    table = encoded.join(decoded, "word", "left").select("word", "ids", F.coalesce("decoded", F.lit("")).alias("decoded"))
-    ids, decoded = {}, {}
-    for r in table.toLocalIterator():
-        ids[r.word.encode()] = np.asarray(r.ids, dtype=np.int32).tobytes()
-        decoded[r.word.encode()] = r.decoded
-    return ids, decoded
-
-
-class _Table(dict):
-    """The words at every worker; a word that is not among them comes from ``rare``."""
-
-    rare: dict = {}
-
-    def __missing__(self, word: bytes):
-        return self.rare[word]
+    table = encode_words(top.select("word"), tokenizer).toArrow()
+    words = pa.concat_arrays([pa.array([""]), *(c.cast(pa.string()) for c in table["word"].chunks)])
+    ids = pa.concat_arrays([pa.array([[]], pa.list_(pa.int32())), *(c.cast(pa.list_(pa.int32())) for c in table["ids"].chunks)])
+    return words, ids
 
 
 def encode_texts(
@@ -135,12 +167,12 @@ def encode_texts(
 ) -> DataFrame:
     """``row`` (a struct of all input columns), ``ids`` of the whole text, and ``decoded``.
 
-    Words are counted over all texts in Spark. The table of distinct words is encoded once
-    and decoded once, through a join of its ids with the vocabulary; then each text takes
-    its words' ids by position. The table at every worker has a bound (``table_words``,
-    ``table_bytes``): it holds the most frequent words. A word beyond it is encoded where
-    it stands, once per slice of texts, with the same result: shuffling each rare word to a
-    table and its ids back to its text would move more than the texts themselves.
+    Words are counted over all texts in Spark. The table of distinct words is encoded once;
+    then each text takes its words' ids by position, and the pieces of these ids from the
+    vocabulary. The table at every worker has a bound (``table_words``, ``table_bytes``): it
+    holds the most frequent words. A word beyond it is encoded where it stands, once per slice
+    of texts, with the same result: shuffling each rare word to a table and its ids back to its
+    text would move more than the texts themselves.
 
     Null and empty texts, and texts of white space, have no ids and decode to an empty text.
     Strings of special tokens inside a text become these tokens, as in the tokenizer itself.
@@ -151,34 +183,28 @@ def encode_texts(
     bounded_batches(spark)
     tokenizer = tokenizer_json(tokenizer_path)
     table = spark.sparkContext.broadcast(frequent_words(docs, tokenizer, text_column, table_words, table_bytes))
-    # A vocabulary is of fixed size; ids of rare words become pieces through it as those of the others do.
-    pieces = spark.sparkContext.broadcast({r.id: r.piece for r in piece_table(spark, tokenizer).collect()})
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text_column}`").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        bpe, piece_of = Tokenizer.from_str(tokenizer), pieces.value
-        word_ids, word_text = (_Table(t) for t in table.value)
-        for batch, texts in text_batches(batches, most_bytes=SLICE_BYTES):
-            split = [split_words(t) for t in texts]
-            rare = list(set().union(*split).difference(word_ids))
-            # Without offsets, which nothing here needs.
-            found = [e.ids for e in bpe.encode_batch_fast([w.decode() for w in rare], add_special_tokens=False)]
-            word_ids.rare = {w: array("i", i).tobytes() for w, i in zip(rare, found, strict=True)}
-            word_text.rare = {w: " ".join([piece_of[k] for k in i]) for w, i in zip(rare, found, strict=True)}
-            ids, lengths, decoded = [], [], []
-            for words in split:
-                blob = b"".join(map(word_ids.__getitem__, words))
-                ids.append(blob)
-                lengths.append(len(blob) // 4)
-                # A word may hold nothing that is encoded, and then leaves no gap.
-                decoded.append(" ".join(filter(None, map(word_text.__getitem__, words))))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
-            flat = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
+        encoder = word_encoder(tokenizer)
+        words, word_ids = table.value
+        for part in text_slices(batches, most_bytes=SLICE_BYTES):
+            split = split_words(part.column("text"))
+            coded = split.flatten().dictionary_encode()
+            known = pc.index_in(coded.dictionary, words)
+            rare = encoder.encode(coded.dictionary.filter(known.is_null()).to_pylist())
+            # Of each distinct word of the slice: its place in the table, or after it among the rare ones.
+            place = np.array(known.fill_null(-1), dtype=np.int64)
+            place[place < 0] = len(words) + np.arange(len(rare))
+            of_word = pa.concat_arrays([word_ids, rare]).take(pa.array(place))
+            ids = of_word.take(coded.indices)
+            # Ids up to the first word of each text, and past the last word of the last.
+            offsets = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+            offsets = pa.array(offsets.astype(np.int32))
+            flat = ids.flatten()
+            pieces = pa.ListArray.from_arrays(offsets, encoder.pieces.take(flat))
             yield pa.RecordBatch.from_pydict(
-                {"row": batch.column("row"), "ids": pa.ListArray.from_arrays(offsets, flat), "decoded": pa.array(decoded, pa.string())}
+                {"row": part.column("row"), "ids": pa.ListArray.from_arrays(offsets, flat), "decoded": pc.binary_join(pieces, " ")}
             )
 
     fields = [rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
