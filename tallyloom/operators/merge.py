@@ -19,7 +19,7 @@ from tallyloom.fixed_values import (
     PROPERTY_LENGTHS,
 )
 from tallyloom.operators.checks import row_error
-from tallyloom.operators.scale import dense_ids, first_per_key, lookup, with_each
+from tallyloom.operators.scale import dealt_join, dense_ids, first_per_key, lookup, tasks_for, with_each
 from tallyloom.schemas import FIELDS, ITEMS, PROPERTIES, column_names
 from tallyloom.session import stage_table
 
@@ -209,13 +209,10 @@ def merge_properties(
     return Merge(apply_properties(existing, actions, run_ts), actions)
 
 
-def item_fields(items: DataFrame, fields: DataFrame) -> DataFrame:
-    """Every item with every field of ``fields(field_name, field_key, field_type, is_required)``.
-
-    Definitions come from the caller's mapping, once per key, however many there are.
-    """
+def field_definitions(fields: DataFrame) -> DataFrame:
+    """Definitions of ``fields(field_name, field_key, field_type, is_required)``, once per key, staged."""
     first = fields.groupBy("field_key").agg(F.min(F.struct("field_name", "field_type", "is_required")).alias("d"))
-    definitions = stage_table(
+    return stage_table(
         first.select(
             "d.field_name",
             "field_key",
@@ -224,11 +221,18 @@ def item_fields(items: DataFrame, fields: DataFrame) -> DataFrame:
         ),
         "field-definitions",
     )
+
+
+def item_fields(items: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Every item with every field of the mapping, however many there are."""
     return with_each(items.select("item_id", "display_name"), definitions, ["item_id"])
 
 
 def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> DataFrame:
-    """Insert, skip or conflict per item and field; only ``is_required`` is compared."""
+    """Insert, skip or conflict per item and field; only ``is_required`` is compared.
+
+    Items are dealt over tasks before each is unfolded into its fields.
+    """
     known = existing.select(
         "item_id",
         "field_key",
@@ -236,10 +240,15 @@ def field_actions(items: DataFrame, fields: DataFrame, existing: DataFrame) -> D
         F.lit(True).alias("found"),
     )
     same = F.col("existing_required").eqNullSafe(F.col("is_required"))
-    wanted = item_fields(items, fields).withColumn(
+    definitions = field_definitions(fields)
+    n = items.count() * definitions.count()
+    tasks = tasks_for(n)
+    if tasks > 1:
+        items = items.select("item_id", "display_name").repartition(tasks, "item_id", "display_name")
+    wanted = item_fields(items, definitions).withColumn(
         "reason", row_error(["field_name", "field_key"], FIELD_LENGTHS)
     )
-    return wanted.join(known, ["item_id", "field_key"], "left").select(
+    return dealt_join(wanted, known, ["item_id", "field_key"], n).select(
         "item_id",
         "display_name",
         "field_name",

@@ -17,6 +17,8 @@ ID_BUCKETS = 4096
 # Rows of a small table that are unfolded inside one row, and rows that share a copy of them in a join.
 CHUNK_ROWS = 1000
 SHARE_ROWS = 100_000
+# Rows of the larger side that one task of a shuffled join of whole tables gets.
+JOIN_ROWS = 500_000
 
 
 # Measured once per table object: several operators share one staged table.
@@ -158,6 +160,25 @@ def with_each(
     return joined.select(*rows.columns, F.inline("each"))
 
 
+def tasks_for(n: int) -> int:
+    """Tasks that get ``JOIN_ROWS`` rows each of ``n``."""
+    return max(1, -(-n // JOIN_ROWS))
+
+
+def dealt_join(rows: DataFrame, table: DataFrame, keys: list[str], n: int, limit: int | None = None) -> DataFrame:
+    """Left join of ``n`` rows that hold each key a few times with a table that does so too.
+
+    A table that measures small is broadcast. Otherwise both sides are dealt by key over as many
+    tasks as their rows need, so that what a task sorts does not grow with the input, even if it is
+    read from a single file split. A size the planner guesses decides nothing: it takes a table
+    whose rows are unfolded from a smaller one for as small as that.
+    """
+    if fits_broadcast(table, limit):
+        return rows.join(F.broadcast(table), keys, "left")
+    tasks = tasks_for(max(n, table.count()))
+    return rows.repartition(tasks, *keys).join(table.repartition(tasks, *keys).hint("merge"), keys, "left")
+
+
 def first_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     """``(key, order)`` of the first row per key.
 

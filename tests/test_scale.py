@@ -1,5 +1,7 @@
 """Skew-safe joins and numbering give what the plain forms give."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,28 @@ def test_five_thousand_field_definitions(spark):
     existing = spark.createDataFrame([(3, "Field 7", "f7", "text", True, None)], schemas.struct_type(schemas.FIELDS))
     counted = merge.field_actions(items, fields, existing).groupBy("action").count().collect()
     assert {r.action: r["count"] for r in counted} == {"insert": 20 * 5000 - 1, "conflict": 1}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [-1, 1 << 20])
+def test_fields_of_items_from_one_split_are_joined_by_many_tasks(spark, monkeypatch, broadcast_bytes):
+    """A table read as one split was sorted and joined by one task, whose memory grew with it."""
+    from tallyloom.operators import merge
+
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(scale, "JOIN_ROWS", 200, raising=False)
+    fields = spark.createDataFrame([(f"Field {i}", f"f{i}", "text", i % 2 == 0) for i in range(10)], "field_name string, field_key string, field_type string, is_required boolean")
+    ids = [*range(300), None, None]
+    items = spark.createDataFrame([(i, f"item {i}") for i in ids], "item_id bigint, display_name string").coalesce(1)
+    there = [(i, f"f{k}", (i + k) % 3 == 0) for i in range(300) for k in range(10) if (i * 7 + k) % 4 == 0]
+    there += [there[0], (None, "f1", True), (5, None, True)]
+    existing = spark.createDataFrame(there, "item_id bigint, field_key string, is_required boolean").coalesce(1)
+    got = merge.field_actions(items, stage_table(fields, "fields"), existing).withColumn("task", F.spark_partition_id()).collect()
+
+    want = []
+    for i in ids:
+        for k in range(10):
+            found = [r for n, key, r in there if i is not None and (n, key) == (i, f"f{k}")]
+            want += [(str(i), f"f{k}", str(r), "skip" if r == (k % 2 == 0) else "conflict") for r in found]
+            want += [] if found else [(str(i), f"f{k}", "None", "insert")]
+    assert sorted((str(r.item_id), r.field_key, str(r.existing_required), r.action) for r in got) == sorted(want)
+    assert max(Counter(r.task for r in got).values()) < 600
